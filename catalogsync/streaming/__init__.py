@@ -1,0 +1,5 @@
+"""Nothing here: the work is batch by nature, one whole feed at a time.
+
+Replaying dated snapshots (``catalogsync.plans.run.replay``) is the only
+repeated unit of work.
+"""
