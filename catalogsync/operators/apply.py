@@ -9,9 +9,16 @@ from catalogsync.operators.merge import first_wins
 
 
 def insert_ignore(
-    target: DataFrame, new: DataFrame, key: list[str], defaults: dict[str, Column] | None = None
+    target: DataFrame,
+    new: DataFrame,
+    key: list[str],
+    defaults: dict[str, Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Add rows whose key is not there yet; columns that ``new`` lacks take a default or NULL."""
+    """Add rows whose key is not there yet; columns that ``new`` lacks take a default or NULL.
+
+    Of new rows with one key the first stays, unless ``unique`` says that there are none.
+    """
     defaults = defaults or {}
     filled = new.select(
         *[
@@ -19,8 +26,8 @@ def insert_ignore(
             for f in target.schema
         ]
     )
-    unseen = first_wins(filled, key).join(target.select(*key), key, "left_anti")
-    return target.unionByName(unseen)
+    single = filled if unique else first_wins(filled, key)
+    return target.unionByName(single.join(target.select(*key), key, "left_anti"))
 
 
 def _matched(target: DataFrame, change: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

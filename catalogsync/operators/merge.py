@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,24 +12,30 @@ from catalogsync.schemas import MONEY
 from catalogsync.settings import PRODUCT_NAME_WIDTH
 
 
-def first_wins(
-    df: DataFrame, key: list[str], order: list[Column] | None = None, count_as: str | None = None
-) -> DataFrame:
-    """Keep one row per key: the first by ``order``, ties and the default by all columns.
+def first_wins(df: DataFrame, key: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Keep one row per key: the first by ``order``, by default by all other columns.
 
-    An aggregation, so copies of a hot key are reduced before the shuffle, and
-    the result is already partitioned by key for a join that follows.
-    ``count_as`` names a column for the number of rows the key had.
+    Where ``order`` does not decide, any of the rows may stay. The limit on the
+    rank is applied in each map task already, so copies of a hot key never meet
+    in one task, and the result is partitioned and sorted by key for a join that
+    follows. Columns nobody asks for are not carried along.
     """
-    rest = [c for c in df.columns if c not in key]
-    counted = [F.count("*").alias(count_as)] if count_as else []
-    extra = [F.col(count_as)] if count_as else []
+    rest = [F.col(c) for c in df.columns if c not in key]
     if not rest:
-        return df.groupBy(*key).agg(*counted) if counted else df.distinct()
-    row = F.struct(*rest)
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *rest) if order else row
-    kept = df.groupBy(*key).agg((F.min_by(row, rank) if order else F.min(row)).alias("_row"), *counted)
-    return kept.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns], *extra)
+        return df.distinct()
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*(order or rest)))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
+def first_wins_counted(df: DataFrame, key: list[str], order: list[Column], count: str) -> DataFrame:
+    """As ``first_wins`` with ties decided by all columns, plus the number of rows each key had.
+
+    An aggregation, which reduces hot keys before the shuffle; for narrow rows.
+    """
+    rest = [c for c in df.columns if c not in key]
+    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *rest)
+    kept = df.groupBy(*key).agg(F.min_by(F.struct(*rest), rank).alias("_row"), F.count("*").alias(count))
+    return kept.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns], count)
 
 
 def upsert(base: DataFrame, change: DataFrame, key: str) -> DataFrame:
@@ -54,7 +60,7 @@ def upsert(base: DataFrame, change: DataFrame, key: str) -> DataFrame:
     return left.join(right, F.col("_bk") == F.col("_ck"), "full_outer").select(*[merged(c) for c in columns])
 
 
-_FEED_COLUMNS = ("prod_desc", "narrative", "units_qty", "weight", "price", "prod_image", "cantsell")
+_VITAL_COLUMNS = ("prod_desc", "units_qty", "weight", "price", "prod_image", "cantsell")
 
 
 def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: DataFrame) -> DataFrame:
@@ -66,11 +72,12 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
     smallest row, and ``*_rows`` tells how many there were.
 
     The feeds are stacked and aggregated once: one shuffle does the removal of
-    repeats and the merge, with repeats reduced before it.
+    repeats and the merge, with repeats reduced before it. Texts are kept in an
+    aggregate of their own, so a question about vitals does not read them.
     """
 
     def tagged(feed: DataFrame, source: str) -> DataFrame:
-        have = [c for c in _FEED_COLUMNS if c in feed.columns]
+        have = [c for c in (*_VITAL_COLUMNS, "narrative") if c in feed.columns]
         return feed.select("prod_code", F.lit(source).alias("_source"), *have)
 
     stacked = (
@@ -79,27 +86,31 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
         .unionByName(tagged(descriptions, "description"), allowMissingColumns=True)
     )
 
-    def smallest(source: str, *columns: str) -> list[Column]:
-        mine = F.col("_source") == source
-        return [
-            F.min(F.when(mine, F.struct(*columns))).alias(source),
-            F.count(F.when(mine, 1)).alias(f"{source}_rows"),
-        ]
+    def smallest(source: str, *columns: str) -> Column:
+        return F.min(F.when(F.col("_source") == source, F.struct(*columns)))
+
+    def rows(source: str) -> Column:
+        return F.count(F.when(F.col("_source") == source, 1)).alias(f"{source}_rows")
 
-    stock_columns = [c for c in _FEED_COLUMNS if c != "narrative"]
     merged = stacked.groupBy(F.col("prod_code").alias("products_model")).agg(
-        *smallest("complete", *_FEED_COLUMNS), *smallest("stock", *stock_columns), *smallest("description", "narrative")
+        smallest("complete", *_VITAL_COLUMNS).alias("complete"),
+        smallest("complete", *_VITAL_COLUMNS, "narrative").alias("complete_text"),
+        smallest("stock", *_VITAL_COLUMNS).alias("stock"),
+        smallest("description", "narrative").alias("description"),
+        rows("complete"),
+        rows("stock"),
+        rows("description"),
     )
 
-    has_complete = F.col("complete").isNotNull()
-    has_stock = F.col("stock").isNotNull()
-    has_description = F.col("description").isNotNull()
+    has_complete = F.col("complete_rows") > 0
+    has_stock = F.col("stock_rows") > 0
+    has_description = F.col("description_rows") > 0
 
     def vital(name: str, default: Column) -> Column:
         return F.when(has_stock, F.col(f"stock.{name}")).when(has_complete, F.col(f"complete.{name}")).otherwise(default)
 
     status = F.when(vital("cantsell", F.lit(1)) == 1, 0).otherwise(1)
-    own_text = prefer_nonempty(F.col("complete.narrative"), F.col("complete.prod_desc"))
+    own_text = prefer_nonempty(F.col("complete_text.narrative"), F.col("complete_text.prod_desc"))
     return merged.select(
         "products_model",
         image_path(vital("prod_image", F.lit(None).cast("string"))).alias("products_image"),

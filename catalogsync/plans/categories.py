@@ -9,7 +9,7 @@ from catalogsync.functions.compare import differs, with_collation
 from catalogsync.functions.text import or_empty
 from catalogsync.operators.apply import insert_ignore, override, update
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
-from catalogsync.operators.merge import first_wins
+from catalogsync.operators.merge import first_wins_counted
 from catalogsync.operators.render import id_key, insert_statement, patch_rows, update_statement
 from catalogsync.operators.validate import DUPLICATE_KEY, INACTIVE_PARENT, INVALID_PARENT, issue_rows, too_long
 from catalogsync.schemas import CATEGORY_ISSUES
@@ -51,11 +51,11 @@ def live_categories(categories: DataFrame, description: DataFrame, settings: Set
 
 def import_categories(feed: DataFrame) -> DataFrame:
     """Departments as categories, without sentinels; of repeated codes the one loaded first by depth and parent."""
-    kept = first_wins(
+    kept = first_wins_counted(
         feed.where(F.col("dept_code") >= 0).select("dept_code", "dept_deep", "parent_id", "dept_name", "dept_show"),
         ["dept_code"],
         [F.col("dept_deep"), F.col("parent_id")],
-        count_as="feed_rows",
+        "feed_rows",
     )
     return kept.select(
         F.col("dept_code").alias("categories_id"),
@@ -197,7 +197,7 @@ def apply_to_categories(categories: DataFrame, diff: DataFrame, settings: Settin
     if not settings.insert_status:
         new = new.drop("categories_status")
     moved = update(categories, changes, ["categories_id"], ["parent_id", "categories_status"])
-    grown = insert_ignore(moved, new, ["categories_id"], status)
+    grown = insert_ignore(moved, new, ["categories_id"], status, unique=True)
     return override(grown, F.col("categories_id").isin(list(settings.always_inactive)), "categories_status", 0)
 
 
@@ -205,7 +205,7 @@ def _apply_text(table: DataFrame, new: DataFrame, renamed: DataFrame, columns: l
     key = ["categories_id", "language_id"]
     lang = F.lit(language)
     changed = update(table, renamed.withColumn("language_id", lang), key, columns)
-    return insert_ignore(changed, new.withColumn("language_id", lang), key)
+    return insert_ignore(changed, new.withColumn("language_id", lang), key, unique=True)
 
 
 def apply_categories(store: Store, diff: DataFrame, settings: Settings) -> Store:

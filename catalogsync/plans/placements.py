@@ -51,7 +51,7 @@ def import_links(feed: DataFrame, categories: DataFrame, settings: Settings) ->
 
 
 def resolve_links(links: DataFrame, live: DataFrame, new: DataFrame) -> DataFrame:
-    """Feed links with the id of their product, ``is_new`` for this run's products; NULL id where unknown."""
+    """Feed links with the id of their product, ``is_new`` for this run's products; both NULL where unknown."""
     ids = live.select(F.col("products_model").alias("_model"), "products_id", F.lit(False).alias("is_new")).unionByName(
         new.select(F.col("products_model").alias("_model"), "products_id", F.lit(True).alias("is_new"))
     )
@@ -87,7 +87,7 @@ def added_links(changed: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: DataFrame) -> DataFrame:
-    return insert_ignore(delete(links, dropped, LINK), added.unionByName(new.select(*LINK)), LINK)
+    return insert_ignore(delete(links, dropped, LINK), added.unionByName(new.select(*LINK)), LINK, unique=True)
 
 
 def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings) -> DataFrame:

@@ -204,7 +204,7 @@ def apply_to_products(products: DataFrame, diff: DataFrame, new: DataFrame, sett
     changed = sparse_update(
         products, changes, ["products_id"], ["products_status", *_VITALS, "products_price_sorter"]
     )
-    return insert_ignore(changed, store_rows(new, settings), ["products_id"])
+    return insert_ignore(changed, store_rows(new, settings), ["products_id"], unique=True)
 
 
 def store_rows(new: DataFrame, settings: Settings) -> DataFrame:
@@ -254,13 +254,13 @@ def _info_meta(changes: DataFrame) -> DataFrame:
 def apply_to_description(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     """Text changes reach all languages of a product; new rows get the feed's language."""
     changed = sparse_update(table, _info_text(info(diff)), ["products_id"], ["products_name", "products_description"])
-    return insert_ignore(changed, _described(new, settings), ["products_id", "language_id"])
+    return insert_ignore(changed, _described(new, settings), ["products_id", "language_id"], unique=True)
 
 
 def apply_to_meta(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     columns = ["metatags_title", "metatags_keywords", "metatags_description"]
     changed = sparse_update(table, _info_meta(info(diff)), ["products_id"], columns)
-    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"])
+    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True)
 
 
 def apply_products(store: Store, diff: DataFrame, new: DataFrame, settings: Settings) -> Store:

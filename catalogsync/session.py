@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # how plans should adapt to the data they meet.
 CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Plans here are made of many small expressions; tracing each to a source line takes most of their build time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys are split at run time, also where that costs a shuffle.

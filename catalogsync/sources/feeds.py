@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +17,13 @@ _ABSENT = "\x00"
 
 
 def _raw(spark: SparkSession, feed: Feed, path: str, cp1252: bool) -> DataFrame:
+    """All fields as text. Rows with the wrong number of fields are marked, whichever columns are asked for."""
+    fields = [T.StructField(f.name, T.StringType()) for f in feed.schema]
     return (
-        spark.read.schema(T.StructType(feed.schema.fields + [T.StructField(_BAD, T.StringType())]))
+        spark.read.schema(T.StructType([*fields, T.StructField(_BAD, T.StringType())]))
         .option("header", True)
         .option("enforceSchema", True)
+        .option("columnPruning", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", feed.multi_line)
@@ -29,18 +34,35 @@ def _raw(spark: SparkSession, feed: Feed, path: str, cp1252: bool) -> DataFrame:
     )
 
 
+def _number_text(name: str) -> Column:
+    return F.nullif(F.trim(F.col(name)), F.lit(""))
+
+
+def _good(feed: Feed) -> Column:
+    """The row has all its fields and every number is one. Refers to each column, so no projection changes it."""
+    checks = []
+    for f in feed.schema:
+        if isinstance(f.dataType, T.StringType):
+            checks.append(F.col(f.name).isNull() | (F.length(f.name) >= 0))
+        else:
+            text = _number_text(f.name)
+            checks.append(text.isNull() | text.try_cast(f.dataType).isNotNull())
+    return F.col(_BAD).isNull() & reduce(Column.__and__, checks)
+
+
 def _tidy(feed: Feed, cp1252: bool) -> list[Column]:
     """Transcode and clean text, cut it to its width, then fill what is missing."""
     columns = []
     for f in feed.schema:
-        value = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            value = clean_text(fix_cp1252(value) if cp1252 else value)
+            value = clean_text(fix_cp1252(F.col(f.name)) if cp1252 else F.col(f.name))
             if f.name in feed.widths:
                 value = F.left(value, F.lit(feed.widths[f.name]))
+        else:
+            value = _number_text(f.name).try_cast(f.dataType)
         if f.name in feed.defaults:
-            value = F.coalesce(value, F.lit(feed.defaults[f.name]))
-        columns.append(value.cast(f.dataType).alias(f.name))
+            value = F.coalesce(value, F.lit(feed.defaults[f.name]).cast(f.dataType))
+        columns.append(value.alias(f.name))
     return columns
 
 
@@ -52,16 +74,16 @@ def read_feed(spark: SparkSession, name: str, path: str, cp1252: bool = True) ->
     of files, which is how a large feed is read in parallel.
     """
     feed = FEEDS[name]
-    raw = _raw(spark, feed, path, cp1252).where(F.col(_BAD).isNull())
     changed = F.to_date("_metadata.file_modification_time").alias("snapshot_date")
-    return raw.select(*_tidy(feed, cp1252), changed)
+    return _raw(spark, feed, path, cp1252).where(_good(feed)).select(*_tidy(feed, cp1252), changed)
 
 
 def rejected_rows(spark: SparkSession, name: str, path: str, cp1252: bool = True) -> DataFrame:
-    """Rows with a bad number or the wrong number of fields: ``file``, ``record``."""
-    raw = _raw(spark, FEEDS[name], path, cp1252).where(F.col(_BAD).isNotNull())
-    # The parsed columns have to be read for the reader to notice bad ones.
-    return raw.select("_metadata.file_path", *raw.columns).select(F.col("file_path").alias("file"), F.col(_BAD).alias("record"))
+    """Rows with a bad number or the wrong number of fields: ``(file, record)``."""
+    feed = FEEDS[name]
+    raw = _raw(spark, feed, path, cp1252).where(~_good(feed))
+    fields = F.concat_ws(",", *[F.coalesce(f.name, F.lit("")) for f in feed.schema])
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.coalesce(_BAD, fields).alias("record"))
 
 
 def require_feeds(manifest: DataFrame, names: tuple[str, ...] = tuple(FEEDS)) -> bool:

@@ -15,7 +15,7 @@ def write_patch(patch: DataFrame, path: str) -> None:
     The order comes from a range partitioning, so no task holds more than its
     share even if one step has most of the statements.
     """
-    patch.orderBy("phase", "step", "sort_key", "statement").select("statement").write.mode("overwrite").option(
+    patch.orderBy("phase", "step", "sort_key").select("statement").write.mode("overwrite").option(
         "compression", "gzip"
     ).text(path)
 

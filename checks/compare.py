@@ -73,6 +73,7 @@ def main() -> int:
 # For one machine: no web interface, one address, few partitions.
 LOCAL = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
     "spark.driver.memory": "8g",

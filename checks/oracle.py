@@ -604,7 +604,7 @@ from last_seen where code not in (select products_model from fx_live_products)""
     "read_feed_departments": "select * from fx_feed_categories",
     "read_feed_complete": f"""
 select prod_code, {_CLEAN.format('prod_desc')} prod_desc, {_CLEAN.format('narrative')} narrative, units_qty, weight,
-       price, cast(null as varchar) del_date, 0 discont, prod_image, cantsell
+       price, cast(null as varchar) del_date, 0 discont, {_CLEAN.format('prod_image')} prod_image, cantsell
 from fx_feed_complete""",
     "read_feed_stockinfo": f"""
 select prod_code, {_CLEAN.format(f"prod_desc || '{_SPICE}'")} prod_desc, units_qty, weight, price,

@@ -12,6 +12,7 @@ from pyspark.sql.types import DecimalType
 
 from catalogsync.functions.text import CP1252_BYTES, CP1252_CHARS, clean_text
 from catalogsync.operators import media as M
+from catalogsync.operators.diff import only_in_feed
 from catalogsync.operators.merge import first_wins, merge_product_feeds, upsert
 from catalogsync.operators.validate import MISSING_DESCRIPTION, append_issues
 from catalogsync.plans import categories as C
@@ -19,11 +20,11 @@ from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
 from catalogsync.plans.run import Issues, empty_issues, replay_products, run
 from catalogsync.schemas import FEEDS
-from catalogsync.session import work_dir
+from catalogsync.session import stage, work_dir
 from catalogsync.sources.feeds import read_feed
 from catalogsync.sources.snapshots import changed_sources
 from catalogsync.sources.store import seed_control_categories
-from checks.views import IMPORT_CATEGORY, SETTINGS, SNAPSHOT_DAYS, Views
+from checks.views import IMPORT_CATEGORY, SETTINGS, SNAPSHOT_DAYS, Views, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -32,7 +33,7 @@ _REGISTRY: dict[str, Query] = {}
 def _query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
     @wraps(build)
     def run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Views(spark, sf_dir))
+        return build(views(spark, sf_dir))
 
     _REGISTRY[build.__name__] = run_on
     return build
@@ -310,17 +311,18 @@ def patch_new_products(v: Views) -> DataFrame:
 
 
 class _Links:
-    def __init__(self, v: Views, ids: bool):
-        diff = _product_diff(v)
+    """The link part of a run. Who is who among products is staged, as a run does."""
+
+    def __init__(self, v: Views):
+        who = ["in_live", "in_feed", "live_products_id", "live_products_model", "feed_products_model"]
+        diff = stage(_product_diff(v).select(*who), "who")
         live = diff.where("in_live").selectExpr("live_products_id products_id", "live_products_model products_model")
-        if ids:
-            self.new = _numbered(v, diff)
-        else:
-            self.new = P.new_products(diff).withColumn("products_id", F.lit(None).cast("int"))
+        fresh = diff.where(only_in_feed()).selectExpr("feed_products_model products_model")
+        self.new = P.with_ids(fresh, v.store.products, SETTINGS)
         self.categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
         imported = L.import_links(v.feed_links, self.categories, SETTINGS)
-        self.resolved = L.resolve_links(imported, live, self.new)
-        changed = L.changed_links(v.live_links, self.resolved)
+        self.resolved = stage(L.resolve_links(imported, live, self.new), "resolved_links")
+        changed = stage(L.changed_links(v.live_links, self.resolved), "changed_links")
         self.dropped = L.dropped_links(changed, v.placement_log)
         self.added = L.added_links(changed, self.categories)
 
@@ -336,22 +338,22 @@ def import_links(v: Views) -> DataFrame:
 
 @_query
 def links_dropped(v: Views) -> DataFrame:
-    return _Links(v, ids=False).dropped
+    return _Links(v).dropped
 
 
 @_query
 def links_added(v: Views) -> DataFrame:
-    return _Links(v, ids=False).added
+    return _Links(v).added
 
 
 @_query
 def links_new(v: Views) -> DataFrame:
-    return _Links(v, ids=True).fresh()
+    return _Links(v).fresh()
 
 
 @_query
 def apply_links(v: Views) -> DataFrame:
-    links = _Links(v, ids=True)
+    links = _Links(v)
     return L.apply_links(v.store.products_to_categories, links.dropped, links.added, links.fresh())
 
 
@@ -396,7 +398,7 @@ def _clean(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
-_REGISTRY["clean_text"] = lambda spark, sf_dir: _clean(Views(spark, sf_dir))
+_REGISTRY["clean_text"] = lambda spark, sf_dir: _clean(views(spark, sf_dir))
 
 
 @_query
@@ -420,12 +422,12 @@ def media_new(v: Views) -> DataFrame:
 
 @_query
 def media_missing(v: Views) -> DataFrame:
-    return M.missing_media(v.live_products, v.media_current)
+    return M.missing_media(v.products, v.media_current)
 
 
 @_query
 def media_candidates(v: Views) -> DataFrame:
-    return M.resolve_candidates(M.missing_media(v.live_products, v.media_current), v.media_inventory)
+    return M.resolve_candidates(M.missing_media(v.products, v.media_current), v.media_inventory)
 
 
 @_query
@@ -450,7 +452,7 @@ def _changed(v: Views) -> DataFrame:
     return changed_sources(pages.select(name, F.md5("html").alias("md5")), active)
 
 
-_REGISTRY["changed_sources"] = lambda spark, sf_dir: _changed(Views(spark, sf_dir))
+_REGISTRY["changed_sources"] = lambda spark, sf_dir: _changed(views(spark, sf_dir))
 
 
 @_query
@@ -487,7 +489,7 @@ def _as_file(rows: DataFrame, name: str) -> str:
 
 def _roundtrip(name: str, feed: Callable[[Views], DataFrame]) -> None:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _as_file(feed(Views(spark, sf_dir)), name)
+        path = _as_file(feed(views(spark, sf_dir)), name)
         return read_feed(spark, name, path).drop("snapshot_date")
 
     _REGISTRY[f"read_feed_{name}"] = build
@@ -504,7 +506,7 @@ _roundtrip("product_department", lambda v: v.feed_links)
 
 
 def _departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_feed(spark, "departments", _as_file(Views(spark, sf_dir).feed_categories, "departments")).drop(
+    return read_feed(spark, "departments", _as_file(views(spark, sf_dir).feed_categories, "departments")).drop(
         "snapshot_date"
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogsync.schemas import MONEY
+from catalogsync.session import stage
 from catalogsync.settings import Settings
 from catalogsync.sources.store import Store
 
@@ -46,12 +47,26 @@ def _leaf(brand: Column) -> Column:
     return F.lit(1000) + brand * 10 + _c("p_size") % 6
 
 
+_views: dict[tuple[str, str], Views] = {}
+
+
+def views(spark: SparkSession, sf_dir: str) -> Views:
+    """The views of a folder, made once per application: listing files and reading footers takes time."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _views:
+        _views[key] = Views(spark, sf_dir)
+    return _views[key]
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def parts(self) -> DataFrame:
@@ -159,11 +174,11 @@ class Views:
     # products -----------------------------------------------------------
 
     @cached_property
-    def live_products(self) -> DataFrame:
+    def products(self) -> DataFrame:
         pk = _c("pk")
         image = F.lower(F.concat(F.left("stem", F.lit(2)), F.lit("/"), "stem", F.lit(".jpg")))
         price = _c("p_retailprice").cast(MONEY)
-        return self.told_parts.where(pk % 10 != 0).select(
+        return self.parts.where(pk % 10 != 0).select(
             (pk + 1).cast("int").alias("products_id"),
             _c("code").alias("products_model"),
             image.alias("products_image"),
@@ -177,6 +192,13 @@ class Views:
             F.lit(IMPORT_CATEGORY).alias("master_categories_id"),
             F.lit(1).alias("manufacturers_id"),
             price.alias("products_price_sorter"),
+        )
+
+    @cached_property
+    def products_description(self) -> DataFrame:
+        return self.told_parts.where(_c("pk") % 10 != 0).select(
+            (_c("pk") + 1).cast("int").alias("products_id"),
+            F.lit(1).alias("language_id"),
             F.left("label", F.lit(64)).alias("products_name"),
             F.coalesce("text", F.lit("")).alias("products_description"),
         )
@@ -224,7 +246,10 @@ class Views:
 
     @cached_property
     def links(self) -> DataFrame:
-        """(pk, code, cid): own leaf, leaves by supplier, and for some the brand's category, which is no leaf."""
+        """(pk, code, cid): own leaf, leaves by supplier, and for some the brand's category, which is no leaf.
+
+        Staged: live links and feed links are both cut from it.
+        """
         own = self.parts.select("pk", "code", _leaf(_c("bn")).alias("cid"))
         # Pairs of part and nation first: a part may have any share of the line items.
         sold = (
@@ -238,7 +263,7 @@ class Views:
         )
         by_supplier = self.parts.join(sold, "pk").select("pk", "code", _leaf((_c("bn") + _c("s_nationkey")) % 25 + 1))
         upper = self.parts.where("pk % 20 = 0").select("pk", "code", F.lit(100) + _c("bn") % 25)
-        return own.union(by_supplier).union(upper).distinct()
+        return stage(own.union(by_supplier).union(upper).distinct(), "links")
 
     @cached_property
     def feed_links(self) -> DataFrame:
@@ -275,7 +300,7 @@ class Views:
     @cached_property
     def store(self) -> Store:
         """The seven store tables behind the live views, all rows in the feed's language."""
-        categories, products = self.live_categories, self.live_products
+        categories, told = self.live_categories, self.products_description
         text = _c("categories_description")
         return Store(
             categories=categories.drop("categories_description"),
@@ -292,13 +317,11 @@ class Views:
                 text.alias("metatags_keywords"),
                 text.alias("metatags_description"),
             ),
-            products=products.drop("products_name", "products_description"),
-            products_description=products.select(
-                "products_id", F.lit(1).alias("language_id"), "products_name", "products_description"
-            ),
-            meta_tags_products_description=products.select(
+            products=self.products,
+            products_description=told,
+            meta_tags_products_description=told.select(
                 "products_id",
-                F.lit(1).alias("language_id"),
+                "language_id",
                 _c("products_name").alias("metatags_title"),
                 _c("products_description").alias("metatags_keywords"),
                 _c("products_description").alias("metatags_description"),

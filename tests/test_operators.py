@@ -1,0 +1,252 @@
+import pytest
+from pyspark.sql import functions as F
+
+from catalogsync.operators import apply, assign, diff, media, merge, render
+from tests.helpers import feed, one, rows
+
+
+def test_first_wins(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z"), ("a", 1, "z")], "k string, n int, t string")
+    assert rows(merge.first_wins(df, ["k"]), "k", "n", "t") == [("a", 1, "y"), ("b", 5, "z")]
+    by_text = merge.first_wins(df, ["k"], [F.col("t"), F.col("n")])
+    assert rows(by_text, "k", "n", "t") == [("a", 2, "x"), ("b", 5, "z")]
+    counted = merge.first_wins_counted(df, ["k"], [F.col("n")], "c")
+    assert rows(counted, "k", "n", "t", "c") == [("a", 1, "y", 3), ("b", 5, "z", 1)]
+
+
+def test_upsert(spark):
+    base = spark.createDataFrame([(1, "a", "p"), (2, "b", "q")], "k int, x string, y string")
+    change = spark.createDataFrame([(2, None, 7), (3, "c", 8)], "k int, x string, z int")
+    assert rows(merge.upsert(base, change, "k"), "k", "x", "y", "z") == [
+        (1, "a", "p", None), (2, None, "q", 7), (3, "c", None, 8)
+    ]
+
+
+def _merge(spark, complete=(), stock=(), descriptions=()):
+    return merge.merge_product_feeds(
+        feed(spark, "complete", *complete), feed(spark, "stockinfo", *stock), feed(spark, "descriptions", *descriptions)
+    )
+
+
+def test_feed_precedence(spark):
+    got = _merge(
+        spark,
+        complete=[
+            dict(prod_code="all", prod_desc="C", narrative="CT", units_qty=1, price=1, prod_image="Cc.jpg"),
+            dict(prod_code="com", prod_desc="n" * 70, narrative="", price=2, cantsell=1),
+            dict(prod_code="cnull", prod_desc="x", narrative=None),
+        ],
+        stock=[
+            dict(prod_code="all", prod_desc="S", units_qty=5, price=3, prod_image=None),
+            dict(prod_code="sto", prod_desc="S2", units_qty=4, prod_image="S p.jpeg"),
+            dict(prod_code="sd", prod_desc="S3"),
+        ],
+        descriptions=[
+            dict(prod_code="all", narrative="DT"),
+            dict(prod_code="sd", narrative=None),
+            dict(prod_code="des", narrative="only"),
+            dict(prod_code="cnull", narrative=""),
+        ],
+    )
+    columns = ("products_name", "products_title", "products_description", "products_quantity", "products_status",
+               "products_image")
+
+    def row(code):
+        return tuple(one(got, "products_model", code)[c] for c in columns)
+
+    # Stock wins, with its missing image too; the text comes from descriptions.
+    assert row("all") == ("S", "S", "DT", 5.0, 1, None)
+    # Complete only: title is the code, the name is cut, an empty text is replaced by the full name.
+    assert row("com") == ("n" * 64, "com", "n" * 70, 0.0, 0, None)
+    assert row("sto") == ("S2", "S2", None, 4.0, 1, "sp/sp.jpg".replace("sp/", "s" + "p/"))
+    # In stock and descriptions but not in complete: one row, not two.
+    assert row("sd") == ("S3", "S3", None, 0.0, 1, None)
+    assert row("des") == ("", "", "only", 0.0, 0, None)
+    # An empty description overrides, and is not replaced.
+    assert row("cnull") == ("x", "cnull", "", 0.0, 1, None)
+
+
+def test_repeated_codes_keep_one_whole_row(spark):
+    got = _merge(
+        spark,
+        complete=[
+            dict(prod_code="a", prod_desc="B", narrative="bt", units_qty=1),
+            dict(prod_code="a", prod_desc="A", narrative="zz", units_qty=2),
+            dict(prod_code="a", prod_desc="A", narrative="at", units_qty=2),
+        ],
+    ).first()
+    assert (got.products_name, got.products_description, got.products_quantity, got.complete_rows) == ("A", "at", 2.0, 3)
+
+
+def test_merge_equals_brute_force_on_hot_keys(spark):
+    # A third of all rows share one code.
+    given = [dict(prod_code="hot" if i % 3 == 0 else f"c{i}", prod_desc=f"d{i:04}", units_qty=i) for i in range(600)]
+    got = _merge(spark, stock=given)
+    expect = {}
+    for g in given:
+        expect[g["prod_code"]] = min(expect.get(g["prod_code"], "z"), g["prod_desc"])
+    assert {r.products_model: r.products_name for r in got.collect()} == expect
+    assert one(got, "products_model", "hot").stock_rows == 200
+
+
+def test_snapshot_diff(spark):
+    live = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d")], "k int, t string")
+    new = spark.createDataFrame([(2, "b"), (3, None), (4, "x"), (5, "e")], "k int, t string")
+    got = diff.snapshot_diff(live, new, "k", compare=["t"])
+    kinds = {(r.live_k, r.feed_k): r.change_kind for r in got.collect()}
+    # NULL on both sides is not known to be equal, so the row stays in play.
+    assert kinds == {
+        (1, None): "dropped", (2, 2): "unchanged", (3, 3): "changed", (4, 4): "changed", (None, 5): "new"
+    }
+
+
+def test_null_keys_never_match(spark):
+    live = spark.createDataFrame([(None, "a")], "k int, t string")
+    got = diff.snapshot_diff(live, live, "k", compare=["t"])
+    assert sorted(r.change_kind for r in got.collect()) == ["dropped", "new"]
+
+
+def test_link_diff(spark):
+    live = spark.createDataFrame([(1, 1), (1, 2)], "p int, c int")
+    new = spark.createDataFrame([(1, 2), (1, 3), (1, 3)], "p int, c int")
+    assert rows(diff.link_diff(live, new, ["p", "c"]), "p", "c", "in_live", "in_feed") == [
+        (1, 1, 1, 0), (1, 2, 1, 1), (1, 3, 0, 1)
+    ]
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, x string, n int")
+
+
+def test_insert_ignore(spark, target):
+    new = spark.createDataFrame([(2, "new"), (3, "c"), (3, "d")], "k int, x string")
+    got = apply.insert_ignore(target, new, ["k"], {"n": F.lit(9)})
+    assert rows(got, "k", "x", "n") == [(1, "a", 1), (2, "b", 2), (3, "c", 9)]
+
+
+def test_updates(spark, target):
+    change = spark.createDataFrame([(2, None, 5), (4, "z", 1)], "k int, x string, n int")
+    assert rows(apply.update(target, change, ["k"], ["x", "n"]), "k", "x", "n") == [(1, "a", 1), (2, None, 5)]
+    assert rows(apply.sparse_update(target, change, ["k"], ["x", "n"]), "k", "x", "n") == [(1, "a", 1), (2, "b", 5)]
+
+
+def test_delete_and_override(spark, target):
+    gone = spark.createDataFrame([(2,), (9,)], "k int")
+    assert rows(apply.delete(target, gone, ["k"]), "k") == [(1,)]
+    assert rows(apply.override(target, F.col("k").isin(2), "n", 0), "k", "n") == [(1, 1), (2, 0)]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_ids_do_not_depend_on_partitioning(spark, partitions):
+    models = [f"m{(i * 37) % 101:03}" for i in range(101)]
+    new = spark.createDataFrame([(m,) for m in models], "model string").repartition(partitions)
+    got = assign.allocate_ids(new, "model", "id", 7)
+    assert [(r.id, r.model) for r in got.orderBy("id").collect()] == [(8 + i, m) for i, m in enumerate(sorted(models))]
+
+
+def test_ids_for_nothing_new(spark):
+    got = assign.allocate_ids(spark.createDataFrame([], "model string"), "model", "id", 7)
+    assert got.columns == ["model", "id"] and got.count() == 0
+
+
+def test_max_id_stays_below_the_bound(spark):
+    df = spark.createDataFrame([(5,), (200000,)], "i int")
+    assert assign.max_id(df, "i", 100001) == 5
+    assert assign.max_id(df.where("i > 10"), "i", 100001) == 0
+
+
+def test_priority(spark):
+    links = spark.createDataFrame(
+        [(1, 234), (1, 56), (1, 9), (1, 100001), (2, 9), (2, 8), (2, 100001), (3, 100001)], "p int, c int"
+    )
+    got = assign.assign_by_priority(links, "p", "c", (56, 234), 100001)
+    assert rows(got, "p", "c") == [(1, 56), (2, 8)]
+    assert rows(assign.assign_by_priority(links, "p", "c", (), 100001), "p", "c") == [(1, 9), (2, 8)]
+
+
+def test_id_lists_are_cut_into_spans(spark):
+    ids = spark.createDataFrame([(i,) for i in (2999, 1, 3, 1000, 999)], "id int")
+    got = render.id_list_rows(ids, "id", "t", "`s`=0", 2, 1, 1000)
+    assert [r.statement for r in got.orderBy("sort_key").collect()] == [
+        "UPDATE `t` SET `s`=0 WHERE `id` IN (1,3,999);",
+        "UPDATE `t` SET `s`=0 WHERE `id` IN (1000);",
+        "UPDATE `t` SET `s`=0 WHERE `id` IN (2999);",
+    ]
+    assert render.id_list_rows(ids.where("id < 0"), "id", "t", "`s`=0", 2, 1, 1000).count() == 0
+
+
+def _files(spark, *given):
+    return spark.createDataFrame(
+        [(d, n, size, f"md5-{d}-{n}") for d, n, size in given], "dir string, name string, length long, md5 string"
+    )
+
+
+def _keys(df):
+    return {(r.dir, r.name): r.key for r in df.collect()}
+
+
+def test_three_copies_one_key(spark):
+    files = _files(
+        spark, ("", "Ab 12.JPEG", 10), ("large z", "ab12_z.jpg", 30), ("thumb t", "ab12t.jpg", 5), ("", "Thumbs.db", 1),
+        ("other", "x.jpg", 1),
+    )
+    keyed = media.canonical_media(files)
+    assert set(_keys(keyed).values()) == {"ab/ab12.jpg"} and keyed.count() == 3
+    best = media.keep_largest(keyed).collect()
+    assert [(r.key, r.prefix, r.name, r.length) for r in best] == [("ab/ab12.jpg", "ab", "ab12_z.jpg", 30)]
+    assert rows(media.stray_media(files), "name") == [("x.jpg",)]
+
+
+def test_canonical_names(spark):
+    files = _files(
+        spark, ("", "cat.jpg", 1), ("", "dog_a.jpg", 1), ("", "dog.jpg", 1), ("thumb t", "cat.jpg", 2),
+        ("thumb t", "catt.jpg", 3), ("thumb t", "bat.jpg", 3), ("large z", "cat_z.png", 4), ("large z", "plain.jpg", 1),
+        ("", "big_x_y.jpg", 1), ("", "big_x.jpg", 1),
+    )
+    assert _keys(media.canonical_media(files)) == {
+        ("", "cat.jpg"): "ca/cat.jpg",
+        ("", "dog_a.jpg"): "do/dog.jpg",
+        ("", "dog.jpg"): "do/dog.jpg",
+        # Its own name is known, so the letter belongs to it.
+        ("thumb t", "cat.jpg"): "ca/cat.jpg",
+        ("thumb t", "catt.jpg"): "ca/cat.jpg",
+        # Nothing known: the size letter goes, rightly or not.
+        ("thumb t", "bat.jpg"): "ba/ba.jpg",
+        ("large z", "cat_z.png"): "ca/cat.png",
+        ("large z", "plain.jpg"): "pl/plain.jpg",
+        ("", "big_x_y.jpg"): "bi/big_x.jpg",
+        ("", "big_x.jpg"): "bi/big_x.jpg",
+    }
+
+
+def test_hot_media_name(spark):
+    given = [("", "noimage.jpg" if i % 3 == 0 else f"p{i}.jpg", i) for i in range(300)]
+    best = media.keep_largest(media.canonical_media(_files(spark, *given)))
+    assert best.count() == 201
+    assert one(best, "key", "no/noimage.jpg").length == 297
+
+
+def test_new_media(spark):
+    cand = spark.createDataFrame(
+        [("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")], "key string, md5 string"
+    )
+    current = spark.createDataFrame([("a", "1", 5), ("b", "x", 5), ("c", "3", 0)], "key string, md5 string, length int")
+    assert rows(media.new_media(cand, current), "key") == [("b",), ("c",), ("d",)]
+
+
+def test_missing_and_candidates(spark):
+    products = spark.createDataFrame(
+        [("ab/ab1.jpg",), ("ab/ab1.jpg",), ("cd/cd2.tif",), ("ef/ef3.png",), ("gh/gh4.jpg",), (None,)],
+        "products_image string",
+    )
+    current = spark.createDataFrame([("gh/gh4.jpg", 3), ("ef/ef3.png", 0)], "key string, length int")
+    missing = media.missing_media(products, current)
+    assert rows(missing, "key") == [("ab/ab1.jpg",), ("cd/cd2.tif",), ("ef/ef3.png",)]
+    names = ["AB1.jpg", "AB1_Z.jpeg", "CD2.tiff", "EF3.jpeg"]
+    inventory = spark.createDataFrame([(n,) for n in names], "name string")
+    assert rows(media.resolve_candidates(missing, inventory), "key", "name") == [
+        ("ab/ab1.jpg", "AB1_Z.jpeg"), ("cd/cd2.tif", "CD2.tiff")
+    ]
+    scraped = spark.createDataFrame([("ab/ab1.jpg", 2)], "key string, length int")
+    assert rows(media.missing_media(products, current, scraped), "key") == [("cd/cd2.tif",), ("ef/ef3.png",)]
