@@ -14,7 +14,7 @@ PATCH_COLUMNS = ["phase", "step", "sort_key", "statement"]
 def literal(column: Column, kind: T.DataType) -> Column:
     """A value as it stands in a statement; NULL stays NULL."""
     if isinstance(kind, T.StringType):
-        return quoted(column)
+        return quoted(column.cast("string"))  # whatever its collation
     if isinstance(kind, T.FloatType):
         return float_text(column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -61,7 +61,10 @@ def delete_statement(df: DataFrame, table: str, where: dict[str, str | Column])
 
 def patch_rows(df: DataFrame, phase: int, step: int, sort_key: Column, statement: Column) -> DataFrame:
     rows = df.select(
-        F.lit(phase).alias("phase"), F.lit(step).alias("step"), sort_key.alias("sort_key"), statement.alias("statement")
+        F.lit(phase).alias("phase"),
+        F.lit(step).alias("step"),
+        sort_key.cast("string").alias("sort_key"),
+        statement.alias("statement"),
     )
     return rows.where(F.col("statement").isNotNull())
 

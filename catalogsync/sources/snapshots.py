@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogsync.functions.image import base_name
 from catalogsync.schemas import FEEDS
@@ -51,16 +53,25 @@ def archive_feed(rows: DataFrame, name: str, root: str) -> None:
     )
 
 
+def _record(spark: SparkSession, name: str, root: str) -> DataFrame:
+    schema = T.StructType([*FEEDS[name].schema, T.StructField("snapshot_date", T.DateType())])
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
 def read_snapshot(spark: SparkSession, name: str, root: str, day: date) -> DataFrame:
     """A feed as recorded on a day; reads only that day's files."""
-    rows = spark.read.parquet(f"{root}/{name}").where(F.col("snapshot_date") == F.lit(day))
-    return rows.select(*[f.name for f in FEEDS[name].schema])
+    return _record(spark, name, root).where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
 
 
 def snapshot_days(spark: SparkSession, name: str, root: str) -> list[date]:
-    """Days on record, oldest first: one entry per recorded day."""
-    days = spark.read.parquet(f"{root}/{name}").select("snapshot_date").distinct().orderBy("snapshot_date")
-    return [r[0] for r in days.collect()]
+    """Days on record, oldest first: one entry per recorded day, none if the feed was never recorded."""
+    try:
+        record = _record(spark, name, root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return [r[0] for r in record.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
 
 
 def replay_time(day: date) -> datetime:

@@ -56,7 +56,8 @@ def store(spark, **tables):
 
 def rows(df, *columns):
     """Rows as tuples, in order."""
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    found = [tuple(r) for r in df.select(*columns).collect()]
+    return sorted(found, key=lambda t: [(v is not None, v) for v in t])
 
 
 def one(df, key, value):
