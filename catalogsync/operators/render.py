@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from catalogsync.functions.text import float_text, quoted, time_text
 
-PATCH_COLUMNS = ["phase", "step", "sort_key", "statement"]
-
 
 def literal(column: Column, kind: T.DataType) -> Column:
     """A value as it stands in a statement; NULL stays NULL."""
@@ -59,14 +57,14 @@ def delete_statement(df: DataFrame, table: str, where: dict[str, str | Column])
     return F.concat(F.lit(f"DELETE FROM `{table}` WHERE "), assignments(df, where, " AND "), F.lit(";"))
 
 
-def patch_rows(df: DataFrame, phase: int, step: int, sort_key: Column, statement: Column) -> DataFrame:
-    rows = df.select(
-        F.lit(phase).alias("phase"),
-        F.lit(step).alias("step"),
-        sort_key.cast("string").alias("sort_key"),
-        statement.alias("statement"),
+def patch_rows(df: DataFrame, phase: int, sort_key: Column, statements: dict[int, Column]) -> DataFrame:
+    """One row for each step's statement that is not NULL, in one pass over ``df``."""
+    steps = F.array(*[F.struct(F.lit(step).alias("step"), text.alias("text")) for step, text in statements.items()])
+    return (
+        df.select(sort_key.cast("string").alias("sort_key"), F.explode(steps).alias("_s"))
+        .where(F.col("_s.text").isNotNull())
+        .select(F.lit(phase).alias("phase"), F.col("_s.step").alias("step"), "sort_key", F.col("_s.text").alias("statement"))
     )
-    return rows.where(F.col("statement").isNotNull())
 
 
 def id_key(*columns: str) -> Column:
@@ -85,4 +83,4 @@ def id_list_rows(ids: DataFrame, id_column: str, table: str, setting: str, phase
         .agg(F.array_join(F.array_sort(F.collect_set(id_column)).cast("array<string>"), ",").alias("_ids"))
     )
     statement = F.concat(F.lit(f"UPDATE `{table}` SET {setting} WHERE `{id_column}` IN ("), F.col("_ids"), F.lit(");"))
-    return patch_rows(lists, phase, step, id_key("_start"), statement)
+    return patch_rows(lists, phase, id_key("_start"), {step: statement})

@@ -11,7 +11,14 @@ from catalogsync.operators.apply import insert_ignore, override, update
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
 from catalogsync.operators.merge import first_wins_counted
 from catalogsync.operators.render import id_key, insert_statement, patch_rows, update_statement
-from catalogsync.operators.validate import DUPLICATE_KEY, INACTIVE_PARENT, INVALID_PARENT, issue_rows, too_long
+from catalogsync.operators.validate import (
+    DUPLICATE_KEY,
+    INACTIVE_PARENT,
+    INVALID_PARENT,
+    issue_case,
+    issue_rows,
+    too_long,
+)
 from catalogsync.schemas import CATEGORY_ISSUES
 from catalogsync.settings import CATEGORY_NAME_WIDTH, META_TITLE_WIDTH, Settings
 from catalogsync.sources.store import Store
@@ -159,27 +166,35 @@ def category_issues(diff: DataFrame) -> DataFrame:
     )
     looked_up = children.join(parents, F.col("parent_id") == F.col("_id"), "left")
     unknown = F.col("_id").isNull() & (F.col("parent_id") != 0)
-    invalid = looked_up.where(F.col("check_parent") & (F.coalesce("_dropped", F.lit(False)) | unknown))
-    inactive = looked_up.where(F.col("active") & F.col("_inactive"))
-    repeated = diff.where(F.col("feed_feed_rows") > 1).select(
-        F.col("feed_categories_id").alias("categories_id"), F.col("feed_feed_rows").alias("rows")
-    )
-    note = F.col("parent_id").cast("string")
-    return (
-        too_long(new_categories(diff), CATEGORY_ISSUES, "categories_name", "categories_description")
-        .unionByName(issue_rows(invalid, CATEGORY_ISSUES, INVALID_PARENT, note))
-        .unionByName(issue_rows(inactive, CATEGORY_ISSUES, INACTIVE_PARENT, note))
-        .unionByName(issue_rows(repeated, CATEGORY_ISSUES, DUPLICATE_KEY, F.col("rows").cast("string")))
+    invalid = F.col("check_parent") & (F.coalesce("_dropped", F.lit(False)) | unknown)
+    inactive = F.col("active") & F.col("_inactive")
+    note = F.col("parent_id")
+    text = F.col("feed_categories_description")
+    feed_rows = diff.where(F.col("in_feed").isNotNull()).withColumn("categories_id", F.col("feed_categories_id"))
+    return issue_rows(
+        feed_rows,
+        CATEGORY_ISSUES,
+        [
+            too_long(F.when(new, F.left(text, F.lit(CATEGORY_NAME_WIDTH))), text),
+            issue_case(F.col("feed_feed_rows") > 1, DUPLICATE_KEY, F.col("feed_feed_rows")),
+        ],
+    ).unionByName(
+        issue_rows(
+            looked_up,
+            CATEGORY_ISSUES,
+            [issue_case(invalid, INVALID_PARENT, note), issue_case(inactive, INACTIVE_PARENT, note)],
+        )
     )
 
 
-def _meta(rows: DataFrame) -> DataFrame:
+def _with_meta(rows: DataFrame) -> DataFrame:
     text = F.col("categories_description")
-    return rows.select(
-        "categories_id",
-        F.left(text, F.lit(META_TITLE_WIDTH)).alias("metatags_title"),
-        text.alias("metatags_keywords"),
-        text.alias("metatags_description"),
+    return rows.withColumns(
+        {
+            "metatags_title": F.left(text, F.lit(META_TITLE_WIDTH)),
+            "metatags_keywords": text,
+            "metatags_description": text,
+        }
     )
 
 
@@ -217,8 +232,8 @@ def apply_categories(store: Store, diff: DataFrame, settings: Settings) -> Store
         ),
         meta_tags_categories_description=_apply_text(
             store.meta_tags_categories_description,
-            _meta(new),
-            _meta(renamed),
+            _with_meta(new),
+            _with_meta(renamed),
             ["metatags_title", "metatags_keywords", "metatags_description"],
             lang,
         ),
@@ -226,40 +241,51 @@ def apply_categories(store: Store, diff: DataFrame, settings: Settings) -> Store
 
 
 def category_patch(diff: DataFrame, settings: Settings) -> DataFrame:
-    key = id_key("categories_id")
     same_id = {"categories_id": "categories_id"}
-    new = new_categories(diff).withColumn("date_added", F.lit(settings.add_date).cast("timestamp_ntz"))
-    renamed = renamed_categories(diff)
-    new_meta, renamed_meta = _meta(new), _meta(renamed)
-    status = category_status(diff).where(differs(F.col("stored"), F.col("categories_status")))
     in_lang = {**same_id, "language_id": F.lit(str(settings.language_id))}
-
-    columns = {"categories_id": "categories_id", "parent_id": "parent_id", "date_added": "date_added"}
+    inserted = {"categories_id": "categories_id", "parent_id": "parent_id", "date_added": "date_added"}
     if settings.insert_status:
-        columns["categories_status"] = "categories_status"
+        inserted["categories_status"] = "categories_status"
     text = {"categories_name": "categories_name", "categories_description": "categories_description"}
     meta = {c: c for c in ("metatags_title", "metatags_keywords", "metatags_description")}
+    moved, status = {"parent_id": "parent_id"}, {"categories_status": "categories_status"}
+    texts, metas = "categories_description", "meta_tags_categories_description"
 
-    parts = [
-        patch_rows(new, PHASE, 1, key, insert_statement(new, "categories", columns)),
-        patch_rows(new, PHASE, 2, key, insert_statement(new, "categories_description", {**same_id, **text})),
+    new = _with_meta(new_categories(diff)).withColumn("date_added", F.lit(settings.add_date).cast("timestamp_ntz"))
+    renamed = _with_meta(renamed_categories(diff))
+    reparented = reparented_categories(diff)
+    switched = category_status(diff).where(differs(F.col("stored"), F.col("categories_status")))
+
+    key = id_key("categories_id")
+    patch = (
         patch_rows(
-            new_meta, PHASE, 3, key, insert_statement(new_meta, "meta_tags_categories_description", {**same_id, **meta})
-        ),
-        _patch_update(reparented_categories(diff), 4, "categories", {"parent_id": "parent_id"}, same_id),
-        _patch_update(renamed, 5, "categories_description", text, in_lang),
-        _patch_update(renamed_meta, 6, "meta_tags_categories_description", meta, in_lang),
-        _patch_update(status, 7, "categories", {"categories_status": "categories_status"}, same_id),
-    ]
-    if settings.always_inactive:
-        ids = ",".join(map(str, settings.always_inactive))
-        fixed = F.lit(f"UPDATE `categories` SET `categories_status`=0 WHERE `categories_id` IN ({ids});")
-        parts.append(patch_rows(diff.sparkSession.range(1), PHASE, 8, F.lit(""), fixed))
-    patch = parts[0]
-    for part in parts[1:]:
-        patch = patch.unionByName(part)
-    return patch
-
-
-def _patch_update(rows: DataFrame, step: int, table: str, columns: dict, where: dict) -> DataFrame:
-    return patch_rows(rows, PHASE, step, id_key("categories_id"), update_statement(rows, table, columns, where))
+            new,
+            PHASE,
+            key,
+            {
+                1: insert_statement(new, "categories", inserted),
+                2: insert_statement(new, texts, {**same_id, **text}),
+                3: insert_statement(new, metas, {**same_id, **meta}),
+            },
+        )
+        .unionByName(
+            patch_rows(reparented, PHASE, key, {4: update_statement(reparented, "categories", moved, same_id)})
+        )
+        .unionByName(
+            patch_rows(
+                renamed,
+                PHASE,
+                key,
+                {
+                    5: update_statement(renamed, texts, text, in_lang),
+                    6: update_statement(renamed, metas, meta, in_lang),
+                },
+            )
+        )
+        .unionByName(patch_rows(switched, PHASE, key, {7: update_statement(switched, "categories", status, same_id)}))
+    )
+    if not settings.always_inactive:
+        return patch
+    ids = ",".join(map(str, settings.always_inactive))
+    fixed = F.lit(f"UPDATE `categories` SET `categories_status`=0 WHERE `categories_id` IN ({ids});")
+    return patch.unionByName(patch_rows(diff.sparkSession.range(1), PHASE, F.lit(""), {8: fixed}))

@@ -18,7 +18,7 @@ from catalogsync.operators.render import (
     update_statement,
     values_statement,
 )
-from catalogsync.operators.validate import NON_LEAF, UNASSIGNED, UNKNOWN_PRODUCT, issue_rows
+from catalogsync.operators.validate import NON_LEAF, UNASSIGNED, UNKNOWN_PRODUCT, issue_case, issue_rows
 from catalogsync.schemas import PLACEMENT_ISSUES
 from catalogsync.settings import Settings
 
@@ -125,27 +125,23 @@ def placement_issues(
     unassigned = waiting.join(named.select("products_id", "products_name"), "products_id")
     unknown = resolved.where(F.col("products_id").isNull()).withColumn("products_id", F.lit(0))
     return (
-        issue_rows(on_parent, PLACEMENT_ISSUES, NON_LEAF)
-        .unionByName(issue_rows(unassigned, PLACEMENT_ISSUES, UNASSIGNED, F.col("products_name")))
-        .unionByName(issue_rows(unknown, PLACEMENT_ISSUES, UNKNOWN_PRODUCT))
+        issue_rows(on_parent, PLACEMENT_ISSUES, [issue_case(F.lit(True), NON_LEAF)])
+        .unionByName(
+            issue_rows(unassigned, PLACEMENT_ISSUES, [issue_case(F.lit(True), UNASSIGNED, F.col("products_name"))])
+        )
+        .unionByName(issue_rows(unknown, PLACEMENT_ISSUES, [issue_case(F.lit(True), UNKNOWN_PRODUCT)]))
     )
 
 
 def placement_patch(dropped: DataFrame, added: DataFrame, new: DataFrame, masters: DataFrame) -> DataFrame:
     table, both = "products_to_categories", {c: c for c in LINK}
     by_model = F.concat_ws("/", "products_model", id_key("categories_id"))
-    master = {"master_categories_id": "master_categories_id"}
+    master, by_id = {"master_categories_id": "master_categories_id"}, {"products_id": "products_id"}
     return (
-        patch_rows(dropped, PHASE, 1, id_key(*LINK), delete_statement(dropped, table, both))
-        .unionByName(patch_rows(added, PHASE, 2, id_key(*LINK), values_statement(added, table, LINK)))
-        .unionByName(patch_rows(new, PHASE, 3, by_model, insert_statement(new, table, both)))
+        patch_rows(dropped, PHASE, id_key(*LINK), {1: delete_statement(dropped, table, both)})
+        .unionByName(patch_rows(added, PHASE, id_key(*LINK), {2: values_statement(added, table, LINK)}))
+        .unionByName(patch_rows(new, PHASE, by_model, {3: insert_statement(new, table, both)}))
         .unionByName(
-            patch_rows(
-                masters,
-                PHASE,
-                4,
-                id_key("products_id"),
-                update_statement(masters, "products", master, {"products_id": "products_id"}),
-            )
+            patch_rows(masters, PHASE, id_key("products_id"), {4: update_statement(masters, "products", master, by_id)})
         )
     )

@@ -18,6 +18,7 @@ from catalogsync.operators.validate import (
     DUPLICATE_KEY,
     MISSING_DESCRIPTION,
     MISSING_NAME,
+    issue_case,
     issue_rows,
     missing_text,
     too_long,
@@ -175,18 +176,22 @@ def info(diff: DataFrame) -> DataFrame:
 
 
 def product_issues(diff: DataFrame, settings: Settings) -> DataFrame:
-    new = new_products(diff)
-    residual = residual_products(diff).select("products_model", "products_name", "products_description")
+    """Cut names of new products, missing texts of known ones, repeated codes."""
+    new = only_in_feed()
+    checked = in_both() & (F.col("change_kind") == "changed")
     if settings.check_new_text:
-        residual = residual.unionByName(new.select(*residual.columns))
-    counts = [F.col(f"feed_{c}_rows") for c in ("complete", "stock", "description")]
-    most = F.greatest(*counts)
-    repeated = diff.where(most > 1).select(F.col("feed_products_model").alias("products_model"), most.alias("rows"))
-    return (
-        too_long(new, PRODUCT_ISSUES, "products_name", "products_title")
-        .unionByName(missing_text(residual, PRODUCT_ISSUES, "products_description", MISSING_DESCRIPTION))
-        .unionByName(missing_text(residual, PRODUCT_ISSUES, "products_name", MISSING_NAME))
-        .unionByName(issue_rows(repeated, PRODUCT_ISSUES, DUPLICATE_KEY, F.col("rows").cast("string")))
+        checked = checked | new
+    name, title, text = (F.col(f"feed_products_{c}") for c in ("name", "title", "description"))
+    most = F.greatest(*[F.col(f"feed_{c}_rows") for c in ("complete", "stock", "description")])
+    return issue_rows(
+        diff.where(F.col("in_feed").isNotNull()).withColumn("products_model", F.col("feed_products_model")),
+        PRODUCT_ISSUES,
+        [
+            too_long(F.when(new, name), title),
+            missing_text(text, MISSING_DESCRIPTION, checked),
+            missing_text(name, MISSING_NAME, checked),
+            issue_case(most > 1, DUPLICATE_KEY, most),
+        ],
     )
 
 
@@ -258,8 +263,7 @@ def apply_to_description(table: DataFrame, diff: DataFrame, new: DataFrame, sett
 
 
 def apply_to_meta(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
-    columns = ["metatags_title", "metatags_keywords", "metatags_description"]
-    changed = sparse_update(table, _info_meta(info(diff)), ["products_id"], columns)
+    changed = sparse_update(table, _info_meta(info(diff)), ["products_id"], _META_COLUMNS)
     return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True)
 
 
@@ -278,22 +282,31 @@ def status_patch(diff: DataFrame, settings: Settings) -> DataFrame:
     return on.unionByName(off)
 
 
-def _patch_update(rows: DataFrame, step: int, table: str, columns: dict) -> DataFrame:
-    statement = update_statement(rows, table, columns, {"products_id": "products_id"})
-    return patch_rows(rows, PHASE, step, id_key("products_id"), statement)
+_BY_ID = {"products_id": "products_id"}
+_META_COLUMNS = ["metatags_title", "metatags_keywords", "metatags_description"]
 
 
 def info_patch(diff: DataFrame) -> DataFrame:
     changes = info(diff)
-    text, meta = _info_text(changes), _info_meta(changes)
-    return _patch_update(text, 3, "products_description", {c: c for c in text.columns[1:]}).unionByName(
-        _patch_update(meta, 4, "meta_tags_products_description", {c: c for c in meta.columns[1:]})
+    text = {"products_name": "products_label", "products_description": "products_narrative"}
+    meta = dict(zip(_META_COLUMNS, ("products_title", "products_narrative", "products_narrative")))
+    return patch_rows(
+        changes,
+        PHASE,
+        id_key("products_id"),
+        {
+            3: update_statement(changes, "products_description", text, _BY_ID),
+            4: update_statement(changes, "meta_tags_products_description", meta, _BY_ID),
+        },
     )
 
 
 def vitals_patch(diff: DataFrame) -> DataFrame:
-    columns = {v: v for v in _VITALS}
-    return _patch_update(vitals(diff), 5, "products", {**columns, "products_price_sorter": "products_price"})
+    changes = vitals(diff)
+    columns = {**{v: v for v in _VITALS}, "products_price_sorter": "products_price"}
+    return patch_rows(
+        changes, PHASE, id_key("products_id"), {5: update_statement(changes, "products", columns, _BY_ID)}
+    )
 
 
 _INSERTED = [
@@ -304,16 +317,19 @@ _INSERTED = [
 
 
 def new_products_patch(new: DataFrame, settings: Settings) -> DataFrame:
-    rows, text, meta = store_rows(new, settings), _described(new, settings), _meta(new, settings)
-
-    def part(df: DataFrame, step: int, table: str, columns: list[str]) -> DataFrame:
-        statement = insert_statement(df, table, {c: c for c in columns})
-        return patch_rows(df, PHASE, step, id_key("products_id"), statement)
-
-    return (
-        part(rows, 6, "products", _INSERTED)
-        .unionByName(part(text, 7, "products_description", text.columns))
-        .unionByName(part(meta, 8, "meta_tags_products_description", meta.columns))
+    rows = store_rows(new, settings)
+    language = {"language_id": F.lit(str(settings.language_id))}
+    text = {"products_name": "products_name", "products_description": "products_description"}
+    meta = dict(zip(_META_COLUMNS, ("products_title", "products_description", "products_description")))
+    return patch_rows(
+        rows,
+        PHASE,
+        id_key("products_id"),
+        {
+            6: insert_statement(rows, "products", {c: c for c in _INSERTED}),
+            7: insert_statement(rows, "products_description", {**_BY_ID, **language, **text}),
+            8: insert_statement(rows, "meta_tags_products_description", {**_BY_ID, **language, **meta}),
+        },
     )
 
 

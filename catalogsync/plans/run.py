@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from catalogsync import schemas
+from catalogsync.functions.compare import with_collation
 from catalogsync.operators.merge import merge_product_feeds
 from catalogsync.operators.validate import append_issues
-from catalogsync.functions.compare import with_collation
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.session import stage
+from catalogsync.session import stage, stage_all
 from catalogsync.settings import REPLAY_BASE_DATE, Settings
 from catalogsync.sources.snapshots import read_snapshot, replay_time, snapshot_days
 from catalogsync.sources.store import TABLES, Store
@@ -30,6 +30,9 @@ class Issues:
     placements: DataFrame
 
 
+LOGS = tuple(f.name for f in fields(Issues))
+
+
 def empty_issues(spark: SparkSession) -> Issues:
     return Issues(
         spark.createDataFrame([], schemas.CATEGORY_ISSUES),
@@ -47,10 +50,22 @@ class RunResult:
     issues: Issues
 
 
-def run_categories(store: Store, departments: DataFrame, settings: Settings) -> tuple[Store, DataFrame, DataFrame]:
-    """Store, patch and issues of the first phase. The diff is staged: all three read it."""
+def diff_categories(store: Store, departments: DataFrame, settings: Settings) -> DataFrame:
     live = C.live_categories(store.categories, store.categories_description, settings)
-    diff = stage(C.category_diff(live, C.import_categories(departments), settings), "category_diff")
+    return C.category_diff(live, C.import_categories(departments), settings)
+
+
+def diff_products(
+    store: Store, complete: DataFrame, stock: DataFrame, descriptions: DataFrame, settings: Settings
+) -> DataFrame:
+    text = ["prod_code", "prod_desc", "narrative"]
+    feeds = [with_collation(f, settings.collation, text) for f in (complete, stock, descriptions)]
+    live = P.live_products(store.products, store.products_description, settings)
+    return P.product_diff(live, merge_product_feeds(*feeds), settings)
+
+
+def run_categories(store: Store, diff: DataFrame, settings: Settings) -> tuple[Store, DataFrame, DataFrame]:
+    """Store, patch and issues of the first phase, from its staged diff."""
     return C.apply_categories(store, diff, settings), C.category_patch(diff, settings), C.category_issues(diff)
 
 
@@ -63,14 +78,8 @@ class ProductPhase:
     new: DataFrame
 
 
-def run_products(
-    store: Store, complete: DataFrame, stock: DataFrame, descriptions: DataFrame, settings: Settings
-) -> ProductPhase:
-    """The second phase. Its diff and the numbered new products are staged for the third one, too."""
-    text = ["prod_code", "prod_desc", "narrative"]
-    feeds = [with_collation(f, settings.collation, text) for f in (complete, stock, descriptions)]
-    live = P.live_products(store.products, store.products_description, settings)
-    diff = stage(P.product_diff(live, merge_product_feeds(*feeds), settings), "product_diff")
+def run_products(store: Store, diff: DataFrame, settings: Settings) -> ProductPhase:
+    """The second phase, from its staged diff. Stages the numbered new products."""
     new = P.with_ids(P.new_products(diff), store.products, settings)
     known = diff.where("in_live").selectExpr("live_products_id products_id", "live_products_model products_model")
     return ProductPhase(
@@ -113,13 +122,19 @@ def run_placements(
 
 def run(store: Store, feeds: dict[str, DataFrame], log: Issues, settings: Settings) -> RunResult:
     """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name."""
-    with_categories, patch_1, issues_1 = run_categories(store, feeds["departments"], settings)
-    # Both are read by several of the steps that follow, in this phase and the next.
-    with_categories = with_categories.with_(categories=stage(with_categories.categories, "categories"))
-    phase = run_products(
-        with_categories, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings
+    diffs = stage_all(
+        {
+            "category_diff": diff_categories(store, feeds["departments"], settings),
+            "product_diff": diff_products(
+                store, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings
+            ),
+        }
     )
-    with_products = phase.store.with_(products=stage(phase.store.products, "products"))
+    with_categories, patch_1, issues_1 = run_categories(store, diffs["category_diff"], settings)
+    phase = run_products(with_categories, diffs["product_diff"], settings)
+    # Both tables are read by several steps of the next phase.
+    tables = stage_all({t: getattr(phase.store, t) for t in ("categories", "products")})
+    with_products = phase.store.with_(**tables)
     final, patch_3, issues_3 = run_placements(
         with_products,
         feeds["product_department"],
@@ -150,7 +165,7 @@ def run_if_changed(
 
 
 def stage_store(store: Store) -> Store:
-    return Store(**{t: stage(getattr(store, t), t) for t in TABLES})
+    return Store(**stage_all({t: getattr(store, t) for t in TABLES}))
 
 
 def feeds_as_of(spark: SparkSession, root: str, day: date) -> dict[str, DataFrame]:
@@ -181,12 +196,11 @@ def replay(
         if set(schemas.FEEDS) - set(feeds):
             continue
         result = run(store, feeds, log, replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day)))
-        store = stage_store(result.store)
-        log = Issues(
-            stage(result.issues.categories, "category_issues"),
-            stage(result.issues.products, "product_issues"),
-            stage(result.issues.placements, "placement_issues"),
+        staged = stage_all(
+            {**{t: getattr(result.store, t) for t in TABLES}, **{f"log_{n}": getattr(result.issues, n) for n in LOGS}}
         )
+        store = Store(**{t: staged[t] for t in TABLES})
+        log = Issues(**{n: staged[f"log_{n}"] for n in LOGS})
         if keep:
             keep(day, replace(result, store=store, issues=log))
     return store, log
@@ -198,7 +212,8 @@ def replay_products(
     """Replay of the product phase alone, over (complete, stock, descriptions) for each day."""
     for day, feeds in feeds_by_day:
         dated = replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day))
-        after = run_products(store, *feeds, dated).store
+        diff = stage(diff_products(store, *feeds, dated), "product_diff")
+        after = run_products(store, diff, dated).store
         tables = ("products", "products_description", "meta_tags_products_description")
-        store = after.with_(**{t: stage(getattr(after, t), t) for t in tables})
+        store = after.with_(**stage_all({t: getattr(after, t) for t in tables}))
     return store

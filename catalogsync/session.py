@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other, as jobs that run side by side."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        staged = pool.map(lambda item: stage(item[1], item[0]), frames.items())
+        return dict(zip(frames, staged))

@@ -263,13 +263,15 @@ _REGISTRY["first_wins"] = _REGISTRY.pop("first_sale")
 
 @_query
 def allocate_ids(v: Views) -> DataFrame:
-    return _numbered(v, _product_diff(v)).select("products_id", "products_model")
+    new = P.new_products(_product_diff(v)).select("products_model")
+    return P.with_ids(new, v.store.products, SETTINGS).select("products_id", "products_model")
 
 
 @_query
 def apply_products(v: Views) -> DataFrame:
     diff = _product_diff(v)
-    rows = P.apply_to_products(v.store.products, diff, _numbered(v, diff), SETTINGS)
+    new = P.new_products(diff).drop("products_name", "products_title", "products_description")
+    rows = P.apply_to_products(v.store.products, diff, P.with_ids(new, v.store.products, SETTINGS), SETTINGS)
     return rows.drop(
         "products_date_added", "products_last_modified", "products_date_available", "manufacturers_id"
     )
@@ -319,7 +321,8 @@ class _Links:
         live = diff.where("in_live").selectExpr("live_products_id products_id", "live_products_model products_model")
         fresh = diff.where(only_in_feed()).selectExpr("feed_products_model products_model")
         self.new = P.with_ids(fresh, v.store.products, SETTINGS)
-        self.categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
+        categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
+        self.categories = stage(categories.select("categories_id", "parent_id"), "categories")
         imported = L.import_links(v.feed_links, self.categories, SETTINGS)
         self.resolved = stage(L.resolve_links(imported, live, self.new), "resolved_links")
         changed = stage(L.changed_links(v.live_links, self.resolved), "changed_links")

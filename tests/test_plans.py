@@ -298,9 +298,8 @@ def test_case_and_trailing_blanks_in_codes(spark):
     assert P.new_products(exact).count() == 1
     settings = replace(SETTINGS, collation="UTF8_LCASE_RTRIM")
     base = store(spark, **_products(*live))
-    phase = R.run_products(
-        base, feed(spark, "complete"), feed(spark, "stockinfo", *stock), feed(spark, "descriptions"), settings
-    )
+    feeds = (feed(spark, "complete"), feed(spark, "stockinfo", *stock), feed(spark, "descriptions"))
+    phase = R.run_products(base, R.stage(R.diff_products(base, *feeds, settings), "diff"), settings)
     assert phase.new.count() == 0
     assert rows(phase.store.products, "products_id", "products_quantity") == [(1, 1.0)]
     assert phase.patch.count() > 0
