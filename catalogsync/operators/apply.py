@@ -14,10 +14,13 @@ def insert_ignore(
     key: list[str],
     defaults: dict[str, Column] | None = None,
     unique: bool = False,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Add rows whose key is not there yet; columns that ``new`` lacks take a default or NULL.
 
     Of new rows with one key the first stays, unless ``unique`` says that there are none.
+    ``before`` is the table that ``target`` was made from by changes that keep
+    its keys: looking keys up there saves making those changes twice.
     """
     defaults = defaults or {}
     filled = new.select(
@@ -27,7 +30,8 @@ def insert_ignore(
         ]
     )
     single = filled if unique else first_wins(filled, key)
-    return target.unionByName(single.join(target.select(*key), key, "left_anti"))
+    taken = (target if before is None else before).select(*key)
+    return target.unionByName(single.join(taken, key, "left_anti"))
 
 
 def _matched(target: DataFrame, change: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

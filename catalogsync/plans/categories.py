@@ -212,7 +212,7 @@ def apply_to_categories(categories: DataFrame, diff: DataFrame, settings: Settin
     if not settings.insert_status:
         new = new.drop("categories_status")
     moved = update(categories, changes, ["categories_id"], ["parent_id", "categories_status"])
-    grown = insert_ignore(moved, new, ["categories_id"], status, unique=True)
+    grown = insert_ignore(moved, new, ["categories_id"], status, unique=True, before=categories)
     return override(grown, F.col("categories_id").isin(list(settings.always_inactive)), "categories_status", 0)
 
 
@@ -220,7 +220,7 @@ def _apply_text(table: DataFrame, new: DataFrame, renamed: DataFrame, columns: l
     key = ["categories_id", "language_id"]
     lang = F.lit(language)
     changed = update(table, renamed.withColumn("language_id", lang), key, columns)
-    return insert_ignore(changed, new.withColumn("language_id", lang), key, unique=True)
+    return insert_ignore(changed, new.withColumn("language_id", lang), key, unique=True, before=table)
 
 
 def apply_categories(store: Store, diff: DataFrame, settings: Settings) -> Store:

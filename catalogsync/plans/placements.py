@@ -87,7 +87,9 @@ def added_links(changed: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: DataFrame) -> DataFrame:
-    return insert_ignore(delete(links, dropped, LINK), added.unionByName(new.select(*LINK)), LINK, unique=True)
+    """Links without the dropped ones, which are never among the added or new ones, and with those."""
+    more = added.unionByName(new.select(*LINK))
+    return insert_ignore(delete(links, dropped, LINK), more, LINK, unique=True, before=links)
 
 
 def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings) -> DataFrame:

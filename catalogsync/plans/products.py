@@ -209,7 +209,7 @@ def apply_to_products(products: DataFrame, diff: DataFrame, new: DataFrame, sett
     changed = sparse_update(
         products, changes, ["products_id"], ["products_status", *_VITALS, "products_price_sorter"]
     )
-    return insert_ignore(changed, store_rows(new, settings), ["products_id"], unique=True)
+    return insert_ignore(changed, store_rows(new, settings), ["products_id"], unique=True, before=products)
 
 
 def store_rows(new: DataFrame, settings: Settings) -> DataFrame:
@@ -259,12 +259,12 @@ def _info_meta(changes: DataFrame) -> DataFrame:
 def apply_to_description(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     """Text changes reach all languages of a product; new rows get the feed's language."""
     changed = sparse_update(table, _info_text(info(diff)), ["products_id"], ["products_name", "products_description"])
-    return insert_ignore(changed, _described(new, settings), ["products_id", "language_id"], unique=True)
+    return insert_ignore(changed, _described(new, settings), ["products_id", "language_id"], unique=True, before=table)
 
 
 def apply_to_meta(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     changed = sparse_update(table, _info_meta(info(diff)), ["products_id"], _META_COLUMNS)
-    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True)
+    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True, before=table)
 
 
 def apply_products(store: Store, diff: DataFrame, new: DataFrame, settings: Settings) -> Store:
