@@ -93,14 +93,19 @@ def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: Dat
 
 
 def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings) -> DataFrame:
-    """``(products_id, master_categories_id)`` for products waiting in the import category that have another link."""
+    """``(products_id, master_categories_id)`` for products waiting in the import category that have another link.
+
+    Few products wait as a rule, so their links are picked out before anything is grouped.
+    """
     waiting = products.where(F.col("master_categories_id") == settings.import_category_id).select("products_id")
     best = assign_by_priority(
-        links, "products_id", "categories_id", settings.priority, settings.import_category_id
-    )
-    return best.join(waiting, "products_id", "left_semi").where(F.col("categories_id").isNotNull()).select(
-        "products_id", F.col("categories_id").alias("master_categories_id")
+        links.join(waiting, "products_id", "left_semi"),
+        "products_id",
+        "categories_id",
+        settings.priority,
+        settings.import_category_id,
     )
+    return best.select("products_id", F.col("categories_id").alias("master_categories_id"))
 
 
 def apply_masters(products: DataFrame, masters: DataFrame) -> DataFrame:
@@ -121,10 +126,8 @@ def placement_issues(
     waiting = products.where(F.col("master_categories_id") == settings.import_category_id).select(
         "products_id", "products_model", F.col("master_categories_id").alias("categories_id")
     )
-    named = first_wins(
-        description.select("products_id", "language_id", "products_name"), ["products_id"], [F.col("language_id")]
-    )
-    unassigned = waiting.join(named.select("products_id", "products_name"), "products_id")
+    named = waiting.join(description.select("products_id", "language_id", "products_name"), "products_id")
+    unassigned = first_wins(named, ["products_id"], [F.col("language_id")])
     unknown = resolved.where(F.col("products_id").isNull()).withColumn("products_id", F.lit(0))
     return (
         issue_rows(on_parent, PLACEMENT_ISSUES, [issue_case(F.lit(True), NON_LEAF)])
