@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,7 +53,13 @@ def float_text(value: Column) -> Column:
 
 
 def time_text(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    """A wall-clock time to the second, whatever the session's time zone."""
+    return F.left(value.cast("string"), F.lit(19))
+
+
+def wall_clock(moment: datetime) -> Column:
+    """A time of the run as a value without time zone."""
+    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
 def snapshot_date(text: Column) -> Column:

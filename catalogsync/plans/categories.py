@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import differs, with_collation
-from catalogsync.functions.text import or_empty
+from catalogsync.functions.text import or_empty, wall_clock
 from catalogsync.operators.apply import insert_ignore, override, update
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
 from catalogsync.operators.merge import first_wins_counted
@@ -207,7 +207,7 @@ def apply_to_categories(categories: DataFrame, diff: DataFrame, settings: Settin
         .otherwise(F.coalesce("feed_categories_status", "live_categories_status"))
         .alias("categories_status"),
     )
-    new = new_categories(diff).withColumn("date_added", F.lit(settings.add_date))
+    new = new_categories(diff).withColumn("date_added", wall_clock(settings.add_date))
     status = {"categories_status": F.lit(1)}
     if not settings.insert_status:
         new = new.drop("categories_status")
@@ -251,7 +251,7 @@ def category_patch(diff: DataFrame, settings: Settings) -> DataFrame:
     moved, status = {"parent_id": "parent_id"}, {"categories_status": "categories_status"}
     texts, metas = "categories_description", "meta_tags_categories_description"
 
-    new = _with_meta(new_categories(diff)).withColumn("date_added", F.lit(settings.add_date).cast("timestamp_ntz"))
+    new = _with_meta(new_categories(diff)).withColumn("date_added", wall_clock(settings.add_date))
     renamed = _with_meta(renamed_categories(diff))
     reparented = reparented_categories(diff)
     switched = category_status(diff).where(differs(F.col("stored"), F.col("categories_status")))

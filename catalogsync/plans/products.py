@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import changed_to, differs, in_stock, with_collation
-from catalogsync.functions.text import or_empty
+from catalogsync.functions.text import or_empty, wall_clock
 from catalogsync.operators.apply import insert_ignore, sparse_update
 from catalogsync.operators.assign import allocate_ids, max_id
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
@@ -216,8 +216,8 @@ def store_rows(new: DataFrame, settings: Settings) -> DataFrame:
     """New products with the columns that only the store has."""
     return new.select(
         "*",
-        F.lit(settings.add_date).cast("timestamp_ntz").alias("products_date_added"),
-        F.lit(settings.new_date).cast("timestamp_ntz").alias("products_date_available"),
+        wall_clock(settings.add_date).alias("products_date_added"),
+        wall_clock(settings.new_date).alias("products_date_available"),
         F.lit(settings.manufacturer_id).alias("manufacturers_id"),
         F.col("products_price").alias("products_price_sorter"),
     )

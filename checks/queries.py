@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
 from catalogsync.plans.run import Issues, empty_issues, replay_products, run
 from catalogsync.schemas import FEEDS
-from catalogsync.session import stage, work_dir
+from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources.feeds import read_feed
 from catalogsync.sources.snapshots import changed_sources
 from catalogsync.sources.store import seed_control_categories
@@ -30,13 +30,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
-def _query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
-    @wraps(build)
-    def run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(views(spark, sf_dir))
+def _query(name: str | None = None) -> Callable[[Callable[[Views], DataFrame]], Callable[[Views], DataFrame]]:
+    """Register a query under its name, by default that of the function."""
 
-    _REGISTRY[build.__name__] = run_on
-    return build
+    def register(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
+        @wraps(build)
+        def run_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(views(spark, sf_dir))
+
+        _REGISTRY[name or build.__name__] = run_on
+        return build
+
+    return register
 
 
 def registry() -> dict[str, Query]:
@@ -58,7 +63,7 @@ def _comparable(query: Query) -> Query:
 # snapshots -----------------------------------------------------------------
 
 
-@_query
+@_query()
 def live_categories(v: Views) -> DataFrame:
     store = v.mixed_store
     rows = C.live_categories(store.categories, store.categories_description, SETTINGS)
@@ -66,7 +71,7 @@ def live_categories(v: Views) -> DataFrame:
     return rows.select("categories_id", "parent_id", "categories_status", "categories_description", edited)
 
 
-@_query
+@_query()
 def live_products(v: Views) -> DataFrame:
     store = v.mixed_store
     rows = P.live_products(store.products, store.products_description, SETTINGS)
@@ -77,7 +82,7 @@ def live_products(v: Views) -> DataFrame:
     )
 
 
-@_query
+@_query()
 def live_links(v: Views) -> DataFrame:
     store = v.mixed_store
     live = P.live_products(store.products, store.products_description, SETTINGS)
@@ -86,7 +91,7 @@ def live_links(v: Views) -> DataFrame:
     )
 
 
-@_query
+@_query("seed_control_categories")
 def control_categories(v: Views) -> DataFrame:
     seeded = seed_control_categories(
         v.store,
@@ -96,8 +101,6 @@ def control_categories(v: Views) -> DataFrame:
     return seeded.categories_description
 
 
-_REGISTRY["seed_control_categories"] = _REGISTRY.pop("control_categories")
-
 
 # categories ----------------------------------------------------------------
 
@@ -106,62 +109,62 @@ def _category_diff(v: Views) -> DataFrame:
     return C.category_diff(v.live_categories, C.import_categories(v.feed_categories), SETTINGS)
 
 
-@_query
+@_query()
 def import_categories(v: Views) -> DataFrame:
     return C.import_categories(v.feed_categories).drop("feed_rows")
 
 
-@_query
+@_query()
 def categories_new(v: Views) -> DataFrame:
     return C.new_categories(_category_diff(v))
 
 
-@_query
+@_query()
 def categories_dropped(v: Views) -> DataFrame:
     return C.dropped_categories(_category_diff(v))
 
 
-@_query
+@_query()
 def categories_unchanged(v: Views) -> DataFrame:
     return C.unchanged_categories(_category_diff(v))
 
 
-@_query
+@_query()
 def categories_reparented(v: Views) -> DataFrame:
     return C.reparented_categories(_category_diff(v))
 
 
-@_query
+@_query()
 def categories_renamed(v: Views) -> DataFrame:
     return C.renamed_categories(_category_diff(v))
 
 
-@_query
+@_query()
 def categories_status(v: Views) -> DataFrame:
     return C.category_status(_category_diff(v)).drop("stored")
 
 
-@_query
+@_query()
 def issues_categories(v: Views) -> DataFrame:
     return C.category_issues(_category_diff(v))
 
 
-@_query
+@_query()
 def apply_categories(v: Views) -> DataFrame:
     return C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS).drop("categories_image")
 
 
-@_query
+@_query()
 def apply_category_text(v: Views) -> DataFrame:
     return C.apply_categories(v.store, _category_diff(v), SETTINGS).categories_description
 
 
-@_query
+@_query()
 def apply_category_meta(v: Views) -> DataFrame:
     return C.apply_categories(v.store, _category_diff(v), SETTINGS).meta_tags_categories_description
 
 
-@_query
+@_query()
 def patch_categories(v: Views) -> DataFrame:
     return C.category_patch(_category_diff(v), SETTINGS)
 
@@ -182,63 +185,61 @@ def _numbered(v: Views, diff: DataFrame) -> DataFrame:
     return P.with_ids(P.new_products(diff), v.store.products, SETTINGS)
 
 
-@_query
+@_query("merge_product_feeds")
 def merge_feeds(v: Views) -> DataFrame:
     return _merged(v).drop("complete_rows", "stock_rows", "description_rows")
 
 
-_REGISTRY["merge_product_feeds"] = _REGISTRY.pop("merge_feeds")
-
 
-@_query
+@_query()
 def products_new(v: Views) -> DataFrame:
     return P.new_products(_product_diff(v)).drop("master_categories_id")
 
 
-@_query
+@_query()
 def products_dropped(v: Views) -> DataFrame:
     return P.dropped_products(_product_diff(v))
 
 
-@_query
+@_query()
 def products_vitals(v: Views) -> DataFrame:
     return P.vitals(_product_diff(v))
 
 
-@_query
+@_query()
 def products_inactive(v: Views) -> DataFrame:
     return P.inactive_products(_product_diff(v))
 
 
-@_query
+@_query()
 def products_active(v: Views) -> DataFrame:
     return P.active_products(_product_diff(v))
 
 
-@_query
+@_query()
 def products_residual(v: Views) -> DataFrame:
     return P.residual_products(_product_diff(v)).select(
         "products_id", "products_model", "products_name", "products_description"
     )
 
 
-@_query
+@_query()
 def products_info(v: Views) -> DataFrame:
     return P.info(_product_diff(v))
 
 
-@_query
+@_query()
 def upsert_info(v: Views) -> DataFrame:
     diff = _product_diff(v)
     return upsert(P.renamed_products(diff), P.redescribed_products(diff), "products_id")
 
 
-@_query
+@_query()
 def issues_products(v: Views) -> DataFrame:
     return P.product_issues(_product_diff(v), SETTINGS)
 
 
-@_query
+@_query("append_issues")
 def issue_log(v: Views) -> DataFrame:
     log = v.feed_descriptions.select(
         F.col("prod_code").alias("products_model"),
@@ -249,25 +250,21 @@ def issue_log(v: Views) -> DataFrame:
     return append_issues(log, P.product_issues(_product_diff(v), SETTINGS), P.ISSUE_KEY)
 
 
-_REGISTRY["append_issues"] = _REGISTRY.pop("issue_log")
 
-
-@_query
+@_query("first_wins")
 def first_sale(v: Views) -> DataFrame:
     items = v.table("lineitem").select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
     return first_wins(items, ["l_partkey"])
 
 
-_REGISTRY["first_wins"] = _REGISTRY.pop("first_sale")
-
 
-@_query
+@_query()
 def allocate_ids(v: Views) -> DataFrame:
     new = P.new_products(_product_diff(v)).select("products_model")
     return P.with_ids(new, v.store.products, SETTINGS).select("products_id", "products_model")
 
 
-@_query
+@_query()
 def apply_products(v: Views) -> DataFrame:
     diff = _product_diff(v)
     new = P.new_products(diff).drop("products_name", "products_title", "products_description")
@@ -277,34 +274,34 @@ def apply_products(v: Views) -> DataFrame:
     )
 
 
-@_query
+@_query()
 def apply_product_text(v: Views) -> DataFrame:
     diff = _product_diff(v)
     return P.apply_to_description(v.store.products_description, diff, _numbered(v, diff), SETTINGS)
 
 
-@_query
+@_query()
 def apply_product_meta(v: Views) -> DataFrame:
     diff = _product_diff(v)
     return P.apply_to_meta(v.store.meta_tags_products_description, diff, _numbered(v, diff), SETTINGS)
 
 
-@_query
+@_query()
 def patch_status_list(v: Views) -> DataFrame:
     return P.status_patch(_product_diff(v), SETTINGS)
 
 
-@_query
+@_query()
 def patch_info(v: Views) -> DataFrame:
     return P.info_patch(_product_diff(v))
 
 
-@_query
+@_query()
 def patch_vitals(v: Views) -> DataFrame:
     return P.vitals_patch(_product_diff(v))
 
 
-@_query
+@_query()
 def patch_new_products(v: Views) -> DataFrame:
     return P.new_products_patch(_numbered(v, _product_diff(v)), SETTINGS)
 
@@ -313,54 +310,69 @@ def patch_new_products(v: Views) -> DataFrame:
 
 
 class _Links:
-    """The link part of a run. Who is who among products is staged, as a run does."""
+    """The link part of a run. Who is who among products, and the categories, are staged as in a run."""
 
-    def __init__(self, v: Views):
+    def __init__(self, v: Views, numbered: bool):
         who = ["in_live", "in_feed", "live_products_id", "live_products_model", "feed_products_model"]
-        diff = stage(_product_diff(v).select(*who), "who")
-        live = diff.where("in_live").selectExpr("live_products_id products_id", "live_products_model products_model")
-        fresh = diff.where(only_in_feed()).selectExpr("feed_products_model products_model")
-        self.new = P.with_ids(fresh, v.store.products, SETTINGS)
         categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
-        self.categories = stage(categories.select("categories_id", "parent_id"), "categories")
-        imported = L.import_links(v.feed_links, self.categories, SETTINGS)
-        self.resolved = stage(L.resolve_links(imported, live, self.new), "resolved_links")
-        changed = stage(L.changed_links(v.live_links, self.resolved), "changed_links")
-        self.dropped = L.dropped_links(changed, v.placement_log)
-        self.added = L.added_links(changed, self.categories)
+        staged = stage_all(
+            {"who": _product_diff(v).select(*who), "categories": categories.select("categories_id", "parent_id")}
+        )
+        self.v, self.numbered, self.categories = v, numbered, staged["categories"]
+        fresh = staged["who"].where(only_in_feed()).selectExpr("feed_products_model products_model")
+        if numbered:
+            self.new = P.with_ids(fresh, v.store.products, SETTINGS)
+        else:
+            self.new = fresh.withColumn("products_id", F.lit(None).cast("int"))
+        live = staged["who"].where("in_live").selectExpr(
+            "live_products_id products_id", "live_products_model products_model"
+        )
+        resolved = L.resolve_links(L.import_links(v.feed_links, self.categories, SETTINGS), live, self.new)
+        self.resolved = stage(resolved, "resolved_links") if numbered else resolved
+
+    @cached_property
+    def _changed(self) -> DataFrame:
+        changed = L.changed_links(self.v.live_links, self.resolved)
+        return stage(changed, "changed_links") if self.numbered else changed
+
+    def dropped(self) -> DataFrame:
+        return L.dropped_links(self._changed, self.v.placement_log)
+
+    def added(self) -> DataFrame:
+        return L.added_links(self._changed, self.categories)
 
     def fresh(self) -> DataFrame:
         return L.new_links(self.resolved, self.new, SETTINGS)
 
 
-@_query
+@_query()
 def import_links(v: Views) -> DataFrame:
     categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
     return L.import_links(v.feed_links, categories, SETTINGS)
 
 
-@_query
+@_query()
 def links_dropped(v: Views) -> DataFrame:
-    return _Links(v).dropped
+    return _Links(v, numbered=False).dropped()
 
 
-@_query
+@_query()
 def links_added(v: Views) -> DataFrame:
-    return _Links(v).added
+    return _Links(v, numbered=False).added()
 
 
-@_query
+@_query()
 def links_new(v: Views) -> DataFrame:
-    return _Links(v).fresh()
+    return _Links(v, numbered=True).fresh()
 
 
-@_query
+@_query()
 def apply_links(v: Views) -> DataFrame:
-    links = _Links(v)
-    return L.apply_links(v.store.products_to_categories, links.dropped, links.added, links.fresh())
+    links = _Links(v, numbered=True)
+    return L.apply_links(v.store.products_to_categories, links.dropped(), links.added(), links.fresh())
 
 
-@_query
+@_query()
 def assign_master(v: Views) -> DataFrame:
     return L.assigned_masters(v.store.products, v.store.products_to_categories, SETTINGS)
 
@@ -377,17 +389,17 @@ def _run(v: Views):
     return run(v.store, feeds, Issues(empty.categories, empty.products, v.placement_log), SETTINGS)
 
 
-@_query
+@_query()
 def patch_links(v: Views) -> DataFrame:
     return _run(v).patch.where(F.col("phase") == L.PHASE)
 
 
-@_query
+@_query()
 def run_patch(v: Views) -> DataFrame:
     return _run(v).patch
 
 
-@_query
+@_query()
 def issues_links(v: Views) -> DataFrame:
     """The placement log of a whole run, without what an earlier run had logged."""
     log = _run(v).issues.placements
@@ -397,14 +409,12 @@ def issues_links(v: Views) -> DataFrame:
 # text, media, sources ------------------------------------------------------
 
 
-def _clean(v: Views) -> DataFrame:
+@_query("clean_text")
+def clean_documents(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
-_REGISTRY["clean_text"] = lambda spark, sf_dir: _clean(views(spark, sf_dir))
-
-
-@_query
+@_query()
 def media_keys(v: Views) -> DataFrame:
     return M.canonical_media(v.media).groupBy("key", "prefix").agg(F.max("length").alias("length"))
 
@@ -413,27 +423,27 @@ def _largest(v: Views) -> DataFrame:
     return M.keep_largest(M.canonical_media(v.media))
 
 
-@_query
+@_query()
 def media_keep_largest(v: Views) -> DataFrame:
     return _largest(v)
 
 
-@_query
+@_query()
 def media_new(v: Views) -> DataFrame:
     return M.new_media(_largest(v), v.media_current)
 
 
-@_query
+@_query()
 def media_missing(v: Views) -> DataFrame:
     return M.missing_media(v.products, v.media_current)
 
 
-@_query
+@_query()
 def media_candidates(v: Views) -> DataFrame:
     return M.resolve_candidates(M.missing_media(v.products, v.media_current), v.media_inventory)
 
 
-@_query
+@_query()
 def media_manifest(v: Views) -> DataFrame:
     current = v.media_current.select(
         "key",
@@ -447,7 +457,8 @@ def media_manifest(v: Views) -> DataFrame:
     return M.media_manifest(current, M.new_media(_largest(v), v.media_current), "now")
 
 
-def _changed(v: Views) -> DataFrame:
+@_query("changed_sources")
+def changed_pages(v: Views) -> DataFrame:
     name, page = F.col("page_id").cast("string").alias("name"), F.col("page_id")
     pages = v.table("pages")
     before = F.when(page % 5 == 1, F.concat("html", F.lit("x"))).otherwise(F.col("html"))
@@ -455,10 +466,7 @@ def _changed(v: Views) -> DataFrame:
     return changed_sources(pages.select(name, F.md5("html").alias("md5")), active)
 
 
-_REGISTRY["changed_sources"] = lambda spark, sf_dir: _changed(views(spark, sf_dir))
-
-
-@_query
+@_query()
 def replay_snapshots(v: Views) -> DataFrame:
     nothing = {n: v.spark.createDataFrame([], FEEDS[n].schema) for n in ("complete", "descriptions")}
     days = [
@@ -506,12 +514,4 @@ _roundtrip("complete", lambda v: v.feed_complete)
 _roundtrip("stockinfo", _spiced)
 _roundtrip("descriptions", lambda v: v.feed_descriptions)
 _roundtrip("product_department", lambda v: v.feed_links)
-
-
-def _departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_feed(spark, "departments", _as_file(views(spark, sf_dir).feed_categories, "departments")).drop(
-        "snapshot_date"
-    )
-
-
-_REGISTRY["read_feed_departments"] = _departments
+_roundtrip("departments", lambda v: v.feed_categories)

@@ -36,8 +36,13 @@ def test_prefer_nonempty(spark):
 
 def test_dates(spark):
     assert str(_values(spark, ["2019.03.13"], text.snapshot_date)[0]) == "2019-03-13"
-    df = spark.range(1).select(text.time_text(F.lit(datetime(2019, 3, 13, 21, 13, 8))))
-    assert df.first()[0] == "2019-03-13 21:13:08"
+    moment = datetime(2019, 3, 31, 2, 30, 0)  # does not exist in every zone
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for other in ("UTC", "Europe/Berlin", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", other)
+        row = spark.range(1).select(text.wall_clock(moment), text.time_text(text.wall_clock(moment))).first()
+        assert tuple(row) == (moment, "2019-03-31 02:30:00")
+    spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_null_is_no_change(spark):
