@@ -10,8 +10,8 @@ from catalogsync.session import stage
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in these
 
 
-def allocate_ids(new: DataFrame, key: str, id_column: str, start: int) -> DataFrame:
-    """Number rows ``start + 1, start + 2, …`` in the order of their unique key.
+def allocate_ids(new: DataFrame, key: str, id_column: str, start: int, bound: int | None = None) -> DataFrame:
+    """Number rows ``start + 1, start + 2, …`` in the order of their unique key; none may reach ``bound``.
 
     Rows are range-partitioned by key and staged with their place in their
     partition; only the row count of each partition goes through the driver.
@@ -31,6 +31,8 @@ def allocate_ids(new: DataFrame, key: str, id_column: str, start: int) -> DataFr
     for p in sorted(counts):
         offsets.append((p, total))
         total += counts[p]
+    if bound is not None and total >= bound:
+        raise ValueError(f"{total - start} new ids after {start} do not fit below {bound}")
     if not offsets:
         return placed.drop("_place").withColumn(id_column, F.lit(None).cast("int"))
     # One row per partition: bounded by spark.sql.shuffle.partitions.

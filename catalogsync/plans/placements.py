@@ -28,12 +28,16 @@ LINK = ["products_id", "categories_id"]
 ISSUE_KEY = ["categories_id", "products_id", "issue", "products_model"]
 
 
-def live_links(links: DataFrame, live: DataFrame, settings: Settings) -> DataFrame:
-    """Links between own products and own categories, with the product's model."""
-    own = links.where(
+def own_links(links: DataFrame, settings: Settings) -> DataFrame:
+    """Links between own products and own categories, so none to the control categories."""
+    return links.where(
         (F.col("categories_id") < settings.category_id_bound) & (F.col("products_id") < settings.product_id_bound)
     )
-    return own.join(live.select("products_id", "products_model"), "products_id", "left")
+
+
+def live_links(links: DataFrame, live: DataFrame, settings: Settings) -> DataFrame:
+    """Own links with the product's model."""
+    return own_links(links, settings).join(live.select("products_id", "products_model"), "products_id", "left")
 
 
 def import_links(feed: DataFrame, categories: DataFrame, settings: Settings) -> DataFrame:

@@ -91,7 +91,7 @@ def new_products(diff: DataFrame) -> DataFrame:
 def with_ids(new: DataFrame, products: DataFrame, settings: Settings) -> DataFrame:
     """New products with their ids and the import category as master. Materialises them."""
     start = max_id(products, "products_id", settings.product_id_bound)
-    numbered = allocate_ids(new, "products_model", "products_id", start)
+    numbered = allocate_ids(new, "products_model", "products_id", start, settings.product_id_bound)
     return numbered.withColumn("master_categories_id", F.lit(settings.import_category_id))
 
 
@@ -139,6 +139,20 @@ def active_products(diff: DataFrame) -> DataFrame:
     return diff.where(_goes_active()).select(_id())
 
 
+def noteworthy(diff: DataFrame) -> DataFrame:
+    """Rows of the diff that any change set, check or patch looks at.
+
+    Most products do not change from one day to the next, so this is what a
+    run stages.
+    """
+    gone = only_in_live() & (F.col("live_products_status") == 1)
+    text = in_both() & (F.col("change_kind") == "changed")
+    repeated = reduce(Column.__or__, [F.col(f"feed_{c}_rows") > 1 for c in ("complete", "stock", "description")])
+    switched = in_both() & (_goes_active() | _goes_inactive())
+    vital = in_both() & _any_vital()
+    return diff.where(only_in_feed() | gone | text | vital | switched | F.coalesce(repeated, F.lit(False)))
+
+
 def residual_products(diff: DataFrame) -> DataFrame:
     """Feed rows of known products whose name and text are not both known to be the same."""
     rows = diff.where(in_both() & (F.col("change_kind") == "changed"))

@@ -58,10 +58,11 @@ def diff_categories(store: Store, departments: DataFrame, settings: Settings) ->
 def diff_products(
     store: Store, complete: DataFrame, stock: DataFrame, descriptions: DataFrame, settings: Settings
 ) -> DataFrame:
+    """The part of the product diff that has consequences."""
     text = ["prod_code", "prod_desc", "narrative"]
     feeds = [with_collation(f, settings.collation, text) for f in (complete, stock, descriptions)]
     live = P.live_products(store.products, store.products_description, settings)
-    return P.product_diff(live, merge_product_feeds(*feeds), settings)
+    return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds), settings))
 
 
 def run_categories(store: Store, diff: DataFrame, settings: Settings) -> tuple[Store, DataFrame, DataFrame]:
@@ -81,12 +82,12 @@ class ProductPhase:
 def run_products(store: Store, diff: DataFrame, settings: Settings) -> ProductPhase:
     """The second phase, from its staged diff. Stages the numbered new products."""
     new = P.with_ids(P.new_products(diff), store.products, settings)
-    known = diff.where("in_live").selectExpr("live_products_id products_id", "live_products_model products_model")
+    known = P.live_products(store.products, store.products_description, settings)
     return ProductPhase(
         P.apply_products(store, diff, new, settings),
         P.product_patch(diff, new, settings),
         P.product_issues(diff, settings),
-        known,
+        known.select("products_id", "products_model"),
         new,
     )
 
@@ -104,7 +105,7 @@ def run_placements(
     resolved = stage(
         L.resolve_links(L.import_links(links, store.categories, settings), live, new), "resolved_links"
     )
-    changed = stage(L.changed_links(L.live_links(links_before, live, settings), resolved), "changed_links")
+    changed = stage(L.changed_links(L.own_links(links_before, settings), resolved), "changed_links")
     dropped, added = L.dropped_links(changed, log), L.added_links(changed, store.categories)
     fresh = L.new_links(resolved, new, settings)
     after = stage(L.apply_links(links_before, dropped, added, fresh), "links")

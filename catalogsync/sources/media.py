@@ -10,7 +10,8 @@ def scan_media(spark: SparkSession, root: str) -> DataFrame:
     """``(dir, name, length, md5)`` of each file below ``root``. Contents stay in the scanning task."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     # What remains of the path below the root: folder and file name.
-    below = F.element_at(F.split(F.col("path"), F.lit("/" + root.strip("/").rsplit("/", 1)[-1] + "/"), 2), 2)
+    base = root.rstrip("/") if "://" in root else "/" + root.split(":", 1)[-1].strip("/")
+    below = F.substr("path", F.locate(base + "/", "path") + F.lit(len(base) + 1))
     return files.select(
         F.regexp_extract(below, r"^(?:(.*)/)?[^/]*$", 1).alias("dir"),
         F.substring_index(below, "/", -1).alias("name"),

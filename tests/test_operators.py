@@ -150,6 +150,13 @@ def test_ids_for_nothing_new(spark):
     assert got.columns == ["model", "id"] and got.count() == 0
 
 
+def test_ids_stay_below_the_bound(spark):
+    new = spark.createDataFrame([("a",), ("b",)], "model string")
+    assert assign.allocate_ids(new, "model", "id", 7, 10).count() == 2
+    with pytest.raises(ValueError, match="below 9"):
+        assign.allocate_ids(new, "model", "id", 7, 9)
+
+
 def test_max_id_stays_below_the_bound(spark):
     df = spark.createDataFrame([(5,), (200000,)], "i int")
     assert assign.max_id(df, "i", 100001) == 5

@@ -247,6 +247,27 @@ def test_info_edits_and_missing_text(spark):
     ]
 
 
+def test_rows_without_consequences_are_left_out(spark):
+    same = dict(products_quantity=1, products_weight=0, products_price=0)
+    base, diff = _product_diff(
+        spark,
+        [_product(1, "same", **same), _product(2, "off", products_status=0), _product(3, "gone"),
+         _product(4, "price", **same), _product(5, "twice", **same), _product(6, "switch", products_quantity=1,
+         products_status=0), _product(7, "text", **same), _product(8, "no text", **same)],
+        stock=[_stock("same"), _stock("price", price=1), _stock("twice"), _stock("twice"), _stock("switch"),
+               _stock("text"), _stock("no text"), _stock("new")],
+        descriptions=[dict(prod_code=c, narrative="t") for c in ("same", "price", "twice", "switch")]
+        + [dict(prod_code="text", narrative="other")],
+    )
+    kept = P.noteworthy(diff)
+    models = {r.live_products_model or r.feed_products_model for r in kept.collect()}
+    assert models == {"gone", "price", "twice", "switch", "text", "no text", "new"}
+    for change_set in (P.vitals, P.info, P.inactive_products, P.active_products, P.new_products, P.residual_products):
+        assert rows(change_set(kept), *change_set(diff).columns) == rows(change_set(diff), *change_set(diff).columns)
+    whole, part = P.product_issues(diff, SETTINGS), P.product_issues(kept, SETTINGS)
+    assert rows(part, *whole.columns) == rows(whole, *whole.columns)
+
+
 def test_description_only_products(spark):
     live = [_product(1, "d", products_quantity=4, products_price=2, name="old")]
     given = dict(descriptions=[dict(prod_code="d", narrative="t")])

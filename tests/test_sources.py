@@ -103,9 +103,9 @@ def test_archive_and_read_back(spark, tmp_path):
 
 
 def test_scan_media(spark, tmp_path):
-    _write(tmp_path / "pics/a.jpg", b"12")
-    _write(tmp_path / "pics/large z/b_z.jpg", b"345")
-    got = rows(media.scan_media(spark, str(tmp_path / "pics")), "dir", "name", "length")
+    _write(tmp_path / "pics/1/pics/a.jpg", b"12")
+    _write(tmp_path / "pics/1/pics/large z/b_z.jpg", b"345")
+    got = rows(media.scan_media(spark, str(tmp_path / "pics/1/pics")), "dir", "name", "length")
     assert got == [("", "a.jpg", 2), ("large z", "b_z.jpg", 3)]
 
 
