@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import zipfile
@@ -12,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import catalogsync
 from catalogsync.session import stage
@@ -55,7 +55,7 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus, F.lit(0))
 
 
-def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` after ``prepare``."""
     prepare(df.sparkSession)
     return df.mapInArrow(function, schema)
@@ -73,35 +73,30 @@ def once(key: object, make: Callable[[], object]) -> object:
     return _KEPT[key]
 
 
-def sum_vectors(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+def sum_vectors(rows: DataFrame, keys: list[str], groups: int = 128) -> DataFrame:
     """Sum the packed float64 vectors in ``vec`` by key.
 
-    One vector comes from each input partition and key. They are added in two
-    levels, groups of about the square root of ``parts`` first, so no task adds
-    many.
+    One vector comes from each input partition (``part``) and key. They are
+    added in two levels, first in ``groups`` groups of partitions, so that no
+    task adds all of a key.
     """
     prepare(rows.sparkSession)
-    names = ", ".join(f"{k} {t}" for k, t in rows.dtypes if k in keys)
-    groups = max(1, math.isqrt(max(1, parts)))
-
-    level = [*keys, "part"]
-    near = (
-        rows.withColumn("part", F.pmod(F.col("part"), F.lit(groups)).cast("int"))
-        .select(*level, "vec")
-        .groupBy(*level)
-        .applyInArrow(_adder(level), f"{names}, part int, vec binary")
-    )
-    return near.select(*keys, "vec").groupBy(*keys).applyInArrow(_adder(keys), f"{names}, vec binary")
-
-
-def _adder(names: list[str]) -> Callable:
-    def function(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for packed in batch.column("vec"):
-                vector = np.frombuffer(packed.as_py(), dtype=np.float64)
-                total = vector.copy() if total is None else total + vector
-        arrays = [pa.array([k.as_py()], k.type) for k in key]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array([total.tobytes()], pa.binary())], names=[*names, "vec"])
-
-    return function
+    kinds = dict(rows.dtypes)
+
+    def adder(names: list[str]) -> Callable[[tuple, pa.Table], pa.Table]:
+        def add(key: tuple, table: pa.Table) -> pa.Table:
+            total = 0
+            for packed in table.column("vec"):
+                total = total + np.frombuffer(packed.as_py(), dtype=np.float64)
+            arrays = [pa.array([k.as_py()], k.type) for k in key]
+            return pa.table([*arrays, pa.array([total.tobytes()], pa.binary())], names=[*names, "vec"])
+
+        return add
+
+    def summed(frame: DataFrame, names: list[str]) -> DataFrame:
+        schema = ", ".join(f"{k} {kinds.get(k, 'int')}" for k in names) + ", vec binary"
+        return frame.select(*names, "vec").groupBy(*names).applyInArrow(adder(names), schema)
+
+    near = rows.withColumn("part", F.pmod(F.col("part"), F.lit(groups)).cast("int"))
+    kinds["part"] = "int"
+    return summed(summed(near, [*keys, "part"]), keys)

@@ -39,3 +39,59 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catalogsync.llm.bpe import bpe_round_trip
 
     return bpe_round_trip(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+
+
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.topk_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+@_query
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.lm_score import train_and_score
+
+    return train_and_score(table(spark, sf_dir, "documents"))

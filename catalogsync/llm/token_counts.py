@@ -8,6 +8,8 @@ never shuffled; counting is one narrow pass over the texts.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
@@ -92,8 +94,6 @@ class Counted(dict):
 
 def check_split(tokenizer: object) -> None:
     """Only byte-level tokenizers without a normalizer split texts as SPLIT does."""
-    import json
-
     spec = json.loads(tokenizer.to_str())
     split = spec["pre_tokenizer"] or {}
     if spec["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
@@ -133,7 +133,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "do
     joined = "".join(frequent)
     lengths = np.fromiter(map(len, frequent), np.uint8, len(frequent))
     counts = np.fromiter(frequent.values(), np.uint8, len(frequent))  # LONGEST characters have fewer than 256 bytes
-    table = docs.sparkSession.sparkContext.broadcast((joined, lengths, counts))
+    table, key = docs.sparkSession.sparkContext.broadcast((joined, lengths, counts)), uuid.uuid4().hex
 
     def unpack() -> Counted:
         text_of, sizes, n = table.value
@@ -142,7 +142,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "do
         return Counted(path, {text_of[a:b]: c for a, b, c in zip(starts, ends, n.tolist())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted = once(("token counts", table.id, path), unpack)
+        counted = once(("token counts", key), unpack)
         for batch in batches:
             tokens = [counted.count(v) if v else 0 for v in batch.column("text").to_pylist()]
             n = pa.array(tokens, pa.int64())
