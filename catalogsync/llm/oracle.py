@@ -2,6 +2,115 @@
 
 from __future__ import annotations
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+           list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+    FROM v a, v b
+    WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+_NEAR = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{WORD}') AS ws FROM documents
+), sh AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
+    FROM w
+), n AS (
+    SELECT doc_id, count(s) AS n_shingles FROM documents LEFT JOIN sh USING (doc_id) GROUP BY doc_id
+), links AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+    ) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * shared >= 75 * (na.n_shingles + nb.n_shingles - shared)
+), reach AS (
+    SELECT doc_id AS id, doc_id AS r FROM documents
+    UNION
+    SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM n JOIN (SELECT id, min(r) AS component_id FROM reach GROUP BY id) ON id = doc_id
+"""
+
+_EXACT = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def _mixing(fills: int = 3) -> str:
+    passes = []
+    for k in range(1, fills + 1):
+        fits = "extra = 0 AND rest > 0 AND size <= rest"
+        passes.append(f"""
+, b{k} AS (
+    SELECT *, coalesce(sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (
+        PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM p{k - 1}
+), f{k} AS (
+    SELECT * EXCLUDE (extra, before), CASE WHEN {fits} AND before + size <= rest THEN 1 ELSE extra END AS extra,
+           CASE WHEN {fits} AND before + size <= rest THEN size ELSE 0 END AS filled
+    FROM b{k}
+), p{k} AS (
+    SELECT * EXCLUDE (rest, filled), rest - (sum(filled) OVER (PARTITION BY source))::DOUBLE AS rest FROM f{k}
+)""")
+    return f"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+           -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 12))::BIGINT::DOUBLE + 1) / 281474976710656.0)
+           / greatest(coalesce(power_share, 0.0), 0.05) AS key
+    FROM (
+        SELECT *, share * share AS power_share FROM (
+            SELECT *, length(regexp_replace(text, '[^a-zà-ÿ ]+', '', 'g'))::DOUBLE / greatest(length(text), 1) AS share FROM documents
+        )
+    )
+), t AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), r AS (
+    SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, (sum(source_size) OVER ())::BIGINT AS total FROM t
+), o AS (
+    SELECT *, source_size * 6 // weight AS ratio FROM r
+), c AS (
+    SELECT *, coalesce(sum(source_size) OVER before, 0)::BIGINT AS stopped_size,
+           (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::BIGINT AS weights_left
+    FROM o WINDOW before AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), s AS (
+    SELECT *, (total - 3 * stopped_size) * weight >= 3 * source_size * weights_left AS stops FROM c
+), g AS (
+    SELECT source, source_size, CASE WHEN stops THEN (3 * source_size)::DOUBLE ELSE
+        ((total - 3 * sum(CASE WHEN stops THEN source_size ELSE 0 END) OVER ()) * weight)::DOUBLE
+        / (sum(CASE WHEN stops THEN 0 ELSE weight END) OVER ())::DOUBLE END AS target
+    FROM s
+), p0 AS (
+    SELECT d.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs,
+           target - coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT * source_size AS rest, 0 AS extra
+    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+){''.join(passes)}
+SELECT doc_id, size, source_size, target, epochs + extra AS times, (epochs + extra) * size AS taken FROM p{fills}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_topk_search": _TOP_K,
+        "op5_near_dedup": _NEAR,
+        "op8_exact_dedup": _EXACT,
+        "op9_mixing": _mixing(),
+    }
