@@ -27,8 +27,10 @@ SIDE = 2  # bytes on each side
 HIDDEN = 32
 ROUNDS = 2
 RATE = 0.08
+PASSES = 2  # over the counts that a partition has gathered
 STEP = 2048  # distinct windows of a step
-BLOCK = 2_000_000  # bytes counted or scored at once
+BLOCK = 4_000_000  # bytes counted or scored at once
+DISTINCT = 2_000_000  # distinct windows and bytes that are held before they are learnt from
 EDGE = 256  # what stands beyond the ends of a text
 INPUTS = 257
 PLACES = tuple(k for k in range(-SIDE, SIDE + 1) if k)
@@ -105,29 +107,40 @@ def blocks(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 
 class Trainer:
-    """Adagrad over the distinct windows of blocks, weighted by their counts."""
+    """Adagrad over the distinct windows of a partition, weighted by their counts."""
 
     def __init__(self, values: np.ndarray):
         self.net = Network(values.astype(np.float32).copy())
         self.seen = np.full(Network.size(), 1e-6, np.float32)
         self.bytes = 0
         self.random = np.random.Generator(np.random.PCG64(11))
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def learn(self, codes: np.ndarray) -> None:
+    def count(self, codes: np.ndarray) -> None:
+        """Add the windows of a block; learns from what is held when that gets too much."""
         self.bytes += len(codes)
         used, counts = np.unique(codes, return_counts=True)
+        self.codes, where = np.unique(np.concatenate((self.codes, used)), return_inverse=True)
+        self.counts = np.bincount(where, weights=np.concatenate((self.counts, counts))).astype(np.int64)
+        if len(self.codes) >= DISTINCT:
+            self.learn()
+
+    def learn(self) -> None:
+        used, counts = self.codes, self.counts
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(used):
+            return
         around = used >> 8
-        starts = np.flatnonzero(np.concatenate(([True], around[1:] != around[:-1])))
-        owner = np.cumsum(np.concatenate(([0], (around[1:] != around[:-1]).astype(np.int64))))
-        windows = windows_of(around[starts])
-        ends = np.append(starts[1:], len(used))
-        order = self.random.permutation(len(starts))
-        for at in range(0, len(order), STEP):
-            some = np.sort(order[at : at + STEP])
-            place = np.full(len(starts), -1)
-            place[some] = np.arange(len(some))
-            pick_ = np.concatenate([np.arange(starts[s], ends[s]) for s in some])
-            self.step(windows[some], place[owner[pick_]], used[pick_] & 255, counts[pick_])
+        fresh = np.concatenate(([True], around[1:] != around[:-1]))
+        starts = np.flatnonzero(fresh)
+        windows, sizes = windows_of(around[starts]), np.diff(np.append(starts, len(used)))
+        for _ in range(PASSES):
+            order = self.random.permutation(len(starts))
+            for at in range(0, len(order), STEP):
+                some = np.sort(order[at : at + STEP])
+                row = np.repeat(np.arange(len(some)), sizes[some])
+                places = np.arange(len(row)) - np.repeat(np.cumsum(sizes[some]) - sizes[some], sizes[some]) + starts[some][row]
+                self.step(windows[some], row, used[places] & 255, counts[places])
 
     def step(self, windows: np.ndarray, row: np.ndarray, byte: np.ndarray, count: np.ndarray) -> None:
         tables, _, out, _ = self.net.parts
@@ -176,10 +189,11 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> np.ndarr
                     size += len(data)
                     if size >= BLOCK:
                         for _, codes in blocks(held):
-                            trainer.learn(codes)
+                            trainer.count(codes)
                         held, size = [], 0
             for _, codes in blocks(held):
-                trainer.learn(codes)
+                trainer.count(codes)
+            trainer.learn()
             if trainer.bytes:
                 vector = np.append(trainer.net.values.astype(np.float64), 1.0) * trainer.bytes
                 yield pa.RecordBatch.from_arrays(
@@ -224,17 +238,29 @@ def score(docs: DataFrame, values: np.ndarray, doc_id: str = "doc_id", text: str
     kind = rows.schema["doc_id"].dataType.simpleString()
     sent = rows.sparkSession.sparkContext.broadcast(values)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(sent.value)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            sums, sizes = score_texts(texts, net), [len(t or b"") for t in texts]
-            means = [s / n if n else None for s, n in zip(sums, sizes)]
+    def scored(net: Network, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Score batches together: the more text, the more windows repeat."""
+        texts = [t for batch in held for t in batch.column("text").to_pylist()]
+        sums, at = score_texts(texts, net), 0
+        for batch in held:
+            own, some = sums[at : at + batch.num_rows], [len(t or b"") for t in texts[at : at + batch.num_rows]]
+            at += batch.num_rows
+            means = [s / n if n else None for s, n in zip(own, some)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums), pa.array(means, pa.float64())],
+                [batch.column("doc_id"), pa.array(some, pa.int64()), pa.array(own), pa.array(means, pa.float64())],
                 names=["doc_id", "n_tokens", "log_likelihood", "per_token"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, held = Network(sent.value), []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= BLOCK:
+                yield from scored(net, held)
+                held = []
+        if held:
+            yield from scored(net, held)
+
     return map_batches(rows, run, f"doc_id {kind}, n_tokens long, log_likelihood double, per_token double")
 
 
