@@ -12,7 +12,8 @@ alike are compared on their full sets, the most alike first, and pairs already
 joined by other links need no comparison: components, not all pairs, are asked
 for. In a node too large to compare, all are first compared with one of its
 documents, which joins large groups of near copies, and what is one component by
-then is left alone.
+then is left alone. Where only a few documents are not in a node's largest
+component, just these are compared with all others; the rest branches further.
 """
 
 from __future__ import annotations
@@ -145,6 +146,19 @@ def branch(members: DataFrame, depth: int) -> DataFrame:
     return map_batches(members.select("node", "rep", "sketch"), run, "node long, rep long")
 
 
+def few_against_all(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Nodes whose largest component lacks few documents: blocks of it, each with all these few.
+
+    ``members``: ``node``, ``rep``, ``component``; ``nodes``: ``node``, ``most``
+    (the largest component) and ``d`` (its documents).
+    """
+    rows = members.join(nodes.select("node", "most", F.ceil(F.col("d") * 2 / NODE).alias("blocks")), "node")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    block = F.explode(F.when(F.col("component") == F.col("most"), own).otherwise(every)).alias("block")
+    return rows.select("node", "rep", block).select(F.xxhash64("node", "block").alias("node"), "rep")
+
+
 def in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Large nodes as pairs of blocks that fit: each document goes with its block to every other block."""
     rows = members.join(sizes.select("node", F.ceil(F.col("n") * 4 / NODE).alias("blocks")), "node")
@@ -154,11 +168,12 @@ def in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def alike(leaves: DataFrame, best: int) -> DataFrame:
-    """Compare the documents of each node by their sketches: ``a``, ``b``, ``alike`` (tokens in common).
+    """Compare the documents of each node by their sketches: ``a``, ``b``, ``alike`` (tokens in common), ``more``.
 
     ``leaves``: ``node``, ``rep``, ``component``, ``n_shingles``, ``sketch``.
     For each document the ``best`` most alike partners of other components that
     may reach the threshold, by their sketches and by the sizes of their sets.
+    ``more`` marks those of a document that has further ones.
     """
     share = THRESHOLD[0] / THRESHOLD[1]
     least = int(np.ceil(COORDINATES * (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES))))
@@ -192,11 +207,13 @@ def alike(leaves: DataFrame, best: int) -> DataFrame:
         order = np.lexsort((rep[theirs], -same, mine))
         mine, theirs, same = mine[order], theirs[order], same[order]
         first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
-        place = np.arange(len(mine)) - np.repeat(first, np.diff(np.append(first, len(mine))))
+        sizes = np.diff(np.append(first, len(mine)))
+        place, more = np.arange(len(mine)) - np.repeat(first, sizes), np.repeat(sizes > best, sizes)
         kept = place < best
         a, b = rep[mine[kept]], rep[theirs[kept]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(same[kept].astype(np.int32))], names=["a", "b", "alike"]
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(same[kept].astype(np.int32)), pa.array(more[kept])],
+            names=["a", "b", "alike", "more"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +232,7 @@ def alike(leaves: DataFrame, best: int) -> DataFrame:
                 yield made
 
     ordered = leaves.select("node", "rep", "component", "n_shingles", "sketch").repartition("node").sortWithinPartitions("node")
-    return map_batches(ordered, run, "a long, b long, alike int")
+    return map_batches(ordered, run, "a long, b long, alike int, more boolean")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -271,7 +288,7 @@ class _Join:
     def sized(self, members: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """Members of nodes with two components or more, and the nodes that are too large, and whether there are any."""
         rows = stage(self.labelled(members), "members")
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("p"), F.max("component").alias("q"), F.min("rep").alias("leader"))
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("p"), F.max("component").alias("q"), F.min_by("rep", F.xxhash64("node", "rep")).alias("leader"))
         sizes = stage(sizes.where("p <> q").select("node", "n", "leader"), "nodes")
         large = sizes.where(F.col("n") > NODE)
         return rows.join(sizes.select("node", "n"), "node").select("node", "rep", "n"), large, bool(large.take(1))
@@ -324,12 +341,18 @@ class _Join:
                 lead.select(F.xxhash64("rep", "leader").alias("node"), F.explode(F.array("rep", "leader")).alias("rep")).distinct()
             )), 1)
             self.connect(stars)
-            inside = self.labelled(inside)
-            mixed = inside.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-            mixed = stage(mixed.select("node", "n"), "mixed")
-            inside = inside.join(mixed.select("node"), "node", "left_semi").select("node", "rep")
+            inside = stage(self.labelled(inside), "inside")
+            parts = inside.groupBy("node", "component").agg(F.count(F.lit(1)).alias("d"))
+            parts = parts.groupBy("node").agg(F.sum("d").alias("n"), F.max("d").alias("d"), F.max_by("component", "d").alias("most"))
+            mixed = stage(parts.where("n > d"), "mixed")
+            few = F.col("n") - F.col("d") <= NODE // 2
+            grown.append(stage(few_against_all(inside, mixed.where(few)), "leaves"))
+            hard = mixed.where(~few)
+            if not hard.take(1):
+                break
+            inside = inside.join(hard.select("node"), "node", "left_semi").select("node", "rep")
             if depth >= DEEPEST:
-                grown.append(stage(in_blocks(inside, mixed), "leaves"))
+                grown.append(stage(in_blocks(inside, hard), "leaves"))
                 break
             members, large, any_large = self.sized(branch(self.sketched(inside), depth))
             members = stage(members, "branches")
@@ -343,7 +366,11 @@ class _Join:
         one = one.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b"))
         self.connect(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         best = 4
-        while self.connect(self.candidates(leaves, best)) or best < NODE:
+        while True:
+            found = stage(self.candidates(leaves, best), "alike")
+            self.connect(found)
+            if not found.where("more").take(1):
+                break
             best *= 4
 
 
