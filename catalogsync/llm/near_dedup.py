@@ -45,6 +45,7 @@ PAIRS_AT_ONCE = 32_768
 
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _ODD = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
+_STEPS = _RANDOM.integers(1, 1 << 63, BRANCHES, dtype=np.uint64)
 _PLACES = _RANDOM.integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
 
 
@@ -138,7 +139,7 @@ def branch(members: DataFrame, depth: int) -> DataFrame:
             node = batch.column("node").to_numpy().view(np.uint64)
             rows = np.arange(len(node))
             for b in range(BRANCHES):
-                chosen = _mix(node + np.uint64(b + 1) * np.uint64(0xD1342543DE82EF95))
+                chosen = _mix(node + _STEPS[b])
                 some = rows if b == 0 or depth <= 2 else rows[_mix(node) % np.uint64(3) == 0]
                 coordinate = (chosen % np.uint64(COORDINATES))[some]
                 yield _members(_child(node[some], coordinate, signs[some, coordinate]), batch.column("rep").take(pa.array(some)))
