@@ -47,9 +47,10 @@ def quoted(text: Column) -> Column:
 
 
 def float_text(value: Column) -> Column:
-    """Whole floats without the ``.0`` that a cast would print."""
-    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-    return F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
+    """The shortest decimal that is the float, without exponent and without a fraction of zero."""
+    short = value.cast("string")
+    plain = F.coalesce(short.try_cast("decimal(38,15)").cast("string"), short)
+    return F.when(plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
 
 
 def time_text(value: Column) -> Column:
@@ -60,8 +61,3 @@ def time_text(value: Column) -> Column:
 def wall_clock(moment: datetime) -> Column:
     """A time of the run as a value without time zone."""
     return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-
-
-def snapshot_date(text: Column) -> Column:
-    """The date in a dated folder's name, ``2019.03.13``."""
-    return F.to_date(text, "yyyy.MM.dd")

@@ -109,7 +109,8 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
     def vital(name: str, default: Column) -> Column:
         return F.when(has_stock, F.col(f"stock.{name}")).when(has_complete, F.col(f"complete.{name}")).otherwise(default)
 
-    status = F.when(vital("cantsell", F.lit(1)) == 1, 0).otherwise(1)
+    cantsell = vital("cantsell", F.lit(1))
+    status = F.when(cantsell == 1, 0).when(cantsell.isNotNull(), 1)  # an unreadable mark says nothing
     own_text = prefer_nonempty(F.col("complete_text.narrative"), F.col("complete_text.prod_desc"))
     return merged.select(
         "products_model",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ NON_LEAF = "Non-leaf category placement"
 UNASSIGNED = "No category assigned"
 DUPLICATE_KEY = "Duplicate key"
 UNKNOWN_PRODUCT = "Unknown product"
+REJECTED_ROW = "Rejected row"
 
 
 def issue_case(found: Column, issue: str, note_1: Column | None = None, note_2: Column | None = None) -> Column:
@@ -51,6 +54,8 @@ def missing_text(text: Column, issue: str, applies: Column) -> Column:
 
 
 def append_issues(log: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Extend a log; for each key the entry written first stays."""
+    """Extend a log; for each key the entry written first stays. Keys may hold NULL, which equals itself."""
     fresh = first_wins(new.select(*log.columns), key)
-    return log.unionByName(fresh.join(log.select(*key), key, "left_anti"))
+    known = log.select(*[F.col(k).alias(f"_{k}") for k in key])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return log.unionByName(fresh.join(known, same, "left_anti"))

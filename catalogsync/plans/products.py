@@ -33,6 +33,28 @@ ISSUE_KEY = ["products_model", "issue"]
 _COMPARED_TEXT = ["match_key", "products_model", "products_name", "products_description"]
 
 
+# Digests that stand for the compared texts.
+_DIGESTS = {"products_name": "name_digest", "products_description": "text_digest"}
+
+
+def with_digests(rows: DataFrame) -> DataFrame:
+    """Digests in place of the texts: what a table needs to tell whether a text has changed."""
+    return rows.select(
+        *[c for c in rows.columns if c not in _DIGESTS], *[F.sha2(c, 256).alias(d) for c, d in _DIGESTS.items()]
+    )
+
+
+def live_digests(products: DataFrame, description: DataFrame, settings: Settings) -> DataFrame:
+    """``live_products`` with digests for texts, taken where the texts are read: no text is shuffled."""
+    short = with_digests(description).withColumnsRenamed({d: c for c, d in _DIGESTS.items()})
+    nothing = F.sha2(F.lit(""), 256)
+    rows = live_products(products, short, settings)
+    return rows.select(
+        *[c for c in rows.columns if c not in _DIGESTS],
+        *[F.coalesce(F.nullif(c, F.lit("")), nothing).alias(d) for c, d in _DIGESTS.items()],
+    )
+
+
 def live_products(products: DataFrame, description: DataFrame, settings: Settings) -> DataFrame:
     """Own products with their text; of a repeated model the smallest id.
 
@@ -64,9 +86,17 @@ def live_products(products: DataFrame, description: DataFrame, settings: Setting
 def product_diff(live: DataFrame, feed: DataFrame, settings: Settings) -> DataFrame:
     if settings.quarantine_description_only:
         feed = feed.where(~description_only())
-    return snapshot_diff(
-        live, feed, "match_key", "products_model", compare=["products_name", "products_description"]
-    )
+    compare = ["products_name", "products_description"]
+    if "text_digest" in live.columns:
+        compare = list(_DIGESTS.values())
+        feed = feed.withColumns({d: F.sha2(c, 256) for c, d in _DIGESTS.items()})
+    return snapshot_diff(live, feed, "match_key", "products_model", compare)
+
+
+def _differs_in(diff: DataFrame, text: str) -> Column:
+    """Whether a text differs between feed and store, by digests where the diff has them."""
+    column = _DIGESTS[text] if f"live_{_DIGESTS[text]}" in diff.columns else text
+    return differs(F.col(f"feed_{column}"), F.col(f"live_{column}"))
 
 
 _FEED = [
@@ -80,8 +110,12 @@ def _feed_side(rows: DataFrame) -> DataFrame:
 
 
 def new_products(diff: DataFrame) -> DataFrame:
-    """Products only the feed has; without stock they start inactive."""
+    """Products only the feed has; without stock, or with numbers that can't be read, they start inactive."""
     rows = _feed_side(diff.where(only_in_feed()))
+    unknown = reduce(Column.__or__, [F.col(v).isNull() for v in [*_VITALS, "products_status"]])
+    rows = rows.withColumn("products_status", F.when(unknown, 0).otherwise(F.col("products_status"))).withColumns(
+        {v: F.coalesce(v, F.lit(0).cast(rows.schema[v].dataType)) for v in _VITALS}
+    )
     status = F.when(~in_stock(F.col("products_quantity")), 0).otherwise(F.col("products_status"))
     return rows.withColumn("products_status", status).withColumn(
         "master_categories_id", F.lit(STAGING_MASTER_CATEGORY)
@@ -160,14 +194,14 @@ def residual_products(diff: DataFrame) -> DataFrame:
 
 
 def renamed_products(diff: DataFrame) -> DataFrame:
-    renamed = differs(F.col("feed_products_name"), F.col("live_products_name"))
+    renamed = _differs_in(diff, "products_name")
     return diff.where(in_both() & F.col("live_products_last_modified").isNull() & renamed).select(
         _id(), F.col("feed_products_name").alias("products_label"), F.col("feed_products_title").alias("products_title")
     )
 
 
 def redescribed_products(diff: DataFrame) -> DataFrame:
-    retold = differs(F.col("feed_products_description"), F.col("live_products_description"))
+    retold = _differs_in(diff, "products_description")
     return diff.where(in_both() & F.col("live_products_last_modified").isNull() & retold).select(
         _id(), F.col("feed_products_description").alias("products_narrative")
     )
@@ -179,8 +213,8 @@ def info(diff: DataFrame) -> DataFrame:
     The union by id of ``renamed_products`` and ``redescribed_products``, read
     off one row each instead of joining the two.
     """
-    renamed = differs(F.col("feed_products_name"), F.col("live_products_name"))
-    retold = differs(F.col("feed_products_description"), F.col("live_products_description"))
+    renamed = _differs_in(diff, "products_name")
+    retold = _differs_in(diff, "products_description")
     return diff.where(in_both() & F.col("live_products_last_modified").isNull() & (renamed | retold)).select(
         _id(),
         F.when(renamed, F.col("feed_products_name")).alias("products_label"),

@@ -7,17 +7,18 @@ from dataclasses import dataclass, fields, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalogsync import schemas
 from catalogsync.functions.compare import with_collation
 from catalogsync.operators.merge import merge_product_feeds
-from catalogsync.operators.validate import append_issues
+from catalogsync.operators.validate import REJECTED_ROW, append_issues, issue_case, issue_rows
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.session import stage, stage_all
+from catalogsync.session import release, stage, stage_all, staged_paths
 from catalogsync.settings import REPLAY_BASE_DATE, Settings
-from catalogsync.sources.snapshots import read_snapshot, replay_time, snapshot_days
+from catalogsync.sources.snapshots import read_snapshot, recorded_days, replay_time
 from catalogsync.sources.store import TABLES, Store
 
 
@@ -61,7 +62,9 @@ def diff_products(
     """The part of the product diff that has consequences."""
     text = ["prod_code", "prod_desc", "narrative"]
     feeds = [with_collation(f, settings.collation, text) for f in (complete, stock, descriptions)]
-    live = P.live_products(store.products, store.products_description, settings)
+    # Live texts are only compared, never shown, so without a collation their digests do.
+    snapshot = P.live_digests if settings.collation is None else P.live_products
+    live = snapshot(store.products, store.products_description, settings)
     return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds), settings))
 
 
@@ -121,8 +124,30 @@ def run_placements(
     )
 
 
-def run(store: Store, feeds: dict[str, DataFrame], log: Issues, settings: Settings) -> RunResult:
-    """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name."""
+def rejected_issues(rejected: DataFrame) -> Issues:
+    """Log entries for the rows that ``feeds.rejected_rows`` lists, in the log of the phase that reads the feed."""
+    entry = issue_case(F.lit(True), REJECTED_ROW, F.col("file"), F.col("record"))
+    number = F.coalesce(F.trim("key").try_cast("int"), F.lit(0))
+
+    def of(*feeds: str) -> DataFrame:
+        return rejected.where(F.col("feed").isin(*feeds))
+
+    categories = of("departments").withColumn("categories_id", number)
+    products = of("complete", "stockinfo", "descriptions").withColumn("products_model", F.col("key"))
+    links = of("product_department").select(
+        "*", F.lit(0).alias("categories_id"), F.lit(0).alias("products_id"), F.col("key").alias("products_model")
+    )
+    return Issues(
+        issue_rows(categories, schemas.CATEGORY_ISSUES, [entry]),
+        issue_rows(products, schemas.PRODUCT_ISSUES, [entry]),
+        issue_rows(links, schemas.PLACEMENT_ISSUES, [entry]),
+    )
+
+
+def run(
+    store: Store, feeds: dict[str, DataFrame], log: Issues, settings: Settings, rejected: DataFrame | None = None
+) -> RunResult:
+    """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name, ``rejected`` their flawed rows."""
     diffs = stage_all(
         {
             "category_diff": diff_categories(store, feeds["departments"], settings),
@@ -145,9 +170,14 @@ def run(store: Store, feeds: dict[str, DataFrame], log: Issues, settings: Settin
         log.placements,
         settings,
     )
+    if rejected is not None:
+        flawed = rejected_issues(rejected)
+        issues_1, issues_3 = issues_1.unionByName(flawed.categories), issues_3.unionByName(flawed.placements)
+        phase = replace(phase, issues=phase.issues.unionByName(flawed.products))
     return RunResult(
         final,
-        patch_1.unionByName(phase.patch).unionByName(patch_3),
+        # Sorted when it is written, which reads it more than once.
+        stage(patch_1.unionByName(phase.patch).unionByName(patch_3), "patch"),
         Issues(
             append_issues(log.categories, issues_1, C.ISSUE_KEY),
             append_issues(log.products, phase.issues, P.ISSUE_KEY),
@@ -169,11 +199,13 @@ def stage_store(store: Store) -> Store:
     return Store(**stage_all({t: getattr(store, t) for t in TABLES}))
 
 
-def feeds_as_of(spark: SparkSession, root: str, day: date) -> dict[str, DataFrame]:
-    """For each feed its newest record that is not younger than ``day``."""
+def feeds_as_of(
+    spark: SparkSession, root: str, day: date, recorded: dict[str, list[date]] | None = None
+) -> dict[str, DataFrame]:
+    """For each feed its newest record that is not younger than ``day``; ``recorded`` saves listing the days anew."""
     feeds = {}
-    for name in schemas.FEEDS:
-        days = [d for d in snapshot_days(spark, name, root) if d <= day]
+    for name, every in (recorded or recorded_days(spark, root)).items():
+        days = [d for d in every if d <= day]
         if days:
             feeds[name] = read_snapshot(spark, name, root, days[-1])
     return feeds
@@ -190,31 +222,25 @@ def replay(
     """Run recorded days one after the other, each on the staged outcome of the one before.
 
     Days on which a feed has no record yet are skipped. ``keep`` may write what a
-    day produced.
+    day produced; after it, the tables that the day has staged are deleted, but
+    for the store and logs that the next day starts from.
     """
+    spark, carried = store.products.sparkSession, []
     for day in days:
+        before = staged_paths()
         feeds = feeds_for(day)
         if set(schemas.FEEDS) - set(feeds):
             continue
         result = run(store, feeds, log, replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day)))
+        used = staged_paths() - before
         staged = stage_all(
             {**{t: getattr(result.store, t) for t in TABLES}, **{f"log_{n}": getattr(result.issues, n) for n in LOGS}}
         )
+        made = staged_paths() - before - used
         store = Store(**{t: staged[t] for t in TABLES})
         log = Issues(**{n: staged[f"log_{n}"] for n in LOGS})
         if keep:
             keep(day, replace(result, store=store, issues=log))
+        release(spark, used.union(carried))
+        carried = made
     return store, log
-
-
-def replay_products(
-    store: Store, feeds_by_day: list[tuple[date, tuple[DataFrame, DataFrame, DataFrame]]], settings: Settings
-) -> Store:
-    """Replay of the product phase alone, over (complete, stock, descriptions) for each day."""
-    for day, feeds in feeds_by_day:
-        dated = replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day))
-        diff = stage(diff_products(store, *feeds, dated), "product_diff")
-        after = run_products(store, diff, dated).store
-        tables = ("products", "products_description", "meta_tags_products_description")
-        store = after.with_(**stage_all({t: getattr(after, t) for t in tables}))
-    return store

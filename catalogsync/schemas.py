@@ -11,17 +11,20 @@ MONEY = T.DecimalType(15, 4)
 
 @dataclass(frozen=True)
 class Feed:
-    """A supplier file: positional columns, values for missing fields, text widths.
+    """A supplier file: positional columns, the one that names a row, values for missing fields, text widths.
 
-    ``multi_line`` feeds may hold line breaks inside quotes; Spark reads such a
-    file in one task, so only feeds with free text pay for it.
+    Only names and titles have a width, which the store's columns set. Codes are
+    keys and stay whole.
     """
 
     name: str
     schema: T.StructType
     defaults: dict[str, object] = field(default_factory=dict)
     widths: dict[str, int] = field(default_factory=dict)
-    multi_line: bool = False
+
+    @property
+    def key(self) -> str:
+        return "prod_code" if "prod_code" in self.schema.names else "dept_code"
 
 
 def _struct(**columns: T.DataType) -> T.StructType:
@@ -34,7 +37,7 @@ _STOCK_TAIL = dict(
     units_qty=_FLOAT, weight=_FLOAT, price=MONEY, del_date=_TEXT, discont=_INT, prod_image=_TEXT, cantsell=_INT
 )
 _STOCK_DEFAULTS = dict(prod_code="", prod_desc="", units_qty=0.0, weight=0.0, price=0, discont=0, cantsell=0)
-_STOCK_WIDTHS = dict(prod_code=32, prod_desc=255, del_date=20, prod_image=255)
+_STOCK_WIDTHS = dict(prod_desc=255, del_date=20, prod_image=255)
 
 FEEDS = {
     f.name: f
@@ -50,21 +53,17 @@ FEEDS = {
             _struct(prod_code=_TEXT, prod_desc=_TEXT, narrative=_TEXT, **_STOCK_TAIL),
             _STOCK_DEFAULTS,
             _STOCK_WIDTHS,
-            multi_line=True,
         ),
         Feed("stockinfo", _struct(prod_code=_TEXT, prod_desc=_TEXT, **_STOCK_TAIL), _STOCK_DEFAULTS, _STOCK_WIDTHS),
         Feed(
             "descriptions",
             _struct(prod_code=_TEXT, narrative=_TEXT),
             dict(prod_code=""),
-            dict(prod_code=32),
-            multi_line=True,
         ),
         Feed(
             "product_department",
             _struct(prod_code=_TEXT, dept_code=_INT),
             dict(prod_code="", dept_code=0),
-            dict(prod_code=32),
         ),
     )
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,23 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_staged: set[str] = set()
+
+
+def staged_paths() -> set[str]:
+    """Where the tables staged so far and not released are."""
+    return set(_staged)
+
+
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in _staged.intersection(paths):
+        folder = hadoop.Path(path).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _staged.discard(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate as a parquet table in the work folder and read it back.
 
@@ -60,6 +78,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
+    _staged.add(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

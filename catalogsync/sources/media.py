@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogsync.sources.paths import below
+
 
 def scan_media(spark: SparkSession, root: str) -> DataFrame:
     """``(dir, name, length, md5)`` of each file below ``root``. Contents stay in the scanning task."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    # What remains of the path below the root: folder and file name.
-    base = root.rstrip("/") if "://" in root else "/" + root.split(":", 1)[-1].strip("/")
-    below = F.substr("path", F.locate(base + "/", "path") + F.lit(len(base) + 1))
+    rest = below("path", root)
     return files.select(
-        F.regexp_extract(below, r"^(?:(.*)/)?[^/]*$", 1).alias("dir"),
-        F.substring_index(below, "/", -1).alias("name"),
+        F.regexp_extract(rest, r"^(?:(.*)/)?[^/]*$", 1).alias("dir"),
+        F.substring_index(rest, "/", -1).alias("name"),
         "length",
         F.md5("content").alias("md5"),
     )

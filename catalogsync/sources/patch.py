@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,13 @@ def write_patch(patch: DataFrame, path: str) -> None:
     ).text(path)
 
 
+def write_dated_patch(patch: DataFrame, root: str, moment: datetime) -> str:
+    """A patch in a folder of its own, named by the time of its run, so that no later one replaces it."""
+    path = f"{root}/{moment:%Y.%m.%d-%H%M%S}"
+    write_patch(patch, path)
+    return path
+
+
 def write_phase_patches(patch: DataFrame, path: str) -> None:
     """One folder for each phase, for slow connections. Pass a staged patch: it is read once per phase."""
     for phase, name in PHASES.items():

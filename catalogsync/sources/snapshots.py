@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogsync.functions.image import base_name
 from catalogsync.schemas import FEEDS
 from catalogsync.settings import REPLAY_TIME
+from catalogsync.sources.paths import below
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """``(name, length, md5)`` of each file below a folder. Contents stay in the scanning task."""
+    """``(name, length, md5)`` of each file below a folder, named by its path there. Contents stay in the scanning task."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(base_name(F.col("path")).alias("name"), "length", F.md5("content").alias("md5"))
+    return files.select(below("path", path).alias("name"), "length", F.md5("content").alias("md5"))
 
 
 def text_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -30,7 +30,7 @@ def text_digests(spark: SparkSession, path: str) -> DataFrame:
     sums = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
         F.count("*").alias("n"), F.sum(digest).alias("total"), F.bit_xor(F.xxhash64("value")).alias("mix")
     )
-    return sums.select(base_name(F.col("path")).alias("name"), F.md5(F.concat_ws(":", "n", "total", "mix")).alias("md5"))
+    return sums.select(below("path", path).alias("name"), F.md5(F.concat_ws(":", "n", "total", "mix")).alias("md5"))
 
 
 def changed_sources(test: DataFrame, active: DataFrame) -> DataFrame:
@@ -74,6 +74,11 @@ def snapshot_days(spark: SparkSession, name: str, root: str) -> list[date]:
     return [r[0] for r in record.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
 
 
+def recorded_days(spark: SparkSession, root: str) -> dict[str, list[date]]:
+    """The days on record of each feed: one listing for a whole replay."""
+    return {name: snapshot_days(spark, name, root) for name in FEEDS}
+
+
 def replay_time(day: date) -> datetime:
     """The moment that stands for a replayed day."""
     return datetime.combine(day, datetime.strptime(REPLAY_TIME, "%H:%M:%S").time())
