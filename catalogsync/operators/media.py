@@ -61,28 +61,21 @@ def canonical_media(files: DataFrame) -> DataFrame:
         sized & F.endswith(F.col("stem"), F.concat(F.lit("_"), F.col("suffix"))), F.expr("left(stem, length(stem) - 2)")
     )
     unmarked = F.when(~sized, image.without_mark(F.col("stem")))
-    # (rank, candidate, whether it must be known)
-    ways = [
-        (F.col("stem"), True),
-        (unmarked, False),
-        (bare, True),
-        (under, True),
-        (under, False),
-        (bare, False),
-        (F.col("stem"), False),
-    ]
-    tried = parts.select(
-        "*",
-        F.posexplode(F.array(*[F.struct(c.alias("name"), F.lit(must).alias("must")) for c, must in ways])).alias(
-            "_rank", "_way"
-        ),
-    ).where(F.col("_way.name") != "")
-    hits = tried.join(
-        known, (F.col("_way.name") == F.col("_known")) & (F.col("ext") == F.col("_known_ext")), "left"
-    ).where(~F.col("_way.must") | F.col("_known").isNotNull())
-    chosen = hits.groupBy("suffix", "stem", "ext").agg(
-        F.min_by(F.col("_way.name"), F.col("_rank")).alias("_name"), F.first("_file").alias("_file")
+    # Names that are taken if they are known, by rank: only these are looked up, without the file's other columns.
+    lookups = F.array(*[F.struct(F.lit(k).alias("rank"), name.alias("name")) for k, name in enumerate((F.col("stem"), bare, under))])
+    tried = parts.select("suffix", "stem", "ext", F.explode(lookups).alias("_way")).where(F.col("_way.name") != "")
+    hits = tried.join(known, (F.col("_way.name") == F.col("_known")) & (F.col("ext") == F.col("_known_ext")), "left_semi")
+    rank = hits.groupBy("suffix", "stem", "ext").agg(F.min("_way.rank").alias("_rank"))
+    name = (
+        F.when(F.col("_rank") == 0, F.col("stem"))
+        .when(unmarked != "", unmarked)
+        .when(F.col("_rank") == 1, bare)
+        .when(F.col("_rank") == 2, under)
+        .when(under != "", under)
+        .when(bare != "", bare)
+        .otherwise(F.col("stem"))
     )
+    chosen = parts.join(rank, ["suffix", "stem", "ext"], "left").withColumn("_name", name).where(F.col("_name") != "")
     key = image.prefixed(F.concat_ws(".", "_name", F.nullif(F.col("ext"), F.lit(""))))
     return chosen.select(key.alias("key"), F.left(F.col("_name"), F.lit(2)).alias("prefix"), "ext", "_file.*")
 
@@ -131,6 +124,18 @@ def resolve_candidates(missing: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
+def found_media(candidates: DataFrame, inventory: DataFrame) -> DataFrame:
+    """The files behind ``resolve_candidates``, as ``media_manifest`` takes them: the largest of each name."""
+    files = inventory.groupBy("name").agg(_largest()).select(F.col("name").alias("_original"), "_file.*")
+    found = candidates.select("key", F.col("name").alias("_original")).join(files, "_original")
+    return found.select("key", F.substring_index("key", "/", 1).alias("prefix"), "dir", "name", "length", "md5")
+
+
+def unresolved_media(missing: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Paths that the inventory has under none of their possible names: the report of missing images."""
+    return missing.join(candidates, "key", "left_anti").select("key")
+
+
 def media_manifest(current: DataFrame, found: DataFrame, run: str) -> DataFrame:
     """The current set with newly found files in place of older ones of the same key."""
     fresh = found.select("key", "prefix", "dir", "name", "length", "md5", F.lit(run).alias("run"))

@@ -68,7 +68,7 @@ from fx_part where (pk % 4 = 1 and pk % 11 <> 3) or (pk % 11 = 3 and pk % 3 in (
 select pk, code, 1000 + bn * 10 + p_size % 6 cid from fx_part
 union
 select pk, code, 1000 + ((bn + s_nationkey) % 25 + 1) * 10 + p_size % 6
-from lineitem join fx_part on l_partkey = pk join supplier on l_suppkey = s_suppkey where l_linenumber <= 2
+from lineitem join fx_part on l_partkey = pk join supplier on l_suppkey = s_suppkey
 union
 select pk, code, 100 + bn % 25 from fx_part where pk % 20 = 0""",
     "fx_feed_links": """
@@ -574,14 +574,7 @@ select categories_id, 1, left(categories_description, 64), categories_descriptio
     "media_keep_largest": "select * from media_best",
     "media_new": "select * from media_fresh",
     "media_missing": "select * from media_lost",
-    "media_candidates": """
-select key, arg_min(tried, rank) as name
-from (select key, upper(regexp_extract(key, '/(.*)\\.', 1)) stem from media_lost)
-cross join (values (0, '_Z.jpg'), (1, '_Z.jpeg'), (2, '.jpg'), (3, '.jpeg')) w(rank, tail)
-cross join lateral (select stem || tail as tried)
-where tried in (select upper(regexp_replace(name, '\\.[^.]*$', '')) || '.' || lower(regexp_extract(name, '[^.]*$'))
-                from fx_media)
-group by key""",
+    "media_candidates": "select * from media_found",
     "media_manifest": """
 select key, prefix, dir, name, length, md5, 'now' run from media_fresh
 union all
@@ -601,18 +594,93 @@ union all
 select cast((select max(products_id) from fx_live_products) + row_number() over (order by first_k, code) as int), code,
        price, qty, cast(0 as float), case when k = 3 and qty > 0 then 1 else 0 end, left(descr, 64)
 from last_seen where code not in (select products_model from fx_live_products)""",
-    "read_feed_departments": "select * from fx_feed_categories",
+    "replay_links": """
+select products_id, categories_id from fx_live_links
+where (products_id, categories_id) not in (select (products_id, categories_id) from replay_dropped)
+union all
+select products_id, categories_id from replay_known
+where (products_id, categories_id) not in (select (products_id, categories_id) from fx_live_links)
+  and categories_id not in (select parent_id from parents)
+union all
+select products_id, categories_id from import_l join replay_new on products_model = code
+union all
+select products_id, 100001 from replay_new""",
+    # Categories are made active and take the feed's status on the day after.
+    "replay_categories": """
+select c.categories_id, c.parent_id,
+       case when c.categories_id in (1054, 1115, 107) then 0 else coalesce(n.categories_status, c.categories_status) end
+       categories_status
+from next_c c left join new_c n on c.categories_id = n.categories_id""",
+    "run_products": """
+select p.* replace (coalesce(m.master_categories_id, p.master_categories_id) as master_categories_id)
+from next_p p left join masters m on p.products_id = m.products_id""",
+    "run_descriptions": "select * from next_description",
+    "run_links": "select * from next_l",
+    "run_categories": "select categories_id, parent_id, categories_status, last_modified, date_added from next_c",
+    "run_issues_categories": "select * from issues_c",
+    "run_issues_products": "select * from issues_p",
+    "patch_file": f"select statement from ({_union('vitals')})",
+    "store_files": """
+select products_id, products_model, products_image, products_price, products_quantity, products_weight, products_status
+from fx_live_products""",
+    "issues_new_text": """
+select * from issues_p
+union all
+select products_model, 'Missing Description', null, null from new_p
+where products_description is null or products_description = ''
+union all
+select products_model, 'Missing Name', null, null from new_p where products_name is null or products_name = ''""",
+    "new_quarantined": """
+select products_model, products_price from new_p
+where products_model in (select prod_code from fx_feed_complete union select prod_code from fx_feed_stock)""",
+    "media_found_manifest": """
+select key, split_part(key, '/', 1) prefix, name, max(length) length
+from media_found join (select upper(regexp_replace(name, '\\.[^.]*$', '')) || '.' || lower(regexp_extract(name, '[^.]*$')) as name, length
+                       from fx_media) using (name)
+group by all""",
+    "media_unresolved": """
+select key from media_lost
+where not exists (
+    select 1 from (select upper(regexp_replace(name, '\\.[^.]*$', '')) || '.' || lower(regexp_extract(name, '[^.]*$')) as name
+                   from fx_media where length % 3 = 0) i
+    where i.name in (upper(regexp_extract(key, '/(.*)\\.', 1)) || '_Z.jpg', upper(regexp_extract(key, '/(.*)\\.', 1)) || '_Z.jpeg',
+                     upper(regexp_extract(key, '/(.*)\\.', 1)) || '.jpg', upper(regexp_extract(key, '/(.*)\\.', 1)) || '.jpeg'))""",
+    "read_feed_long_codes": "select repeat('0', 40) || prod_code prod_code, units_qty from fx_feed_stock",
+    "rejected_rows": """
+select prod_code as key, true kept from fx_feed_stock
+where cast(substr(prod_code, 2) as bigint) % 7 = 0 or cast(substr(prod_code, 2) as bigint) % 11 = 0""",
+    "products_dropped_dirty": """
+select products_id from fx_live_products
+where products_status = 1 and products_model not in (select prod_code from fx_feed_stock)""",
+    "archive_roundtrip": "select prod_code, units_qty, price from fx_feed_stock",
+    "read_feed_departments": "select * replace (dept_name || ' in two' as dept_name) from fx_feed_categories",
     "read_feed_complete": f"""
 select prod_code, {_CLEAN.format('prod_desc')} prod_desc, {_CLEAN.format('narrative')} narrative, units_qty, weight,
        price, cast(null as varchar) del_date, 0 discont, {_CLEAN.format('prod_image')} prod_image, cantsell
 from fx_feed_complete""",
     "read_feed_stockinfo": f"""
-select prod_code, {_CLEAN.format(f"prod_desc || '{_SPICE}'")} prod_desc, units_qty, weight, price,
+select prod_code, {_CLEAN.format(f"prod_desc || '{_SPICE} in two'")} prod_desc, units_qty, weight, price,
        cast(null as varchar) del_date, 0 discont, prod_image, cantsell
 from fx_feed_stock""",
     "read_feed_descriptions": f"select prod_code, {_CLEAN.format('narrative')} narrative from fx_feed_descriptions",
     "read_feed_product_department": "select * from fx_feed_links",
 }
+_VIEWS["media_found"] = """
+select key, arg_min(tried, rank) as name
+from (select key, upper(regexp_extract(key, '/(.*)\\.', 1)) stem from media_lost)
+cross join (values (0, '_Z.jpg'), (1, '_Z.jpeg'), (2, '.jpg'), (3, '.jpeg')) w(rank, tail)
+cross join lateral (select stem || tail as tried)
+where tried in (select upper(regexp_replace(name, '\\.[^.]*$', '')) || '.' || lower(regexp_extract(name, '[^.]*$'))
+                from fx_media)
+group by key"""
+_VIEWS["replay_new"] = """
+select cast((select max(products_id) from fx_live_products) + row_number() over (order by first_k, code) as int) products_id, code
+from last_seen where code not in (select products_model from fx_live_products)"""
+_VIEWS["replay_known"] = """
+select l.products_id, i.categories_id from import_l i join fx_live_products l on i.products_model = l.products_model"""
+_VIEWS["replay_dropped"] = """
+select products_id, categories_id from fx_live_links
+where (products_id, categories_id) not in (select (products_id, categories_id) from replay_known)"""
 _VIEWS["last_seen"] = """
 select code, max(k) k, min(k) first_k, arg_max(price, k) price, arg_max(qty, k) qty, arg_max(descr, k) descr
 from fx_snapshots group by code"""
@@ -644,16 +712,20 @@ def _needed(sql: str) -> list[str]:
     return done
 
 
-# Money columns in results, shown as double.
+# Money columns in results, shown as text.
 _MONEY = {
     "live_products": ["products_price"],
     "merge_product_feeds": ["products_price"],
     "products_new": ["products_price"],
     "products_vitals": ["products_price"],
     "apply_products": ["products_price", "products_price_sorter"],
+    "run_products": ["products_price", "products_price_sorter"],
+    "store_files": ["products_price"],
+    "new_quarantined": ["products_price"],
     "replay_snapshots": ["products_price"],
     "read_feed_complete": ["price"],
     "read_feed_stockinfo": ["price"],
+    "archive_roundtrip": ["price"],
 }
 
 
@@ -661,7 +733,7 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in _QUERIES.items():
         if name in _MONEY:
-            shown = ", ".join(f"cast({c} as double) as {c}" for c in _MONEY[name])
+            shown = ", ".join(f"cast(cast({c} as decimal(15, 4)) as varchar) as {c}" for c in _MONEY[name])
             body = f"select * replace ({shown}) from ({body})"
         views = ",\n".join(f"{v} as ({_VIEWS[v].strip()})" for v in _needed(body))
         out[name] = f"with {views}\n{body.strip()}" if views else body.strip()

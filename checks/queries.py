@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,12 +20,13 @@ from catalogsync.operators.validate import MISSING_DESCRIPTION, append_issues
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.plans.run import Issues, empty_issues, replay_products, run
+from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
-from catalogsync.sources.feeds import read_feed
-from catalogsync.sources.snapshots import changed_sources
-from catalogsync.sources.store import seed_control_categories
+from catalogsync.sources.feeds import read_feed, rejected_rows
+from catalogsync.sources.patch import write_patch
+from catalogsync.sources.snapshots import archive_feed, changed_sources, read_snapshot, recorded_days, snapshot_days
+from catalogsync.sources.store import Store, read_live, seed_control_categories, write_store
 from checks.views import IMPORT_CATEGORY, SETTINGS, SNAPSHOT_DAYS, Views, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,13 +52,13 @@ def registry() -> dict[str, Query]:
 
 
 def _comparable(query: Query) -> Query:
-    """Money as double in what a query shows, as in the oracles: not every client keeps decimals."""
+    """Money as text in what a query shows, as in the oracles, so that all its digits are compared."""
 
     @wraps(query)
     def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = query(spark, sf_dir)
         money = [f.name for f in rows.schema if isinstance(f.dataType, DecimalType)]
-        return rows.withColumns({c: F.col(c).cast("double") for c in money}) if money else rows
+        return rows.withColumns({c: F.col(c).cast("string") for c in money}) if money else rows
 
     return shown
 
@@ -313,6 +316,7 @@ class _Links:
     """The link part of a run. Who is who among products, and the categories, are staged as in a run."""
 
     def __init__(self, v: Views, numbered: bool):
+        v = v.at_rest
         who = ["in_live", "in_feed", "live_products_id", "live_products_model", "feed_products_model"]
         categories = C.apply_to_categories(v.store.categories, _category_diff(v), SETTINGS)
         staged = stage_all(
@@ -378,7 +382,7 @@ def assign_master(v: Views) -> DataFrame:
 
 
 def _run(v: Views):
-    empty = empty_issues(v.spark)
+    v, empty = v.at_rest, empty_issues(v.spark)
     feeds = dict(
         departments=v.feed_categories,
         complete=v.feed_complete,
@@ -406,6 +410,73 @@ def issues_links(v: Views) -> DataFrame:
     return log.join(v.placement_log, L.ISSUE_KEY, "left_anti").select(*log.columns)
 
 
+_DATES = ("products_date_added", "products_last_modified", "products_date_available", "manufacturers_id")
+
+
+@_query()
+def run_products(v: Views) -> DataFrame:
+    """The product table after a whole run, master categories included."""
+    return _run(v).store.products.drop(*_DATES)
+
+
+@_query()
+def run_descriptions(v: Views) -> DataFrame:
+    return _run(v).store.products_description
+
+
+@_query()
+def run_links(v: Views) -> DataFrame:
+    return _run(v).store.products_to_categories
+
+
+@_query()
+def run_categories(v: Views) -> DataFrame:
+    return _run(v).store.categories.drop("categories_image")
+
+
+@_query()
+def run_issues_categories(v: Views) -> DataFrame:
+    return _run(v).issues.categories
+
+
+@_query()
+def run_issues_products(v: Views) -> DataFrame:
+    return _run(v).issues.products
+
+
+@_query()
+def patch_file(v: Views) -> DataFrame:
+    """A patch written as files and read back."""
+    path = f"{work_dir(v.spark)}/patch-{uuid.uuid4().hex}"
+    write_patch(P.vitals_patch(_product_diff(v)), path)
+    return v.spark.read.text(path).select(F.col("value").alias("statement"))
+
+
+@_query()
+def store_files(v: Views) -> DataFrame:
+    """The product table of a store written as a version and read back."""
+    root = f"{work_dir(v.spark)}/store-{uuid.uuid4().hex}"
+    write_store(v.at_rest.store, root)
+    return read_live(v.spark, "products", root).select(
+        "products_id", "products_model", "products_image", "products_price", "products_quantity", "products_weight",
+        "products_status",
+    )
+
+
+@_query()
+def issues_new_text(v: Views) -> DataFrame:
+    """Product issues with the texts of new products checked as well."""
+    return P.product_issues(_product_diff(v), replace(SETTINGS, check_new_text=True))
+
+
+@_query()
+def new_quarantined(v: Views) -> DataFrame:
+    """New products without those that only the descriptions know."""
+    settings = replace(SETTINGS, quarantine_description_only=True)
+    live = P.live_products(v.store.products, v.store.products_description, settings)
+    return P.new_products(P.product_diff(live, _merged(v), settings)).select("products_model", "products_price")
+
+
 # text, media, sources ------------------------------------------------------
 
 
@@ -457,6 +528,20 @@ def media_manifest(v: Views) -> DataFrame:
     return M.media_manifest(current, M.new_media(_largest(v), v.media_current), "now")
 
 
+@_query()
+def media_found_manifest(v: Views) -> DataFrame:
+    """Files found for missing images take their place in the manifest."""
+    candidates = M.resolve_candidates(M.missing_media(v.products, v.media_current), v.media_inventory)
+    found = M.found_media(candidates, v.media_inventory)
+    return found.select("key", "prefix", "name", "length")
+
+
+@_query()
+def media_unresolved(v: Views) -> DataFrame:
+    missing = M.missing_media(v.products, v.media_current)
+    return M.unresolved_media(missing, M.resolve_candidates(missing, v.media_inventory.where("length % 3 = 0")))
+
+
 @_query("changed_sources")
 def changed_pages(v: Views) -> DataFrame:
     name, page = F.col("page_id").cast("string").alias("name"), F.col("page_id")
@@ -466,14 +551,30 @@ def changed_pages(v: Views) -> DataFrame:
     return changed_sources(pages.select(name, F.md5("html").alias("md5")), active)
 
 
+def _replayed(v: Views) -> Store:
+    """The store after three recorded days, read back from the record."""
+    v, root = v.at_rest, f"{work_dir(v.spark)}/record-{uuid.uuid4().hex}"
+    for number, day in enumerate(SNAPSHOT_DAYS, start=1):
+        for name, rows in v.feeds_of(number).items():
+            full = rows.select(*[
+                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in FEEDS[name].schema
+            ])
+            archive_feed(full.withColumn("snapshot_date", F.lit(day)), name, root)
+    recorded = recorded_days(v.spark, root)
+    # Feeds without rows leave no record of their own; they are the same on every day.
+    recorded = {name: days or SNAPSHOT_DAYS for name, days in recorded.items()}
+
+    def feeds_for(day: date) -> dict[str, DataFrame]:
+        held = feeds_as_of(v.spark, root, day, {n: d for n, d in recorded.items() if n not in ("complete", "descriptions")})
+        return v.feeds_of(1) | held
+
+    return replay(v.store, SNAPSHOT_DAYS, feeds_for, empty_issues(v.spark), SETTINGS)[0]
+
+
 @_query()
 def replay_snapshots(v: Views) -> DataFrame:
-    nothing = {n: v.spark.createDataFrame([], FEEDS[n].schema) for n in ("complete", "descriptions")}
-    days = [
-        (day, (nothing["complete"], v.snapshot(number), nothing["descriptions"]))
-        for number, day in enumerate(SNAPSHOT_DAYS, start=1)
-    ]
-    final = replay_products(v.store, days, SETTINGS)
+    final = _replayed(v)
     names = final.products_description.select("products_id", "products_name")
     return final.products.join(names, "products_id").select(
         "products_id", "products_model", "products_price", "products_quantity", "products_weight", "products_status",
@@ -481,6 +582,16 @@ def replay_snapshots(v: Views) -> DataFrame:
     )
 
 
+@_query()
+def replay_links(v: Views) -> DataFrame:
+    return _replayed(v).products_to_categories
+
+
+@_query()
+def replay_categories(v: Views) -> DataFrame:
+    return _replayed(v).categories.select("categories_id", "parent_id", "categories_status")
+
+
 def _as_file(rows: DataFrame, name: str) -> str:
     """Write a feed the way the supplier does: quoted CSV with a header, Windows-1252 bytes."""
     path = f"{work_dir(rows.sparkSession)}/feed-{uuid.uuid4().hex}"
@@ -506,12 +617,63 @@ def _roundtrip(name: str, feed: Callable[[Views], DataFrame]) -> None:
     _REGISTRY[f"read_feed_{name}"] = build
 
 
+def _broken(text: Column, number: Column) -> Column:
+    """The text with a line break inside, of each kind in turn."""
+    kind = F.element_at(F.array(F.lit("\n"), F.lit("\r"), F.lit("\r\n")), (number % 3 + 1).cast("int"))
+    return F.concat(text, F.lit(" in"), kind, F.lit("two"))
+
+
 def _spiced(v: Views) -> DataFrame:
-    return v.feed_stock.withColumn("prod_desc", F.concat("prod_desc", F.lit(" ‘n’ “x” €")))
+    spiced = F.concat("prod_desc", F.lit(" ‘n’ “x” €"))
+    return v.feed_stock.withColumn("prod_desc", _broken(spiced, F.length("prod_desc")))
 
 
 _roundtrip("complete", lambda v: v.feed_complete)
 _roundtrip("stockinfo", _spiced)
 _roundtrip("descriptions", lambda v: v.feed_descriptions)
 _roundtrip("product_department", lambda v: v.feed_links)
-_roundtrip("departments", lambda v: v.feed_categories)
+_roundtrip("departments", lambda v: v.feed_categories.withColumn("dept_name", _broken(F.col("dept_name"), F.col("dept_code") + 3)))
+
+
+@_query()
+def read_feed_long_codes(v: Views) -> DataFrame:
+    """Codes that share their first 40 characters stay apart."""
+    path = _as_file(v.feed_stock.withColumn("prod_code", F.concat(F.lit("0" * 40), "prod_code")), "stockinfo")
+    return read_feed(v.spark, "stockinfo", path).select("prod_code", "units_qty")
+
+
+def _dirty_stock(v: Views) -> str:
+    """A stock feed as text where every seventh price is none and every eleventh row lacks its last four fields."""
+    path = f"{work_dir(v.spark)}/dirty-{uuid.uuid4().hex}"
+    pk = F.substring("prod_code", 2, 10).cast("long")
+    price = F.when(pk % 7 == 0, F.lit('"1,234.50"')).otherwise(F.col("price").cast("string"))
+    head = F.concat_ws(",", "prod_code", F.concat(F.lit('"'), "prod_desc", F.lit('"')), "units_qty", "weight", price)
+    row = F.when(pk % 11 == 0, head).otherwise(F.concat_ws(",", head, F.lit(""), F.lit("0"), "prod_image", "cantsell"))
+    v.feed_stock.select(row.alias("value")).write.option("header", True).option("quote", "\x01").option("escapeQuotes", False).option(
+        "sep", "\x02"
+    ).csv(path)
+    return path
+
+
+@_query("rejected_rows")
+def rejected(v: Views) -> DataFrame:
+    return rejected_rows(v.spark, "stockinfo", _dirty_stock(v)).select("key", "kept")
+
+
+@_query()
+def products_dropped_dirty(v: Views) -> DataFrame:
+    """A bad price or missing fields drop no product."""
+    stock = read_feed(v.spark, "stockinfo", _dirty_stock(v))
+    nothing = {n: v.spark.createDataFrame([], FEEDS[n].schema) for n in ("complete", "descriptions")}
+    live = P.live_products(v.store.products, v.store.products_description, SETTINGS)
+    merged = merge_product_feeds(nothing["complete"], stock, nothing["descriptions"])
+    return P.dropped_products(P.product_diff(live, merged, SETTINGS))
+
+
+@_query()
+def archive_roundtrip(v: Views) -> DataFrame:
+    """A delivery of many files is one day of the record."""
+    root = f"{work_dir(v.spark)}/record-{uuid.uuid4().hex}"
+    archive_feed(read_feed(v.spark, "stockinfo", _as_file(v.feed_stock, "stockinfo")), "stockinfo", root)
+    (day,) = snapshot_days(v.spark, "stockinfo", root)
+    return read_snapshot(v.spark, "stockinfo", root, day).select("prod_code", "units_qty", "price")

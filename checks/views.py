@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogsync.schemas import MONEY
+from catalogsync.schemas import FEEDS, MONEY
 from catalogsync.session import stage
 from catalogsync.settings import Settings
 from catalogsync.sources.store import Store
@@ -248,13 +248,12 @@ class Views:
     def links(self) -> DataFrame:
         """(pk, code, cid): own leaf, leaves by supplier, and for some the brand's category, which is no leaf.
 
-        Staged: live links and feed links are both cut from it.
+        Live links and feed links are both cut from it; lazy, so that building a query runs no job.
         """
         own = self.parts.select("pk", "code", _leaf(_c("bn")).alias("cid"))
         # Pairs of part and nation first: a part may have any share of the line items.
         sold = (
             self.table("lineitem")
-            .where("l_linenumber <= 2")
             .select(_c("l_partkey").alias("pk"), _c("l_suppkey").alias("s_suppkey"))
             .distinct()
             .join(self.table("supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
@@ -263,7 +262,15 @@ class Views:
         )
         by_supplier = self.parts.join(sold, "pk").select("pk", "code", _leaf((_c("bn") + _c("s_nationkey")) % 25 + 1))
         upper = self.parts.where("pk % 20 = 0").select("pk", "code", F.lit(100) + _c("bn") % 25)
-        return stage(own.union(by_supplier).union(upper).distinct(), "links")
+        return own.union(by_supplier).union(upper).distinct()
+
+    @cached_property
+    def at_rest(self) -> Views:
+        """The same views with the link table staged, for queries that read it several times, as a run reads files."""
+        other = Views(self.spark, self.sf_dir)
+        other._tables = self._tables
+        other.__dict__["links"] = stage(self.links, "links")
+        return other
 
     @cached_property
     def feed_links(self) -> DataFrame:
@@ -394,7 +401,14 @@ class Views:
     def media_inventory(self) -> DataFrame:
         """The supplier's originals: the same names with an upper-case stem and a lower-case extension."""
         stem, ext = F.regexp_replace("name", r"\.[^.]*$", ""), F.regexp_extract("name", r"[^.]*$", 0)
-        return self.media.select(F.concat(F.upper(stem), F.lit("."), F.lower(ext)).alias("name"))
+        return self.media.select("dir", F.concat(F.upper(stem), F.lit("."), F.lower(ext)).alias("name"), "length", "md5")
+
+    def feeds_of(self, number: int) -> dict[str, DataFrame]:
+        """All feeds of a recorded day: categories and links stay, stock changes, the others are empty."""
+        empty = {n: self.spark.createDataFrame([], FEEDS[n].schema) for n in ("complete", "descriptions")}
+        return dict(
+            empty, departments=self.feed_categories, stockinfo=self.snapshot(number), product_department=self.feed_links
+        )
 
     def snapshot(self, number: int) -> DataFrame:
         """The stock feed of a recorded day."""
