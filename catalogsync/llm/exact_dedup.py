@@ -106,7 +106,10 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
     """
     index = build_index(docs, doc_id, text, capacity, bits, digest).drop("bucket", "chain")
     rows = hashed(docs, doc_id, text, bits, digest)
-    found = rows.join(index, ["key", "text_sha256"]).where(F.col("twin").isNull() | (F.col("twin") == F.col("text")))
+    if index.where("twin is not null").take(1):
+        found = rows.join(index, ["key", "text_sha256"]).where(F.col("twin").isNull() | (F.col("twin") == F.col("text")))
+    else:  # every digest stands for one text, so the texts can stay where they are
+        found = rows.drop("text").join(index.drop("twin"), ["key", "text_sha256"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
