@@ -65,9 +65,9 @@ _KEPT: dict = {}
 
 
 def once(key: object, make: Callable[[], object]) -> object:
-    """A value that a worker makes once and keeps while its process lives; the last eight keys are kept."""
+    """A value that a worker makes once and keeps while its process lives; the last three keys are kept."""
     if key not in _KEPT:
-        while len(_KEPT) >= 8:
+        while len(_KEPT) >= 3:
             _KEPT.pop(next(iter(_KEPT)))
         _KEPT[key] = make()
     return _KEPT[key]
