@@ -7,10 +7,11 @@ tokens there. Nodes of a bounded size are compared exhaustively by their
 sketches. Several independent trees are grown; every pair has a chance in each,
 so together they find it but for a probability that falls with their number.
 
-Documents of equal sets are one vertex from the start. Pairs whose sketches look
-alike are compared on their full sets, the most alike first, and pairs already
-joined by other links need no comparison: components, not all pairs, are asked
-for. In a node too large to compare, all are first compared with one of its
+Documents of equal sets are one vertex from the start. Each document is first
+compared on full sets with the one whose sketch is most like its own, which joins
+nearly all there is to join. Then all pairs that look alike and still cross
+components are compared on full sets, node by node; pairs already joined by other
+links need no comparison, as components, not all pairs, are asked for. In a node too large to compare, all are first compared with one of its
 documents, which joins large groups of near copies, and what is one component by
 then is left alone. Where only a few documents are not in a node's largest
 component, just these are compared with all others; the rest branches further.
@@ -19,7 +20,7 @@ component, just these are compared with all others; the rest branches further.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ COORDINATES = 128
 TREES = 6
 BRANCHES = 2
 # Documents of a node that are compared exhaustively.
-NODE = 512
+NODE = 2048
 # Nodes as deep as this are compared in blocks, however large.
 DEEPEST = 24
 # Standard errors that a sketch may fall short of the threshold.
@@ -131,7 +132,7 @@ def roots(reps: DataFrame, trees: int) -> DataFrame:
 
 
 def branch(members: DataFrame, depth: int) -> DataFrame:
-    """Children of nodes: two coordinates each near the root, further down two for every third node and else one."""
+    """Children of nodes: two coordinates each below the root's branches, further down two for every third node and else one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +141,7 @@ def branch(members: DataFrame, depth: int) -> DataFrame:
             rows = np.arange(len(node))
             for b in range(BRANCHES):
                 chosen = _mix(node + _STEPS[b])
-                some = rows if b == 0 or depth <= 2 else rows[_mix(node) % np.uint64(3) == 0]
+                some = rows if b == 0 or depth <= 1 else rows[_mix(node) % np.uint64(3) == 0]
                 coordinate = (chosen % np.uint64(COORDINATES))[some]
                 yield _members(_child(node[some], coordinate, signs[some, coordinate]), batch.column("rep").take(pa.array(some)))
 
@@ -168,72 +169,130 @@ def in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "rep")
 
 
-def alike(leaves: DataFrame, best: int) -> DataFrame:
-    """Compare the documents of each node by their sketches: ``a``, ``b``, ``alike`` (tokens in common), ``more``.
+def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray) -> Iterator[tuple]:
+    """Compare the documents of each node by their sketches: places of pairs of different components, tokens in common.
 
-    ``leaves``: ``node``, ``rep``, ``component``, ``n_shingles``, ``sketch``.
-    For each document the ``best`` most alike partners of other components that
-    may reach the threshold, by their sketches and by the sizes of their sets.
-    ``more`` marks those of a document that has further ones.
+    Only pairs that may reach the threshold, by their sketches and by the sizes
+    of their sets.
     """
     share = THRESHOLD[0] / THRESHOLD[1]
     least = int(np.ceil(COORDINATES * (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES))))
-
-    def compare(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray) -> Iterator[tuple]:
-        starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-        counts = np.diff(np.append(starts, len(node)))
-        left, right = [], []
-        for n in np.unique(counts[counts > 1]):
-            i, j = np.triu_indices(int(n), 1)
-            for s in np.array_split(starts[counts == n], max(1, len(i) * int((counts == n).sum()) // PAIRS_AT_ONCE)):
-                left.append((s[:, None] + i).ravel())
-                right.append((s[:, None] + j).ravel())
-        for i, j in zip(left, right):
-            small, big = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-            open_ = (part[i] != part[j]) & (rep[i] != rep[j]) & (small * THRESHOLD[1] >= big * THRESHOLD[0])
-            i, j = i[open_], j[open_]
-            for k in range(0, len(i), PAIRS_AT_ONCE):
-                x, y = i[k : k + PAIRS_AT_ONCE], j[k : k + PAIRS_AT_ONCE]
-                same = (signs[x] == signs[y]).sum(axis=1)
+    starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    counts = np.diff(np.append(starts, len(node)))
+    for n in np.unique(counts[counts > 1]):
+        i, j = np.triu_indices(int(n), 1)
+        own = starts[counts == n]
+        for s in np.array_split(own, max(1, len(i) * len(own) // PAIRS_AT_ONCE)):
+            x, y = (s[:, None] + i).ravel(), (s[:, None] + j).ravel()
+            small, big = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            open_ = (part[x] != part[y]) & (rep[x] != rep[y]) & (small * THRESHOLD[1] >= big * THRESHOLD[0])
+            x, y = x[open_], y[open_]
+            for k in range(0, len(x), PAIRS_AT_ONCE):
+                p, q = x[k : k + PAIRS_AT_ONCE], y[k : k + PAIRS_AT_ONCE]
+                same = (signs[p] == signs[q]).sum(axis=1)
                 ok = same >= least
                 if ok.any():
-                    yield x[ok], y[ok], same[ok]
+                    yield p[ok], q[ok], same[ok]
 
-    def top(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray) -> pa.RecordBatch | None:
-        found = list(compare(node, rep, part, size, signs))
-        if not found:
-            return None
-        x, y, same = (np.concatenate(c) for c in zip(*found))
-        mine, theirs, same = np.concatenate((x, y)), np.concatenate((y, x)), np.concatenate((same, same))
-        order = np.lexsort((rep[theirs], -same, mine))
-        mine, theirs, same = mine[order], theirs[order], same[order]
-        first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
-        sizes = np.diff(np.append(first, len(mine)))
-        place, more = np.arange(len(mine)) - np.repeat(first, sizes), np.repeat(sizes > best, sizes)
-        kept = place < best
-        a, b = rep[mine[kept]], rep[theirs[kept]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(same[kept].astype(np.int32)), pa.array(more[kept])],
-            names=["a", "b", "alike", "more"],
-        )
+
+def _by_node(leaves: DataFrame, columns: list[str], work: Callable[..., pa.RecordBatch | None], schema: str) -> DataFrame:
+    """Run ``work`` on the rows of whole nodes; columns after ``sketch`` are lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("node", "rep", "component", "n_shingles")] + [_signs(batch.column("sketch"))]
+            now = []
+            for c in columns:
+                column = batch.column(c)
+                now.append(_signs(column) if c == "sketch" else np.array(column.to_pylist(), dtype=object) if c == "hashes" else column.to_numpy())
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now)]
             # The last node may go on in the next batch.
             end = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-            if made := top(*(x[:end] for x in now)) if end else None:
+            if end and (made := work(*(x[:end] for x in now))):
                 yield made
             rest = [x[end:] for x in now]
-        if rest is not None and len(rest[0]):
-            if made := top(*rest):
-                yield made
+        if rest is not None and len(rest[0]) and (made := work(*rest)):
+            yield made
+
+    return map_batches(leaves.select(*columns).repartition("node").sortWithinPartitions("node"), run, schema)
+
+
+COMPARED = ["node", "rep", "component", "n_shingles", "sketch"]
+
+
+def most_alike(leaves: DataFrame) -> DataFrame:
+    """For each document of a node its most alike partner of another component: ``a``, ``b``, ``alike``."""
+
+    def best(*columns: np.ndarray) -> pa.RecordBatch | None:
+        found = list(_pairs(*columns))
+        if not found:
+            return None
+        rep = columns[1]
+        x, y, same = (np.concatenate(c) for c in zip(*found))
+        mine, theirs, same = np.concatenate((x, y)), np.concatenate((y, x)), np.concatenate((same, same))
+        order = np.lexsort((rep[theirs], -same, mine))
+        mine, theirs, same = mine[order], theirs[order], same[order]
+        first = np.concatenate(([True], mine[1:] != mine[:-1]))
+        a, b = rep[mine[first]], rep[theirs[first]]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(same[first].astype(np.int32))], names=["a", "b", "alike"])
+
+    return _by_node(leaves, COMPARED, best, "a long, b long, alike int")
 
-    ordered = leaves.select("node", "rep", "component", "n_shingles", "sketch").repartition("node").sortWithinPartitions("node")
-    return map_batches(ordered, run, "a long, b long, alike int, more boolean")
+
+def still_open(leaves: DataFrame) -> DataFrame:
+    """Documents of nodes that have an alike partner of another component: ``node``, ``rep``."""
+
+    def places(*columns: np.ndarray) -> pa.RecordBatch | None:
+        found = list(_pairs(*columns))
+        if not found:
+            return None
+        at = np.unique(np.concatenate([p for x, y, _ in found for p in (x, y)]))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0][at]), pa.array(columns[1][at])], names=["node", "rep"])
+
+    return _by_node(leaves, COMPARED, places, "node long, rep long")
+
+
+def linked(members: DataFrame) -> DataFrame:
+    """Compare all alike pairs of different components of each node on their full sets; links enough to join what is linked.
+
+    A pair whose documents the node's links have joined by then is left out, so
+    a node of n documents gives fewer than n links.
+    """
+
+    def confirm(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch | None:
+        found = list(_pairs(node, rep, part, size, signs))
+        if not found:
+            return None
+        x, y, same = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(-same, kind="stable")
+        above: dict[int, int] = {}
+
+        def root(p: int) -> int:
+            while (q := above.get(p, p)) != p:
+                p = q
+            return p
+
+        a, b = [], []
+        for i, j in zip(x[order].tolist(), y[order].tolist()):
+            p, q = root(int(part[i])), root(int(part[j]))
+            if p != q and reach(hashes[i], hashes[j]):
+                above[max(p, q)] = min(p, q)
+                a.append(min(rep[i], rep[j]))
+                b.append(max(rep[i], rep[j]))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
+
+    return _by_node(members, [*COMPARED, "hashes"], confirm, "a long, b long")
+
+
+def reach(one: bytes, other: bytes) -> bool:
+    """Do two full sets, packed and sorted, reach the threshold?"""
+    p, q = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+    if len(p) > len(q):
+        p, q = q, p
+    at = np.searchsorted(q, p)
+    both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+    return both * THRESHOLD[1] >= (len(p) + len(q) - both) * THRESHOLD[0]
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,11 +300,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for one, other in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                p, q = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
-                both = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                good.append(both * THRESHOLD[1] >= (len(p) + len(q) - both) * THRESHOLD[0])
+            good = [reach(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x"))
@@ -266,14 +321,11 @@ def full_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> Dat
 
 
 class _Join:
-    """The state of one join: which documents are connected by now, and which pairs were compared."""
+    """The state of one join: which documents are connected by now."""
 
     def __init__(self, docs: DataFrame, doc_id: str, text: str, reps: DataFrame, trees: int):
         self.docs, self.doc_id, self.text, self.reps, self.trees = docs, doc_id, text, reps, trees
-        self.spark = docs.sparkSession
         self.connected: DataFrame | None = None
-        self.links: DataFrame | None = None
-        self.tested: DataFrame | None = None
         self.sets: DataFrame | None = None
 
     def labelled(self, members: DataFrame) -> DataFrame:
@@ -294,38 +346,32 @@ class _Join:
         large = sizes.where(F.col("n") > NODE)
         return rows.join(sizes.select("node", "n"), "node").select("node", "rep", "n"), large, bool(large.take(1))
 
-    def candidates(self, leaves: DataFrame, best: int) -> DataFrame:
+    def mixed(self, leaves: DataFrame) -> DataFrame:
+        """What ``COMPARED`` names, of nodes with two components or more."""
         rows = self.labelled(leaves)
         if self.connected is not None:
             mixed = rows.groupBy("node").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
             rows = rows.join(mixed.select("node"), "node")
-        return alike(self.sketched(rows), best)
-
-    def connect(self, pairs: DataFrame) -> bool:
-        """Compare new pairs on full sets and join what is linked; False if there is no new pair."""
-        new = pairs.select("a", "b").distinct()
-        if self.tested is not None:
-            new = new.join(self.tested, ["a", "b"], "left_anti")
-        new = stage(new, "pairs")
-        if not new.take(1):
-            return False
-        good = stage(verify(new, self.sets), "links")
-        self.tested = new if self.tested is None else self.tested.unionByName(new)
-        if good.take(1):
-            self.links = good if self.links is None else self.links.unionByName(good)
-            # Known components stand for the links in them.
-            hung = good
+        return self.sketched(rows)
+
+    def join(self, links: DataFrame) -> None:
+        """Join what new links connect. Known components stand for the links in them."""
+        if links.take(1):
             if self.connected is not None:
-                hung = hung.unionByName(self.connected.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
-            self.connected = stage(components(hung), "components")
-        return True
+                links = links.unionByName(self.connected.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
+            self.connected = stage(components(links), "components")
+
+    def connect(self, pairs: DataFrame) -> None:
+        """Compare pairs on full sets and join what is linked."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        self.join(stage(verify(pairs, self.sets), "links"))
 
     def run(self) -> None:
         members, large, any_large = self.sized(roots(self.reps, self.trees))
         members = stage(members, "branches")
         leaves = members.where(F.col("n") <= NODE).select("node", "rep")
-        first = stage(self.candidates(leaves, 1), "alike")
-        active = first.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        first = stage(most_alike(self.mixed(leaves)), "alike")
+        active = first.select(F.col("a").alias("rep")).distinct()
         wanted = active
         if any_large:
             wanted = active.unionByName(members.where(F.col("n") > NODE).select("rep")).distinct()
@@ -338,10 +384,8 @@ class _Join:
             inside = members.where(F.col("n") > NODE).select("node", "rep")
             # All against one: joins the bulk of a large group before it is branched.
             lead = inside.join(large.select("node", "leader"), "node").where("rep <> leader")
-            stars = alike(self.sketched(self.labelled(
-                lead.select(F.xxhash64("rep", "leader").alias("node"), F.explode(F.array("rep", "leader")).alias("rep")).distinct()
-            )), 1)
-            self.connect(stars)
+            ends = lead.select(F.xxhash64("rep", "leader").alias("node"), F.explode(F.array("rep", "leader")).alias("rep")).distinct()
+            self.connect(most_alike(self.sketched(self.labelled(ends))))
             inside = stage(self.labelled(inside), "inside")
             parts = inside.groupBy("node", "component").agg(F.count(F.lit(1)).alias("d"))
             parts = parts.groupBy("node").agg(F.sum("d").alias("n"), F.max("d").alias("d"), F.max_by("component", "d").alias("most"))
@@ -361,18 +405,13 @@ class _Join:
         leaves = grown[0]
         for more in grown[1:]:
             leaves = leaves.unionByName(more)
-        # The most alike pair of each document first; then more of those that still cross components, until none is new.
-        pairs = first if len(grown) == 1 else first.unionByName(self.candidates(leaves, 1))
-        one = pairs.select("a", "b", "alike").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "alike"))
-        one = one.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b"))
-        self.connect(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        best = 4
-        while True:
-            found = stage(self.candidates(leaves, best), "alike")
-            self.connect(found)
-            if not found.where("more").take(1):
-                break
-            best *= 4
+        # The most alike pair of each document first: that joins nearly all there is to join.
+        pairs = first if len(grown) == 1 else first.unionByName(most_alike(self.mixed(leaves)))
+        self.connect(pairs.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b")))
+        # Then everything alike that still crosses components, on full sets, node by node.
+        left = stage(still_open(self.mixed(leaves)), "open")
+        if left.take(1):
+            self.join(stage(linked(self.sketched(self.labelled(left)).join(self.sets, "rep")), "links"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
