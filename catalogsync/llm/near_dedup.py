@@ -84,8 +84,14 @@ def sketch(found: np.ndarray) -> bytes:
     return low.astype("<u4").tobytes()
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``n_shingles``, the 128-bit digest of the set in two longs, and its sketch."""
+def marks(signs: bytes, trees: int) -> bytes:
+    """What documents are compared by: a byte of each token, and the whole tokens of the trees' first branches."""
+    tokens = np.frombuffer(signs, "<u4")
+    return (tokens & 0xFF).astype(np.uint8).tobytes() + tokens[: trees * BRANCHES].tobytes()
+
+
+def sketches(docs: DataFrame, doc_id: str, text: str, trees: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, the 128-bit digest of the set in two longs, its sketch and its marks."""
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,12 +104,13 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 high.append(digest[0])
                 low.append(digest[1])
                 signs.append(sketch(found) if len(found) else None)
+            short = [marks(x, trees) if x else None for x in signs]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, high, low)), pa.array(signs, pa.binary())],
-                names=["doc_id", "n_shingles", "high", "low", "sketch"],
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, high, low)), *(pa.array(x, pa.binary()) for x in (signs, short))],
+                names=["doc_id", "n_shingles", "high", "low", "sketch", "marks"],
             )
 
-    return map_batches(rows, run, "doc_id long, n_shingles long, high long, low long, sketch binary")
+    return map_batches(rows, run, "doc_id long, n_shingles long, high long, low long, sketch binary, marks binary")
 
 
 def _signs(column: pa.Array) -> np.ndarray:
@@ -114,8 +121,9 @@ def _child(node: np.ndarray, coordinate: np.ndarray, token: np.ndarray) -> np.nd
     return _mix(_mix(node.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + coordinate.astype(np.uint64)) + token.astype(np.uint64))
 
 
-def _members(node: np.ndarray, rep: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), rep], names=["node", "rep"])
+def _members(node: np.ndarray, rep: pa.Array, coordinate: int = 0) -> pa.RecordBatch:
+    place = pa.array(np.full(len(node), coordinate, np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), rep, place], names=["node", "rep", "c"])
 
 
 def roots(reps: DataFrame, trees: int) -> DataFrame:
@@ -126,9 +134,9 @@ def roots(reps: DataFrame, trees: int) -> DataFrame:
             signs = _signs(batch.column("sketch"))
             for c in range(trees * BRANCHES):
                 root = np.full(len(signs), c // BRANCHES, np.uint64)
-                yield _members(_child(root, np.full(len(signs), c), signs[:, c]), batch.column("rep"))
+                yield _members(_child(root, np.full(len(signs), c), signs[:, c]), batch.column("rep"), c)
 
-    return map_batches(reps.select("rep", "sketch"), run, "node long, rep long")
+    return map_batches(reps.select("rep", "sketch"), run, "node long, rep long, c int")
 
 
 def branch(members: DataFrame, depth: int) -> DataFrame:
@@ -145,7 +153,7 @@ def branch(members: DataFrame, depth: int) -> DataFrame:
                 coordinate = (chosen % np.uint64(COORDINATES))[some]
                 yield _members(_child(node[some], coordinate, signs[some, coordinate]), batch.column("rep").take(pa.array(some)))
 
-    return map_batches(members.select("node", "rep", "sketch"), run, "node long, rep long")
+    return map_batches(members.select("node", "rep", "sketch"), run, "node long, rep long, c int")
 
 
 def few_against_all(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -169,12 +177,16 @@ def in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "rep")
 
 
-def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray) -> Iterator[tuple]:
+def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, c: np.ndarray, small_nodes: np.ndarray, short: np.ndarray) -> Iterator[tuple]:
     """Compare the documents of each node by their sketches: places of pairs of different components, tokens in common.
 
     Only pairs that may reach the threshold, by their sketches and by the sizes
-    of their sets.
+    of their sets. A pair that meets in several first branches is left to the
+    first of these that is small enough to be compared, so it comes once.
     """
+    signs, tokens = short[:, :COORDINATES], np.ascontiguousarray(short[:, COORDINATES:]).view("<u4")
+    places = np.arange(tokens.shape[1])
+    earlier = ((small_nodes[:, None] >> places) & 1).astype(bool) & (places < c[:, None])
     share = THRESHOLD[0] / THRESHOLD[1]
     least = int(np.ceil(COORDINATES * (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES))))
     starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
@@ -190,13 +202,14 @@ def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray
             for k in range(0, len(x), PAIRS_AT_ONCE):
                 p, q = x[k : k + PAIRS_AT_ONCE], y[k : k + PAIRS_AT_ONCE]
                 same = (signs[p] == signs[q]).sum(axis=1)
-                ok = same >= least
-                if ok.any():
+                ok = np.flatnonzero(same >= least)
+                ok = ok[~((tokens[p[ok]] == tokens[q[ok]]) & earlier[p[ok]]).any(axis=1)]
+                if len(ok):
                     yield p[ok], q[ok], same[ok]
 
 
 def _by_node(leaves: DataFrame, columns: list[str], work: Callable[..., pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Run ``work`` on the rows of whole nodes; columns after ``sketch`` are lists."""
+    """Run ``work`` on the rows of whole nodes; packed columns are taken apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -204,7 +217,7 @@ def _by_node(leaves: DataFrame, columns: list[str], work: Callable[..., pa.Recor
             now = []
             for c in columns:
                 column = batch.column(c)
-                now.append(_signs(column) if c == "sketch" else np.array(column.to_pylist(), dtype=object) if c == "hashes" else column.to_numpy())
+                now.append(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1) if c == "marks" else np.array(column.to_pylist(), dtype=object) if c == "hashes" else column.to_numpy())
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now)]
             # The last node may go on in the next batch.
@@ -215,10 +228,12 @@ def _by_node(leaves: DataFrame, columns: list[str], work: Callable[..., pa.Recor
         if rest is not None and len(rest[0]) and (made := work(*rest)):
             yield made
 
+    if "c" not in leaves.columns:
+        leaves = leaves.select("*", F.lit(0).alias("c"), F.lit(0).alias("small_nodes"))
     return map_batches(leaves.select(*columns).repartition("node").sortWithinPartitions("node"), run, schema)
 
 
-COMPARED = ["node", "rep", "component", "n_shingles", "sketch"]
+COMPARED = ["node", "rep", "component", "n_shingles", "c", "small_nodes", "marks"]
 
 
 def most_alike(leaves: DataFrame) -> DataFrame:
@@ -241,16 +256,17 @@ def most_alike(leaves: DataFrame) -> DataFrame:
 
 
 def still_open(leaves: DataFrame) -> DataFrame:
-    """Documents of nodes that have an alike partner of another component: ``node``, ``rep``."""
+    """Documents of nodes that have an alike partner of another component: ``node``, ``rep``, ``c``, ``small_nodes``."""
 
     def places(*columns: np.ndarray) -> pa.RecordBatch | None:
         found = list(_pairs(*columns))
         if not found:
             return None
         at = np.unique(np.concatenate([p for x, y, _ in found for p in (x, y)]))
-        return pa.RecordBatch.from_arrays([pa.array(columns[0][at]), pa.array(columns[1][at])], names=["node", "rep"])
+        kept = [pa.array(columns[k][at]) for k in (0, 1, 4, 5)]
+        return pa.RecordBatch.from_arrays(kept, names=["node", "rep", "c", "small_nodes"])
 
-    return _by_node(leaves, COMPARED, places, "node long, rep long")
+    return _by_node(leaves, COMPARED, places, "node long, rep long, c int, small_nodes int")
 
 
 def linked(members: DataFrame) -> DataFrame:
@@ -260,8 +276,9 @@ def linked(members: DataFrame) -> DataFrame:
     a node of n documents gives fewer than n links.
     """
 
-    def confirm(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, signs: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch | None:
-        found = list(_pairs(node, rep, part, size, signs))
+    def confirm(*columns: np.ndarray) -> pa.RecordBatch | None:
+        rep, part, hashes = columns[1], columns[2], columns[-1]
+        found = list(_pairs(*columns[:-1]))
         if not found:
             return None
         x, y, same = (np.concatenate(c) for c in zip(*found))
@@ -336,7 +353,10 @@ class _Join:
         return members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     def sketched(self, members: DataFrame) -> DataFrame:
-        return members.join(self.reps, "rep")
+        return members.join(self.reps.select("rep", "sketch"), "rep")
+
+    def marked(self, members: DataFrame) -> DataFrame:
+        return members.join(self.reps.select("rep", "n_shingles", "marks"), "rep")
 
     def sized(self, members: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """Members of nodes with two components or more, and the nodes that are too large, and whether there are any."""
@@ -344,7 +364,7 @@ class _Join:
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("p"), F.max("component").alias("q"), F.min_by("rep", F.xxhash64("node", "rep")).alias("leader"))
         sizes = stage(sizes.where("p <> q").select("node", "n", "leader"), "nodes")
         large = sizes.where(F.col("n") > NODE)
-        return rows.join(sizes.select("node", "n"), "node").select("node", "rep", "n"), large, bool(large.take(1))
+        return rows.join(sizes.select("node", "n"), "node").select("node", "rep", "c", "n"), large, bool(large.take(1))
 
     def mixed(self, leaves: DataFrame) -> DataFrame:
         """What ``COMPARED`` names, of nodes with two components or more."""
@@ -352,7 +372,7 @@ class _Join:
         if self.connected is not None:
             mixed = rows.groupBy("node").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
             rows = rows.join(mixed.select("node"), "node")
-        return self.sketched(rows)
+        return self.marked(rows)
 
     def join(self, links: DataFrame) -> None:
         """Join what new links connect. Known components stand for the links in them."""
@@ -369,7 +389,10 @@ class _Join:
     def run(self) -> None:
         members, large, any_large = self.sized(roots(self.reps, self.trees))
         members = stage(members, "branches")
-        leaves = members.where(F.col("n") <= NODE).select("node", "rep")
+        leaves = members.where(F.col("n") <= NODE).select("node", "rep", "c")
+        # By document, which of its first branches are compared.
+        small = leaves.groupBy("rep").agg(F.expr("bit_or(shiftleft(1, c))").alias("small_nodes"))
+        leaves = stage(leaves.join(small, "rep"), "leaves")
         first = stage(most_alike(self.mixed(leaves)), "alike")
         active = first.select(F.col("a").alias("rep")).distinct()
         wanted = active
@@ -385,7 +408,7 @@ class _Join:
             # All against one: joins the bulk of a large group before it is branched.
             lead = inside.join(large.select("node", "leader"), "node").where("rep <> leader")
             ends = lead.select(F.xxhash64("rep", "leader").alias("node"), F.explode(F.array("rep", "leader")).alias("rep")).distinct()
-            self.connect(most_alike(self.sketched(self.labelled(ends))))
+            self.connect(most_alike(self.marked(self.labelled(ends))))
             inside = stage(self.labelled(inside), "inside")
             parts = inside.groupBy("node", "component").agg(F.count(F.lit(1)).alias("d"))
             parts = parts.groupBy("node").agg(F.sum("d").alias("n"), F.max("d").alias("d"), F.max_by("component", "d").alias("most"))
@@ -404,14 +427,14 @@ class _Join:
             grown.append(members.where(F.col("n") <= NODE).select("node", "rep"))
         leaves = grown[0]
         for more in grown[1:]:
-            leaves = leaves.unionByName(more)
+            leaves = leaves.unionByName(more.select("node", "rep", F.lit(0).alias("c"), F.lit(0).alias("small_nodes")))
         # The most alike pair of each document first: that joins nearly all there is to join.
         pairs = first if len(grown) == 1 else first.unionByName(most_alike(self.mixed(leaves)))
         self.connect(pairs.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b")))
         # Then everything alike that still crosses components, on full sets, node by node.
         left = stage(still_open(self.mixed(leaves)), "open")
         if left.take(1):
-            self.join(stage(linked(self.sketched(self.labelled(left)).join(self.sets, "rep")), "links"))
+            self.join(stage(linked(self.marked(self.labelled(left)).join(self.sets, "rep")), "links"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
@@ -434,11 +457,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     trees with a probability below 1e-7, one that has to pass large nodes with
     one below 1e-3.
     """
-    every = stage(sketches(docs, doc_id, text), "sketches")
+    every = stage(sketches(docs, doc_id, text, trees), "sketches")
     classes = stage(every.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "classes")
-    with_sketch = every.select(F.col("doc_id").alias("rep"), "high", "low", "n_shingles", "sketch")
-    reps = with_sketch.join(classes, ["rep", "high", "low"]).groupBy("rep", "high", "low", "n_shingles", "sketch").agg(F.count(F.lit(1)).alias("rows"))
-    reps = stage(reps.select("rep", "n_shingles", "sketch"), "reps")
+    with_sketch = every.select(F.col("doc_id").alias("rep"), "high", "low", "n_shingles", "sketch", "marks")
+    reps = with_sketch.join(classes, ["rep", "high", "low"]).groupBy("rep", "high", "low", "n_shingles", "sketch", "marks").agg(F.count(F.lit(1)).alias("rows"))
+    reps = stage(reps.select("rep", "n_shingles", "sketch", "marks"), "reps")
     join = _Join(docs, doc_id, text, reps, trees)
     join.run()
     placed = every.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")
