@@ -192,7 +192,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, profiles: Profiles, least: float = 0.0, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language: not ``und``, and a cosine above ``least``. All columns stay; nothing is shuffled."""
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
+    rows = docs.toDF(*[f"_c{k}" for k in range(len(names))])
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,4 +205,4 @@ def keep_identified(docs: DataFrame, profiles: Profiles, least: float = 0.0, tex
             best = (vectors @ known.vectors.T).max(axis=1, initial=-1) / np.maximum(lengths, 1e-9)
             yield batch.filter(pa.array((lengths > 0) & (best > least)))
 
-    return map_batches(docs, keep, docs.schema)
+    return map_batches(rows, keep, rows.schema).toDF(*names)

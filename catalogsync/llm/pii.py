@@ -251,6 +251,8 @@ def reliabilities(patterns: list[tuple[str, int]], rounds: int = ROUNDS) -> tupl
 def train_classifier(patterns: list[tuple[int, str, int]], rounds: int = 300, rate: float = 0.5) -> SpanClassifier:
     """Fit the classifier to the posteriors of (place of the kind, votes, count) by gradient descent."""
     n = len(LABELERS)
+    if not patterns:
+        return SpanClassifier(0.0, [0.0] * n, [0.0] * n, [0.0] * len(KINDS))
     truth, _ = reliabilities([(v, c) for _, v, c in patterns])
     rows = np.zeros((len(patterns), 1 + 2 * n + len(KINDS)))
     rows[:, 0] = 1

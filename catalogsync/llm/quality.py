@@ -133,8 +133,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows
         yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in packed], names=["vectors", "weights", "bias"])
 
     ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "label")
-    made = map_batches(ordered, learn, "vectors binary, weights binary, bias binary").collect()[0]
-    vectors, weights, bias = (np.frombuffer(made[c], dtype=np.float32) for c in ("vectors", "weights", "bias"))
+    made = map_batches(ordered, learn, "vectors binary, weights binary, bias binary").collect()
+    if not made:
+        return train([], [])
+    vectors, weights, bias = (np.frombuffer(made[0][c], dtype=np.float32) for c in ("vectors", "weights", "bias"))
     return Model(vectors.reshape(BUCKETS, DIMENSIONS), weights.reshape(DIMENSIONS, 2), bias)
 
 
