@@ -2,10 +2,13 @@
 
 A document is the set of its word shingles, sketched by minwise tokens. The
 join grows trees: a node holds documents that share the tokens chosen on the
-path to it; it chooses further coordinates, and its documents branch by their
+path to it; it chooses two further coordinates, and its documents branch by their
 tokens there. Nodes of a bounded size are compared exhaustively by their
-sketches. Several independent trees are grown; every pair has a chance in each,
-so together they find it but for a probability that falls with their number.
+sketches, and so are nodes of a few times that size, in blocks. Several
+independent trees are grown; every pair has a chance in each, so together they
+find it but for a probability that falls with their number. A pair at the
+threshold shares 1.5 of a node's two children on average, so its chance to be met
+does not fade with depth.
 
 Documents of equal sets are one vertex from the start. Each document is first
 compared on full sets with the one whose sketch is most like its own, which joins
@@ -38,8 +41,10 @@ TREES = 6
 BRANCHES = 2
 # Documents of a node that are compared exhaustively.
 NODE = 2048
-# Nodes as deep as this are compared in blocks, however large.
-DEEPEST = 24
+# Nodes of up to so many times NODE are compared in blocks: about the comparisons of three more levels.
+BLOCKED = 4
+# Nodes as deep as this are compared in blocks, however large: members double with every level.
+DEEPEST = 10
 # Standard errors that a sketch may fall short of the threshold.
 SLACK = 4.5
 PAIRS_AT_ONCE = 32_768
@@ -139,19 +144,28 @@ def roots(reps: DataFrame, trees: int) -> DataFrame:
     return map_batches(reps.select("rep", "sketch"), run, "node long, rep long, c int")
 
 
-def branch(members: DataFrame, depth: int) -> DataFrame:
-    """Children of nodes: two coordinates each below the root's branches, further down two for every third node and else one."""
+def children(node: np.ndarray, signs: np.ndarray) -> Iterator[np.ndarray]:
+    """The children that members of nodes branch to by their tokens, one for each of a node's two coordinates.
+
+    The second is drawn from the other 127: of one coordinate twice, a pair
+    would have one chance only.
+    """
+    rows = np.arange(len(node))
+    first = _mix(node + _STEPS[0]) % np.uint64(COORDINATES)
+    step = _mix(node + _STEPS[1]) % np.uint64(COORDINATES - 1) + np.uint64(1)
+    for coordinate in (first, (first + step) % np.uint64(COORDINATES)):
+        yield _child(node, coordinate, signs[rows, coordinate])
+
+
+def branch(members: DataFrame) -> DataFrame:
+    """Children of nodes, two for every member at every level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             signs = _signs(batch.column("sketch"))
             node = batch.column("node").to_numpy().view(np.uint64)
-            rows = np.arange(len(node))
-            for b in range(BRANCHES):
-                chosen = _mix(node + _STEPS[b])
-                some = rows if b == 0 or depth <= 1 else rows[_mix(node) % np.uint64(3) == 0]
-                coordinate = (chosen % np.uint64(COORDINATES))[some]
-                yield _members(_child(node[some], coordinate, signs[some, coordinate]), batch.column("rep").take(pa.array(some)))
+            for child in children(node, signs):
+                yield _members(child, batch.column("rep"))
 
     return map_batches(members.select("node", "rep", "sketch"), run, "node long, rep long, c int")
 
@@ -418,11 +432,13 @@ class _Join:
             hard = mixed.where(~few)
             if not hard.take(1):
                 break
-            inside = inside.join(hard.select("node"), "node", "left_semi").select("node", "rep")
-            if depth >= DEEPEST:
-                grown.append(stage(in_blocks(inside, hard), "leaves"))
+            blocked = F.lit(depth >= DEEPEST) | (F.col("n") <= BLOCKED * NODE)
+            grown.append(stage(in_blocks(inside.select("node", "rep"), hard.where(blocked)), "leaves"))
+            hard = hard.where(~blocked)
+            if not hard.take(1):
                 break
-            members, large, any_large = self.sized(branch(self.sketched(inside), depth))
+            inside = inside.join(hard.select("node"), "node", "left_semi").select("node", "rep")
+            members, large, any_large = self.sized(branch(self.sketched(inside)))
             members = stage(members, "branches")
             grown.append(members.where(F.col("n") <= NODE).select("node", "rep"))
         leaves = grown[0]
@@ -454,8 +470,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are ignored. Long texts are hashed whole; sketches have a fixed size.
 
     ``trees``: a pair of similarity 0.75 is missed by the first branches of six
-    trees with a probability below 1e-7, one that has to pass large nodes with
-    one below 1e-3.
+    trees with a probability of about 1e-7, one that has to pass large nodes with
+    one below 1e-4 after any number of levels (2.5e-5 at most by the recursion
+    over all sketches that such a pair may have).
     """
     every = stage(sketches(docs, doc_id, text, trees), "sketches")
     classes = stage(every.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "classes")
