@@ -1,9 +1,10 @@
 """Token counts by a two-tier lookup on the map side.
 
 Texts are split into pre-tokens where they are read. The first tier is a
-broadcast table of frequent pre-tokens and their token counts, the second a
+broadcast table of the corpus's frequent pre-tokens and their token counts, the second a
 cache in each worker that the tokenizer library fills on a miss. Pre-tokens are
-never shuffled; counting is one narrow pass over the texts.
+never shuffled with the texts; after a pass that tallies them, in which only bounded
+lists of each partition are merged, counting is one narrow pass over the texts.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogsync.llm.common import map_batches, once, pick
+from catalogsync.llm.common import map_batches, once, pick, stage
 
 # Bounds of the broadcast table: entries and bytes of an entry.
 FREQUENT = 50_000
 LONGEST = 48
 # Entries of a worker's cache; it starts anew when full.
 CACHE = 200_000
-# Rows that the frequent pre-tokens are taken from. The table only saves time: counts don't depend on it.
-SAMPLE_ROWS = 2_000
+# Steps of a doubling of the counts by which the table is cut. It only saves time: token counts don't depend on it.
+STEPS = 16
 
 # The split of byte-level tokenizers.
 SPLIT = regex.compile(
@@ -100,8 +101,13 @@ def check_split(tokenizer: object) -> None:
         raise ValueError("a byte-level tokenizer without normalizer or prefix space is needed")
 
 
-def frequent_counts(docs: DataFrame, path: str, text: str = "text", entries: int = FREQUENT, rows: int = SAMPLE_ROWS) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens of some rows; at most ``entries`` of LONGEST characters."""
+def frequent_counts(docs: DataFrame, path: str, text: str = "text", entries: int = FREQUENT) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens of all rows; at most ``entries`` of LONGEST characters.
+
+    Each partition gives its ``entries`` most frequent ones; these lists are
+    merged by pre-token. The merged list is cut where a step of its counts would
+    exceed ``entries``, so it is never sorted by one task.
+    """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -111,12 +117,28 @@ def frequent_counts(docs: DataFrame, path: str, text: str = "text", entries: int
                     seen.update(p for p in some if len(p) <= LONGEST)
                 if len(seen) > 20 * entries:
                     seen = Counter(dict(seen.most_common(entries)))
-        counted = Counted(path, {})
-        top = [p for p, n in seen.most_common(entries) if n > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([counted.library(p) for p in top], pa.int32())], names=["piece", "n"])
+        top = seen.most_common(entries)
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
 
-    some = pick(docs, text=text).where(F.col("text").isNotNull()).limit(rows)
-    return {r["piece"]: r["n"] for r in map_batches(some, tally, "piece string, n int").collect()}
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted = Counted(path, {})
+        for batch in batches:
+            n = [counted.library(p) for p in batch.column("piece").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(n, pa.int32())], names=["piece", "n"])
+
+    rows = pick(docs, text=text).where(F.col("text").isNotNull())
+    tops = map_batches(rows, tally, "piece string, n long")
+    merged = tops.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1")
+    merged = stage(merged.withColumn("step", F.floor(F.log2("n") * STEPS).cast("int")), "frequent")
+    least, total = None, 0
+    for r in sorted(merged.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        total += r["count"]
+        if total > entries:
+            break
+        least = r["step"]
+    if least is None:
+        return {}
+    return {r["piece"]: r["n"] for r in map_batches(merged.where(F.col("step") >= least).select("piece"), measure, "piece string, n int").collect()}
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -44,6 +44,14 @@ def test_counts_do_not_depend_on_the_frequent_table(spark, monkeypatch):
     assert got == collected(TC.token_counts(frame(spark), COUNTER), "doc_id", "n_tokens")
 
 
+def test_frequent_pieces_come_from_all_rows(spark):
+    rows = [(k, "first words of one source") for k in range(2500)] + [(5000 + k, "zweite Sprache") for k in range(40)]
+    found = TC.frequent_counts(frame(spark, rows).repartition(1).sortWithinPartitions("doc_id"), COUNTER)
+    assert {"first", " words", "zweite", " Sprache"} <= set(found)
+    few = TC.frequent_counts(frame(spark, rows), COUNTER, entries=5)
+    assert set(few) == {"first", " words", " of", " one", " source"}
+
+
 def test_a_full_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(TC, "CACHE", 3)
     counted = TC.Counted(COUNTER, {})
