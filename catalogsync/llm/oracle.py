@@ -54,6 +54,48 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+_SHARE = "1 + (1000000000::HUGEINT * ({count} + 2)) // {total}"
+_DISTANCE = "(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+_DIVERGENCE = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS text
+    FROM documents
+), t AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), k AS (
+    SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), g AS (
+    SELECT DISTINCT lang, source FROM d
+), c AS (
+    SELECT g.lang, g.source, k.term, k.lang_n, coalesce(n, 0) AS n
+    FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) s
+        ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+), v AS (
+    SELECT lang, count(*) AS terms, sum(lang_n) AS lang_total FROM k GROUP BY lang
+), m AS (
+    SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source
+), p AS (
+    SELECT lang, source, term, n, {_SHARE.format(count="n", total="(total + 2 * terms)")} AS p,
+           {_SHARE.format(count="lang_n", total="(lang_total + 2 * terms)")} AS q
+    FROM c JOIN v USING (lang) JOIN m USING (lang, source)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum({_DISTANCE.format(p="x.p", q="y.p")}) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+), rows AS (
+    SELECT lang, source, 'term' AS part, term AS item, {_DISTANCE.format(p="p", q="q")} AS value FROM p WHERE n > 0 AND p > q
+    UNION ALL
+    SELECT lang, source, 'pair', item, coalesce(value, 0) FROM pairs
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def _mixing(fills: int = 3) -> str:
     passes = []
@@ -113,4 +155,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_dedup": _NEAR,
         "op8_exact_dedup": _EXACT,
         "op9_mixing": _mixing(),
+        "op11_divergence": _DIVERGENCE,
     }

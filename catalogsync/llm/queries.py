@@ -95,3 +95,10 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catalogsync.llm.lm_score import train_and_score
 
     return train_and_score(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
