@@ -97,6 +97,48 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+# crc32 of a conversation's id, a bit at a time, then the rebuilt conversations and their beginnings as lists of turns.
+_TRIE = f"""
+WITH RECURSIVE t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+           {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+    FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+    SELECT conv_id, conv_id::VARCHAR AS digits, 0 AS bit, 4294967295::BIGINT AS state FROM (SELECT DISTINCT conv_id FROM t)
+    UNION ALL
+    SELECT conv_id, digits, bit + 1, xor(step >> 1, CASE WHEN step & 1 = 1 THEN 3988292384 ELSE 0 END)
+    FROM (SELECT *, CASE WHEN bit % 8 = 0 THEN xor(state, ascii(substr(digits, bit // 8 + 1, 1))::BIGINT) ELSE state END AS step FROM crc)
+    WHERE bit < 8 * length(digits)
+), c AS (
+    SELECT conv_id, xor(state, 4294967295) % 4 AS h FROM crc WHERE bit = 8 * length(digits)
+), r AS (
+    SELECT c.conv_id, 0 AS own, t.i, said FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.i <= h
+    UNION ALL
+    SELECT c.conv_id, 1, t.i, said FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > h
+), l AS (
+    SELECT c.conv_id, coalesce(turns, []) AS turns
+    FROM c LEFT JOIN (SELECT conv_id, list(said ORDER BY own, i) AS turns FROM r GROUP BY conv_id) USING (conv_id)
+), b AS (
+    SELECT conv_id, depth, turns[:depth] AS node, depth = len(turns) AS ends FROM l, unnest(range(0, len(turns) + 1)) AS d(depth)
+), n AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ended,
+           CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(node[depth].text, '{WORD}')) END AS saved
+    FROM b GROUP BY node, depth
+), m AS (
+    SELECT n.*, parent.conv_id AS parent_conv_id, coalesce(k.n_children, 0) AS n_children
+    FROM n LEFT JOIN n AS parent ON parent.depth = n.depth - 1 AND parent.node = n.node[:n.depth - 1]
+    LEFT JOIN (SELECT node[:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL) k ON k.node = n.node
+), s AS (
+    SELECT a.node, sum(m.saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves
+    FROM m JOIN b AS a ON a.conv_id = m.conv_id AND a.depth <= m.depth
+    GROUP BY a.node
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ended) AS ends_sha256
+FROM m JOIN s USING (node)
+"""
+
+
 def _mixing(fills: int = 3) -> str:
     passes = []
     for k in range(1, fills + 1):
@@ -156,4 +198,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_dedup": _EXACT,
         "op9_mixing": _mixing(),
         "op11_divergence": _DIVERGENCE,
+        "op13_conversation_trie": _TRIE,
     }

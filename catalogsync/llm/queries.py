@@ -102,3 +102,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catalogsync.llm.divergence import audit
 
     return audit(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.conversation_trie import shared_beginnings
+
+    return shared_beginnings(table(spark, sf_dir, "conversations"))

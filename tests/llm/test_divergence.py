@@ -1,6 +1,5 @@
 import re
 from collections import Counter
-from itertools import groupby
 
 import pytest
 
