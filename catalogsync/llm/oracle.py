@@ -97,6 +97,24 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+_REPEATS = f"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents
+), g AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS said FROM w, unnest(range(1, len(ws) - 11)) AS p(i)
+), late AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY said) AS least FROM g) WHERE least < doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, i + k AS i FROM late, unnest(range(0, 13)) AS p(k)
+), kept AS (
+    SELECT doc_id, string_agg(ws[i], ' ' ORDER BY i) AS text, count(*) AS n
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) ANTI JOIN gone USING (doc_id, i)
+    GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 # crc32 of a conversation's id, a bit at a time, then the rebuilt conversations and their beginnings as lists of turns.
 _TRIE = f"""
 WITH RECURSIVE t AS (
@@ -198,5 +216,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_exact_dedup": _EXACT,
         "op9_mixing": _mixing(),
         "op11_divergence": _DIVERGENCE,
+        "op12_substring_dedup": _REPEATS,
         "op13_conversation_trie": _TRIE,
     }

@@ -104,6 +104,13 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catalogsync.llm.substring_dedup import drop_repeats
+
+    return drop_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 @_query
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catalogsync.llm.conversation_trie import shared_beginnings
