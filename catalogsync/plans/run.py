@@ -44,11 +44,15 @@ def empty_issues(spark: SparkSession) -> Issues:
 
 @dataclass(frozen=True)
 class RunResult:
-    """Next store tables, patch and logs: all still to be computed by whoever writes them."""
+    """Next store tables, patch and logs: all still to be computed by whoever writes them.
+
+    ``issues`` are the whole logs, ``found`` what this run alone has found.
+    """
 
     store: Store
     patch: DataFrame
     issues: Issues
+    found: Issues
 
 
 def diff_categories(store: Store, departments: DataFrame, settings: Settings) -> DataFrame:
@@ -183,6 +187,7 @@ def run(
             append_issues(log.products, phase.issues, P.ISSUE_KEY),
             append_issues(log.placements, issues_3, L.ISSUE_KEY),
         ),
+        Issues(issues_1, phase.issues, issues_3),
     )
 
 

@@ -537,6 +537,12 @@ select prod_code products_model, 'Missing Description' issue, 'seen before' note
 from fx_feed_descriptions
 union all
 select * from issues_p
+where not (issue = 'Missing Description' and products_model in (select prod_code from fx_feed_descriptions))""",
+    "issue_log_two_runs": """
+select prod_code products_model, 'Missing Description' issue, 'seen before' note_1, cast(null as varchar) note_2, 1 run
+from fx_feed_descriptions
+union all
+select *, 2 from issues_p
 where not (issue = 'Missing Description' and products_model in (select prod_code from fx_feed_descriptions))""",
     "first_wins": """
 select l_partkey, l_shipdate, l_orderkey, l_linenumber, l_quantity
@@ -623,6 +629,15 @@ from next_p p left join masters m on p.products_id = m.products_id""",
     "store_files": """
 select products_id, products_model, products_image, products_price, products_quantity, products_weight, products_status
 from fx_live_products""",
+    "store_changes": """
+select p.* replace (coalesce(m.master_categories_id, p.master_categories_id) as master_categories_id)
+from next_p p left join masters m on p.products_id = m.products_id""",
+    "store_change_links": """
+select products_id, categories_id, false gone from next_l
+where (products_id, categories_id) not in (select (products_id, categories_id) from fx_live_links)
+union all
+select products_id, categories_id, true from fx_live_links
+where (products_id, categories_id) not in (select (products_id, categories_id) from next_l)""",
     "issues_new_text": """
 select * from issues_p
 union all
@@ -720,6 +735,7 @@ _MONEY = {
     "products_vitals": ["products_price"],
     "apply_products": ["products_price", "products_price_sorter"],
     "run_products": ["products_price", "products_price_sorter"],
+    "store_changes": ["products_price", "products_price_sorter"],
     "store_files": ["products_price"],
     "new_quarantined": ["products_price"],
     "replay_snapshots": ["products_price"],

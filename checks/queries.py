@@ -23,6 +23,7 @@ from catalogsync.plans import products as P
 from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
+from catalogsync.sources import issue_log as logs, versions
 from catalogsync.sources.feeds import read_feed, rejected_rows
 from catalogsync.sources.patch import write_patch
 from catalogsync.sources.snapshots import archive_feed, changed_sources, read_snapshot, recorded_days, snapshot_days
@@ -242,15 +243,29 @@ def issues_products(v: Views) -> DataFrame:
     return P.product_issues(_product_diff(v), SETTINGS)
 
 
-@_query("append_issues")
-def issue_log(v: Views) -> DataFrame:
-    log = v.feed_descriptions.select(
+def _seen_before(v: Views) -> DataFrame:
+    return v.feed_descriptions.select(
         F.col("prod_code").alias("products_model"),
         F.lit(MISSING_DESCRIPTION).alias("issue"),
         F.lit("seen before").alias("note_1"),
         F.lit(None).cast("string").alias("note_2"),
     )
-    return append_issues(log, P.product_issues(_product_diff(v), SETTINGS), P.ISSUE_KEY)
+
+
+@_query("append_issues")
+def issue_log(v: Views) -> DataFrame:
+    return append_issues(_seen_before(v), P.product_issues(_product_diff(v), SETTINGS), P.ISSUE_KEY)
+
+
+@_query()
+def issue_log_two_runs(v: Views) -> DataFrame:
+    """The product log on disk after an earlier run, a run, and the same run once more, which adds nothing."""
+    root, empty = f"{work_dir(v.spark)}/log-{uuid.uuid4().hex}", empty_issues(v.spark)
+    logs.extend_log(replace(empty, products=_seen_before(v)), root)
+    found = replace(empty, products=P.product_issues(_product_diff(v), SETTINGS))
+    for _ in range(2):
+        logs.extend_log(found, root)
+    return logs.read_entries(v.spark, root, "products")
 
 
 
@@ -463,6 +478,26 @@ def store_files(v: Views) -> DataFrame:
     )
 
 
+def _two_versions(v: Views) -> str:
+    """A store and what a run makes of it, published as a base and the changes."""
+    root = f"{work_dir(v.spark)}/versions-{uuid.uuid4().hex}"
+    versions.first_version(v.at_rest.store, root)
+    versions.next_version(_run(v).store, root)
+    return root
+
+
+@_query()
+def store_changes(v: Views) -> DataFrame:
+    """The product table of the newest version: the base, and over it what the run has changed."""
+    return versions.read_version(v.spark, _two_versions(v)).products.drop(*_DATES)
+
+
+@_query()
+def store_change_links(v: Views) -> DataFrame:
+    """The change files of the links: nothing but what the run adds and takes away."""
+    return versions.changes_of(v.spark, _two_versions(v), "products_to_categories")
+
+
 @_query()
 def issues_new_text(v: Views) -> DataFrame:
     """Product issues with the texts of new products checked as well."""
