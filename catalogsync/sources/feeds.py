@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from catalogsync.functions.text import clean_text, fix_cp1252
 from catalogsync.schemas import FEEDS, Feed
+from catalogsync.sources.splits import read_records
 
 _BAD = "_bad_record"
 # Stands for a missing value while reading, so that an empty quoted field stays an empty text.
@@ -35,6 +36,14 @@ def _raw(spark: SparkSession, feed: Feed, path: str, cp1252: bool, line_breaks:
     )
 
 
+def _raw_in_splits(spark: SparkSession, feed: Feed, path: str, cp1252: bool) -> DataFrame:
+    """The same from records that are cut from byte ranges of the files, and the file in ``_file``."""
+    schema = ", ".join(f"`{c}` string" for c in (*feed.schema.names, _BAD))
+    options = {"quote": '"', "escape": '"', "nullValue": _ABSENT, "columnNameOfCorruptRecord": _BAD, "multiLine": "true"}
+    records = read_records(spark, path, cp1252)
+    return records.select(F.from_csv("record", schema, options).alias("_row"), F.col("file").alias("_file")).select("_row.*", "_file")
+
+
 def _number_text(name: str) -> Column:
     return F.nullif(F.trim(F.col(name)), F.lit(""))
 
@@ -82,7 +91,13 @@ def delivery_day(spark: SparkSession, path: str) -> date | None:
 
 
 def read_feed(
-    spark: SparkSession, name: str, path: str, cp1252: bool = True, line_breaks: bool = True, day: date | None = None
+    spark: SparkSession,
+    name: str,
+    path: str,
+    cp1252: bool = True,
+    line_breaks: bool = True,
+    day: date | None = None,
+    in_splits: bool = False,
 ) -> DataFrame:
     """The rows of a feed, typed, transcoded, cleaned and with defaults filled in.
 
@@ -91,31 +106,34 @@ def read_feed(
     that is none becomes NULL, which changes nothing in the store. Only rows that
     don't say what they are about are left out; ``rejected_rows`` lists all these.
 
-    ``path`` may name a folder of files, which is how a large feed is read in
-    parallel. A file is read by one task unless the caller knows that its fields
-    have no ``line_breaks``; then it is read in splits. ``snapshot_date`` is one
+    ``path`` may name a folder of files, which are read in parallel. A single
+    large file is read by many tasks ``in_splits``, which takes two passes over
+    it and gives the same rows, or in one pass where the caller knows that its
+    fields have no ``line_breaks``; else by one task. ``snapshot_date`` is one
     day for the whole delivery: ``day``, or that of its file changed last.
     Columns are taken by position; the header line of each file is skipped.
     """
     feed = FEEDS[name]
     dated = F.lit(day or delivery_day(spark, path)).cast("date").alias("snapshot_date")
-    return _raw(spark, feed, path, cp1252, line_breaks).where(_readable(feed)).select(*_tidy(feed, cp1252), dated)
+    raw = _raw_in_splits(spark, feed, path, cp1252) if in_splits else _raw(spark, feed, path, cp1252, line_breaks)
+    return raw.where(_readable(feed)).select(*_tidy(feed, cp1252), dated)
 
 
 def rejected_rows(
-    spark: SparkSession, name: str, path: str, cp1252: bool = True, line_breaks: bool = True
+    spark: SparkSession, name: str, path: str, cp1252: bool = True, line_breaks: bool = True, in_splits: bool = False
 ) -> DataFrame:
     """Rows with a bad number, the wrong number of fields or no key: ``(feed, key, file, record, kept)``.
 
     ``kept`` tells whether the rest of the row takes part in a run.
     """
     feed = FEEDS[name]
-    raw = _raw(spark, feed, path, cp1252, line_breaks).where(_flawed(feed))
+    raw = _raw_in_splits(spark, feed, path, cp1252) if in_splits else _raw(spark, feed, path, cp1252, line_breaks)
+    raw = raw.where(_flawed(feed))
     fields = F.concat_ws(",", *[F.coalesce(f.name, F.lit("")) for f in feed.schema])
     return raw.select(
         F.lit(name).alias("feed"),
         F.coalesce(F.col(feed.key), F.lit("")).alias("key"),
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_file" if in_splits else "_metadata.file_path").alias("file"),
         F.coalesce(_BAD, fields).alias("record"),
         F.coalesce(_readable(feed), F.lit(False)).alias("kept"),
     )

@@ -676,6 +676,10 @@ from fx_feed_complete""",
     "read_feed_stockinfo": f"""
 select prod_code, {_CLEAN.format(f"prod_desc || '{_SPICE} in two'")} prod_desc, units_qty, weight, price,
        cast(null as varchar) del_date, 0 discont, prod_image, cantsell
+from fx_feed_stock""",
+    "read_feed_split": f"""
+select prod_code, {_CLEAN.format(f"prod_desc || '{_SPICE} in two'")} prod_desc, units_qty, weight, price,
+       cast(null as varchar) del_date, 0 discont, prod_image, cantsell
 from fx_feed_stock""",
     "read_feed_descriptions": f"select prod_code, {_CLEAN.format('narrative')} narrative from fx_feed_descriptions",
     "read_feed_product_department": "select * from fx_feed_links",
@@ -740,6 +744,7 @@ _MONEY = {
     "new_quarantined": ["products_price"],
     "replay_snapshots": ["products_price"],
     "read_feed_complete": ["price"],
+    "read_feed_split": ["price"],
     "read_feed_stockinfo": ["price"],
     "archive_roundtrip": ["price"],
 }

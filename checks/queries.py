@@ -670,6 +670,15 @@ _roundtrip("product_department", lambda v: v.feed_links)
 _roundtrip("departments", lambda v: v.feed_categories.withColumn("dept_name", _broken(F.col("dept_name"), F.col("dept_code") + 3)))
 
 
+@_query()
+def read_feed_split(v: Views) -> DataFrame:
+    """One file with breaks in its fields, read by several tasks: each takes a byte range of 64 KB."""
+    path = _as_file(_spiced(v).repartition(1), "stockinfo")
+    session = v.spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    return read_feed(session, "stockinfo", path, in_splits=True).drop("snapshot_date")
+
+
 @_query()
 def read_feed_long_codes(v: Views) -> DataFrame:
     """Codes that share their first 40 characters stay apart."""
