@@ -589,6 +589,9 @@ where key not in (select key from media_fresh)""",
     "changed_sources": """
 select cast(page_id as varchar) as name, md5(html) md5
 from pages where page_id % 3 = 0 or page_id % 5 = 1""",
+    "changed_files": """
+select distinct 'g=' || cast(page_id % 12 as varchar) as name
+from pages where page_id % 12 in (5, 7, 9)""",
     "replay_snapshots": """
 select l.products_id, l.products_model, coalesce(s.price, products_price) products_price,
        coalesce(s.qty, products_quantity) products_quantity,

@@ -24,6 +24,7 @@ from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import issue_log as logs, versions
+from catalogsync.sources.digests import range_digests
 from catalogsync.sources.feeds import read_feed, rejected_rows
 from catalogsync.sources.patch import write_patch
 from catalogsync.sources.snapshots import archive_feed, changed_sources, read_snapshot, recorded_days, snapshot_days
@@ -586,6 +587,24 @@ def changed_pages(v: Views) -> DataFrame:
     return changed_sources(pages.select(name, F.md5("html").alias("md5")), active)
 
 
+@_query()
+def changed_files(v: Views) -> DataFrame:
+    """Files of pages against an older set: one lacks a page, one has them in another order, one is not there."""
+    session, group, page = v.spark.newSession(), F.col("page_id") % 12, F.col("page_id")
+    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    pages = v.table("pages").withColumn("g", group)
+    older = pages.where((group != 9) & ((group != 5) | (page > 5))).withColumn("page_id", F.when(group == 7, -page).otherwise(page))
+
+    def written(rows: DataFrame) -> DataFrame:
+        path = f"{work_dir(v.spark)}/files-{uuid.uuid4().hex}"
+        sorted_rows = rows.repartition(12, "g").sortWithinPartitions("g", "page_id").select("g", "html")
+        sorted_rows.write.partitionBy("g").text(path)
+        # A folder has one file here, whose own name Spark makes up.
+        return range_digests(session, path).where("name like 'g=%'").withColumn("name", F.substring_index("name", "/", 1))
+
+    return changed_sources(written(pages), written(older)).select("name")
+
+
 def _replayed(v: Views) -> Store:
     """The store after three recorded days, read back from the record."""
     v, root = v.at_rest, f"{work_dir(v.spark)}/record-{uuid.uuid4().hex}"
