@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import struct
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -24,12 +26,22 @@ from pyspark.sql import DataFrame
 
 from catalogsync.llm.common import map_batches, once, pick
 
-# Entries and bytes of an entry that a worker keeps, of pieces and of pairs.
-KEPT_PIECES = 200_000
+# Entries that a worker keeps in each of two generations of pieces, entries of pairs, characters of the longest piece kept.
+KEPT_PIECES = 500_000
 KEPT_PAIRS = 1_000_000
 LONGEST_KEPT = 64
 
 
+# The pattern that is known here in a second form for the standard library's faster engine, for texts of characters up to
+# U+024F and of some punctuation and currency signs: which of them are letters, numbers or space is settled.
+_KNOWN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LETTERS, _NUMBERS, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\x09-\x0d \x85\xa0"
+_UNKNOWN = re.compile("[^\x00-ɏ‐-‧‰-⁞₠-₿]")
+_QUICK = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_SPACE}{_LETTERS}{_NUMBERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+)
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and their ranks, from a file of base64 tokens and ranks."""
     with open(path, "rb") as lines:
@@ -61,6 +73,11 @@ class Encoder:
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
+        # All tokens' bytes in a row, where each begins, and its length.
+        size = max(self.bytes_of, default=0) + 1
+        self.lengths = np.array([len(self.bytes_of.get(k, b"")) for k in range(size)], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.bytes_of.get(k, b"") for k in range(size)), np.uint8)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
 
@@ -86,8 +103,9 @@ class Encoder:
             return [whole]
         n = len(piece)
         found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            found[end + 1 - length].append((length, token))  # shorter matches end earlier and come first
+        for end, match in self.automaton.iter(piece.decode("latin-1")):
+            found[end + 1 - match[0]].append(match)  # shorter matches end earlier and come first
+        pairs, reached = self.pairs, self.whole
         row: list[int] = []  # tokens chosen so far
         left: list[int] = []  # for each of them, how many shorter matches remain untried
         dead = bytearray(n + 1)
@@ -98,7 +116,10 @@ class Encoder:
             while tries:
                 tries -= 1
                 length, token = matches[tries]
-                if not dead[at + length] and self.reachable(token) and (not row or self.compatible(row[-1], token)):
+                if dead[at + length] or not (reached[token] if token in reached else self.reachable(token)):
+                    continue
+                fits = pairs.get((row[-1], token)) if row else True
+                if fits or (fits is None and self.compatible(row[-1], token)):
                     row.append(token)
                     left.append(tries)
                     at += length
@@ -113,20 +134,34 @@ class Encoder:
                 tries = left.pop()
         return row
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray, at_once: int = 1_000_000) -> bytes:
+        return b"".join(self._taken(ids[k : k + at_once]) for k in range(0, len(ids), at_once))
+
+    def _taken(self, ids: np.ndarray) -> bytes:
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1])].tobytes()
 
 
 class Packed(dict):
-    """Ids of pieces as little-endian unsigned 32-bit integers; misses are encoded and kept."""
+    """Ids of pieces as little-endian unsigned 32-bit integers; misses are encoded and kept.
+
+    When there are too many, they become the older generation; what is asked for
+    again moves back, and what is not goes with the next change.
+    """
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encoder.encode_piece(piece.encode("utf-8")), dtype="<u4").tobytes()
+        ids = self.older.pop(piece, None)
+        if ids is None:
+            found = self.encoder.encode_piece(piece.encode("utf-8"))
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -139,15 +174,21 @@ class Codec:
         self.encoder = Encoder(read_ranks(path))
         self.packed = Packed(self.encoder)
         self.split = regex.compile(pattern)
+        self.quick = _QUICK if pattern == _KNOWN else None
+
+    def splitter(self, text: str):
+        """What splits this text fastest; the pieces are the same."""
+        return self.quick if self.quick and not _UNKNOWN.search(text) else self.split
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, packed."""
+        split = self.splitter(text)
         if len(text) <= 1_000_000:
-            return b"".join(map(self.packed.__getitem__, self.split.findall(text)))
-        return b"".join(self.packed[m.group()] for m in self.split.finditer(text))
+            return b"".join(map(self.packed.__getitem__, split.findall(text)))
+        return b"".join(self.packed[m.group()] for m in split.finditer(text))
 
     def decode(self, packed: bytes) -> bytes:
-        return self.encoder.decode(np.frombuffer(packed, dtype="<u4").tolist())
+        return self.encoder.decode(np.frombuffer(packed, dtype="<u4"))
 
 
 def _mapped(docs: DataFrame, path: str, pattern: str, doc_id: str, text: str, schema: str, row: Callable) -> DataFrame:

@@ -76,6 +76,35 @@ def test_other_tokenizers_are_refused(spark):
         TC.Counted(P.path("word_bpe_49k.json"), {})
 
 
+def test_the_quick_split_is_the_patterns():
+    codec = bpe.Codec(RANKS, P.PATTERN)
+    quick = 0
+    for code in [*range(0x3000), 0x4E2D, 0xAC00, 0x1F642]:
+        c = chr(code)
+        probe = f"a{c}a 1{c}1 !{c}! {c}{c} b's{c}'ll  {c}\n{c}"
+        quick += codec.splitter(probe) is codec.quick
+        assert codec.splitter(probe).findall(probe) == codec.split.findall(probe), hex(code)
+    assert quick >= 0x250 and bpe.Codec(RANKS, r"\S+|\s+").quick is None
+
+
+def test_all_characters_are_the_librarys(tiktoken_encoding):
+    """Every code point of the basic plane but surrogates and private use, the pictures, and the older ideographs, in context."""
+    codec = bpe.Codec(RANKS, P.PATTERN)
+    spans = [range(0x80, 0xD800), range(0xF900, 0x10000), range(0x1F000, 0x1FB00), range(0x20000, 0x2A6E0)]
+    codes = [code for span in spans for code in span]
+    for k in range(0, len(codes), 64):
+        probe = "".join(f"a{chr(c)}a 1{chr(c)}1 {chr(c)}. " for c in codes[k : k + 64])
+        assert np.frombuffer(codec.encode(probe), "<u4").tolist() == tiktoken_encoding.encode(probe), hex(codes[k])
+
+
+def test_generations_of_pieces(monkeypatch, tiktoken_encoding):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    codec = bpe.Codec(RANKS, P.PATTERN)
+    for text in [*random_texts(60), *random_texts(60)]:
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == tiktoken_encoding.encode(text)
+        assert len(codec.packed) <= 3 and len(codec.packed.older) <= 3
+
+
 def test_pieces_merge_as_defined(tiktoken_encoding):
     codec = bpe.Codec(RANKS, P.PATTERN)
     for text in random_texts() + [LONG[:5000], "a" * 3000, "ab" * 1500, " " * 2000, "é" * 700, "🙂" * 300]:
