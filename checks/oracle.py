@@ -520,6 +520,7 @@ select categories_id from both_c where categories_id not in (select categories_i
     "products_new": "select * from new_p",
     "products_dropped": "select * from dropped_p",
     "products_vitals": "select * exclude (old_price) from vitals_p",
+    "products_vitals_laid_out": "select * exclude (old_price) from vitals_p",
     "products_inactive": "select * from inactive_p",
     "products_active": "select * from active_p",
     "products_residual": "select products_id, products_model, products_name, products_description from residual_p",
@@ -629,6 +630,9 @@ from next_p p left join masters m on p.products_id = m.products_id""",
     "run_issues_categories": "select * from issues_c",
     "run_issues_products": "select * from issues_p",
     "patch_file": f"select statement from ({_union('vitals')})",
+    "patch_numbered": f"""
+select cast(row_number() over (order by phase, step, sort_key, statement) as int) as number, statement
+from ({_union(*_PATCHES)})""",
     "store_files": """
 select products_id, products_model, products_image, products_price, products_quantity, products_weight, products_status
 from fx_live_products""",
@@ -740,6 +744,7 @@ _MONEY = {
     "merge_product_feeds": ["products_price"],
     "products_new": ["products_price"],
     "products_vitals": ["products_price"],
+    "products_vitals_laid_out": ["products_price"],
     "apply_products": ["products_price", "products_price_sorter"],
     "run_products": ["products_price", "products_price_sorter"],
     "store_changes": ["products_price", "products_price_sorter"],

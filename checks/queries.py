@@ -24,9 +24,10 @@ from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import issue_log as logs, versions
+from catalogsync.sources import layout
 from catalogsync.sources.digests import range_digests
 from catalogsync.sources.feeds import read_feed, rejected_rows
-from catalogsync.sources.patch import write_patch
+from catalogsync.sources.patch import numbered_statements, write_patch
 from catalogsync.sources.snapshots import archive_feed, changed_sources, read_snapshot, recorded_days, snapshot_days
 from catalogsync.sources.store import Store, read_live, seed_control_categories, write_store
 from checks.views import IMPORT_CATEGORY, SETTINGS, SNAPSHOT_DAYS, Views, views
@@ -211,6 +212,15 @@ def products_vitals(v: Views) -> DataFrame:
     return P.vitals(_product_diff(v))
 
 
+@_query()
+def products_vitals_laid_out(v: Views) -> DataFrame:
+    """The same against a live side that was written by key: only the feed is shuffled."""
+    path, buckets = f"{work_dir(v.spark)}/live-{uuid.uuid4().hex}", 64
+    schema = layout.write_live(v.store, path, buckets, SETTINGS)
+    live = layout.read_by_key(v.spark, path, schema, "match_key", buckets)
+    return P.vitals(P.product_diff(live, _merged(v), SETTINGS))
+
+
 @_query()
 def products_inactive(v: Views) -> DataFrame:
     return P.inactive_products(_product_diff(v))
@@ -468,6 +478,12 @@ def patch_file(v: Views) -> DataFrame:
     return v.spark.read.text(path).select(F.col("value").alias("statement"))
 
 
+@_query()
+def patch_numbered(v: Views) -> DataFrame:
+    """The statements of a whole run with their place in it."""
+    return numbered_statements(_run(v).patch)
+
+
 @_query()
 def store_files(v: Views) -> DataFrame:
     """The product table of a store written as a version and read back."""
