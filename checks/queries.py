@@ -603,11 +603,20 @@ def changed_pages(v: Views) -> DataFrame:
     return changed_sources(pages.select(name, F.md5("html").alias("md5")), active)
 
 
+def _in_ranges(spark: SparkSession) -> SparkSession:
+    """The same settings in a session of its own, but files are read in byte ranges of 64 KB."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    return session
+
+
 @_query()
 def changed_files(v: Views) -> DataFrame:
     """Files of pages against an older set: one lacks a page, one has them in another order, one is not there."""
-    session, group, page = v.spark.newSession(), F.col("page_id") % 12, F.col("page_id")
-    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    session, group, page = _in_ranges(v.spark), F.col("page_id") % 12, F.col("page_id")
     pages = v.table("pages").withColumn("g", group)
     older = pages.where((group != 9) & ((group != 5) | (page > 5))).withColumn("page_id", F.when(group == 7, -page).otherwise(page))
 
@@ -709,9 +718,7 @@ _roundtrip("departments", lambda v: v.feed_categories.withColumn("dept_name", _b
 def read_feed_split(v: Views) -> DataFrame:
     """One file with breaks in its fields, read by several tasks: each takes a byte range of 64 KB."""
     path = _as_file(_spiced(v).repartition(1), "stockinfo")
-    session = v.spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-    return read_feed(session, "stockinfo", path, in_splits=True).drop("snapshot_date")
+    return read_feed(_in_ranges(v.spark), "stockinfo", path, in_splits=True).drop("snapshot_date")
 
 
 @_query()
