@@ -533,6 +533,17 @@ select categories_id from both_c where categories_id not in (select categories_i
     "issues_categories": "select * from issues_c",
     "issues_products": "select * from issues_p",
     "issues_links": "select * from issues_l",
+    "issues_products_dirty": """
+select * from issues_p
+union all
+select prod_code, 'Duplicate key', cast(most as varchar), null from repeated_p""",
+    "run_dirty": """
+select products_model, issue from issues_p
+union all
+select prod_code, 'Duplicate key' from repeated_p
+union all
+select prod_code, 'Rejected row' from fx_feed_stock
+where cast(substr(prod_code, 2) as bigint) % 7 = 0 or cast(substr(prod_code, 2) as bigint) % 11 = 0""",
     "append_issues": """
 select prod_code products_model, 'Missing Description' issue, 'seen before' note_1, cast(null as varchar) note_2
 from fx_feed_descriptions
@@ -691,6 +702,12 @@ from fx_feed_stock""",
     "read_feed_descriptions": f"select prod_code, {_CLEAN.format('narrative')} narrative from fx_feed_descriptions",
     "read_feed_product_department": "select * from fx_feed_links",
 }
+_VIEWS["repeated_p"] = """
+select prod_code, max(n) most
+from (select prod_code, 3 n, cast(substr(prod_code, 2) as bigint) % 6 = 1 again from fx_feed_stock
+      union all select prod_code, 2, cast(substr(prod_code, 2) as bigint) % 5 = 0 from fx_feed_complete
+      union all select prod_code, 2, cast(substr(prod_code, 2) as bigint) % 7 = 1 from fx_feed_descriptions)
+where again group by prod_code"""
 _VIEWS["media_found"] = """
 select key, arg_min(tried, rank) as name
 from (select key, upper(regexp_extract(key, '/(.*)\\.', 1)) stem from media_lost)

@@ -407,6 +407,37 @@ def assign_master(v: Views) -> DataFrame:
     return L.assigned_masters(v.store.products, v.store.products_to_categories, SETTINGS)
 
 
+def _repeated(v: Views) -> dict[str, DataFrame]:
+    """The product feeds with codes that come again: with another name, exactly, with a longer text. The first row stays."""
+    pk = F.substring("prod_code", 2, 10).cast("long")
+    stock = v.feed_stock.where(pk % 6 == 1)
+    again = [stock.withColumn("prod_desc", F.concat("prod_desc", F.lit(more))) for more in (" zz", " zzz")]
+    told = v.feed_descriptions.where(pk % 7 == 1)
+    return dict(
+        complete=v.feed_complete.unionByName(v.feed_complete.where(pk % 5 == 0)),
+        stockinfo=v.feed_stock.unionByName(again[0]).unionByName(again[1]),
+        descriptions=v.feed_descriptions.unionByName(told.withColumn("narrative", F.concat("narrative", F.lit(" more")))),
+    )
+
+
+@_query()
+def issues_products_dirty(v: Views) -> DataFrame:
+    """Product issues of feeds that repeat codes: each such code is named, all else is as without the repeats."""
+    feeds = _repeated(v)
+    live = P.live_products(v.store.products, v.store.products_description, SETTINGS)
+    merged = merge_product_feeds(feeds["complete"], feeds["stockinfo"], feeds["descriptions"])
+    return P.product_issues(P.product_diff(live, merged, SETTINGS), SETTINGS)
+
+
+@_query()
+def run_dirty(v: Views) -> DataFrame:
+    """What a whole run logs about products when feeds repeat codes and rows were rejected."""
+    v = v.at_rest
+    feeds = dict(_repeated(v), departments=v.feed_categories, product_department=v.feed_links)
+    rejected_stock = rejected_rows(v.spark, "stockinfo", _dirty_stock(v))
+    return run(v.store, feeds, empty_issues(v.spark), SETTINGS, rejected=rejected_stock).issues.products.select("products_model", "issue")
+
+
 def _run(v: Views):
     v, empty = v.at_rest, empty_issues(v.spark)
     feeds = dict(
