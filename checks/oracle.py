@@ -604,6 +604,11 @@ from pages where page_id % 3 = 0 or page_id % 5 = 1""",
     "changed_files": """
 select distinct 'g=' || cast(page_id % 12 as varchar) as name
 from pages where page_id % 12 in (5, 7, 9)""",
+    "interval_day": "select code prod_code, descr prod_desc, qty units_qty, price from fx_snapshots where k = 2",
+    "interval_record": """
+select code prod_code, qty units_qty, price, 1 copies, cast(min(k) as int) k, cast(count(*) as int) as "days"
+from (select *, k - row_number() over (partition by code, price, qty, descr order by k) run from fx_snapshots)
+group by code, price, qty, descr, run""",
     "replay_snapshots": """
 select l.products_id, l.products_model, coalesce(s.price, products_price) products_price,
        coalesce(s.qty, products_quantity) products_quantity,
@@ -767,6 +772,8 @@ _MONEY = {
     "store_changes": ["products_price", "products_price_sorter"],
     "store_files": ["products_price"],
     "new_quarantined": ["products_price"],
+    "interval_day": ["price"],
+    "interval_record": ["price"],
     "replay_snapshots": ["products_price"],
     "read_feed_complete": ["price"],
     "read_feed_split": ["price"],

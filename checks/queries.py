@@ -23,7 +23,7 @@ from catalogsync.plans import products as P
 from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
-from catalogsync.sources import issue_log as logs, versions
+from catalogsync.sources import intervals, issue_log as logs, versions
 from catalogsync.sources import layout
 from catalogsync.sources.digests import range_digests
 from catalogsync.sources.feeds import read_feed, rejected_rows
@@ -682,6 +682,32 @@ def _replayed(v: Views) -> Store:
     return replay(v.store, SNAPSHOT_DAYS, feeds_for, empty_issues(v.spark), SETTINGS)[0]
 
 
+def _recorded_intervals(v: Views) -> str:
+    root = f"{work_dir(v.spark)}/intervals-{uuid.uuid4().hex}"
+    for number, day in enumerate(SNAPSHOT_DAYS, start=1):
+        rows = v.snapshot(number)
+        full = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).alias(f.name) for f in FEEDS["stockinfo"].schema])
+        intervals.record_day(full, "stockinfo", root, day)
+    return root
+
+
+@_query()
+def interval_record(v: Views) -> DataFrame:
+    """How many recorded days each stored row of the stock feed stood, and from which on."""
+    found = intervals.intervals(v.spark, "stockinfo", _recorded_intervals(v))
+    days = F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])
+    first = F.array_position(days, F.col("valid_from"))
+    last = F.coalesce(F.nullif(F.array_position(days, F.col("valid_to")), F.lit(0)), F.lit(len(SNAPSHOT_DAYS) + 1))
+    return found.select("prod_code", "units_qty", "price", "copies", first.cast("int").alias("k"), (last - first).cast("int").alias("days"))
+
+
+@_query()
+def interval_day(v: Views) -> DataFrame:
+    """The second recorded day, read back from intervals."""
+    day = intervals.read_day(v.spark, "stockinfo", _recorded_intervals(v), SNAPSHOT_DAYS[1])
+    return day.select("prod_code", "prod_desc", "units_qty", "price")
+
+
 @_query()
 def replay_snapshots(v: Views) -> DataFrame:
     final = _replayed(v)
