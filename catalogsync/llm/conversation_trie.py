@@ -105,21 +105,25 @@ def beginnings(turns: DataFrame, block: int = BLOCK) -> DataFrame:
 def _joined(size: int):
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted rows of node and id to pieces of text of up to ``size`` ids."""
-        key, ids = None, []
+        key, ids, out = None, [], []
 
-        def piece() -> pa.RecordBatch:
-            columns = [[key[0]], [key[1]], [ids[0]], [",".join(map(str, ids))]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()])], names=["k1", "k2", "low", "ids"])
+        def made() -> pa.RecordBatch:
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["k1", "k2", "low", "ids"])
 
         for batch in batches:
             for k1, k2, conv in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "conv"))):
                 if ids and ((k1, k2) != key or len(ids) >= size):
-                    yield piece()
+                    out.append((*key, ids[0], ",".join(map(str, ids))))
                     ids = []
                 key = (k1, k2)
                 ids.append(conv)
+            if out:
+                yield made()
+                out = []
         if ids:
-            yield piece()
+            out.append((*key, ids[0], ",".join(map(str, ids))))
+            yield made()
 
     return join
 
