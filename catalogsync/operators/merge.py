@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogsync.functions.image import image_path
+from catalogsync.functions.keys import canonical_key
 from catalogsync.functions.text import prefer_nonempty
 from catalogsync.schemas import MONEY
 from catalogsync.settings import PRODUCT_NAME_WIDTH
@@ -63,7 +64,9 @@ def upsert(base: DataFrame, change: DataFrame, key: str) -> DataFrame:
 _VITAL_COLUMNS = ("prod_desc", "units_qty", "weight", "price", "prod_image", "cantsell")
 
 
-def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: DataFrame) -> DataFrame:
+def merge_product_feeds(
+    complete: DataFrame, stock: DataFrame, descriptions: DataFrame, fold: bool = False
+) -> DataFrame:
     """One row per product code out of three feeds, keyed ``products_model``.
 
     Stock beats complete for everything but the description; a row in
@@ -74,11 +77,17 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
     The feeds are stacked and aggregated once: one shuffle does the removal of
     repeats and the merge, with repeats reduced before it. Texts are kept in an
     aggregate of their own, so a question about vitals does not read them.
+
+    With ``fold`` codes of one canonical key are one code: that key is the extra
+    column ``match_key``, and ``products_model`` the spelling of the feed named
+    first above that has it, the smallest if it has several.
     """
 
+    code = ["prod_code", canonical_key(F.col("prod_code")).alias("match_key")] if fold else ["prod_code"]
+
     def tagged(feed: DataFrame, source: str) -> DataFrame:
         have = [c for c in (*_VITAL_COLUMNS, "narrative") if c in feed.columns]
-        return feed.select("prod_code", F.lit(source).alias("_source"), *have)
+        return feed.select(*code, F.lit(source).alias("_source"), *have)
 
     stacked = (
         tagged(complete, "complete")
@@ -92,7 +101,10 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
     def rows(source: str) -> Column:
         return F.count(F.when(F.col("_source") == source, 1)).alias(f"{source}_rows")
 
-    merged = stacked.groupBy(F.col("prod_code").alias("products_model")).agg(
+    spelled = [F.min(F.when(F.col("_source") == s, F.col("prod_code"))) for s in ("complete", "stock", "description")]
+    key = F.col("match_key") if fold else F.col("prod_code").alias("products_model")
+    merged = stacked.groupBy(key).agg(
+        *([F.coalesce(*spelled).alias("products_model")] if fold else []),
         smallest("complete", *_VITAL_COLUMNS).alias("complete"),
         smallest("complete", *_VITAL_COLUMNS, "narrative").alias("complete_text"),
         smallest("stock", *_VITAL_COLUMNS).alias("stock"),
@@ -113,6 +125,7 @@ def merge_product_feeds(complete: DataFrame, stock: DataFrame, descriptions: Dat
     status = F.when(cantsell == 1, 0).when(cantsell.isNotNull(), 1)  # an unreadable mark says nothing
     own_text = prefer_nonempty(F.col("complete_text.narrative"), F.col("complete_text.prod_desc"))
     return merged.select(
+        *(["match_key"] if fold else []),
         "products_model",
         image_path(vital("prod_image", F.lit(None).cast("string"))).alias("products_image"),
         vital("price", F.lit(0)).cast(MONEY).alias("products_price"),

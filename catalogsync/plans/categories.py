@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import differs, with_collation
+from catalogsync.functions.keys import canonical_key
 from catalogsync.functions.text import or_empty, wall_clock
 from catalogsync.operators.apply import insert_ignore, override, update
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
@@ -74,12 +75,15 @@ def import_categories(feed: DataFrame) -> DataFrame:
 
 
 def category_diff(live: DataFrame, feed: DataFrame, settings: Settings) -> DataFrame:
-    text = ["categories_description"]
+    text, compared = ["categories_description"], "categories_description"
+    if settings.fold:
+        compared = "text_key"
+        live, feed = (side.withColumn(compared, canonical_key(F.col(text[0]))) for side in (live, feed))
     return snapshot_diff(
         with_collation(live, settings.collation, text),
         with_collation(feed, settings.collation, text),
         "categories_id",
-        compare=["categories_description", "parent_id", "categories_status"],
+        compare=[compared, "parent_id", "categories_status"],
     )
 
 
@@ -114,7 +118,8 @@ def reparented_categories(diff: DataFrame) -> DataFrame:
 
 def renamed_categories(diff: DataFrame) -> DataFrame:
     """New texts of categories that the store's owner has not edited."""
-    changed = differs(F.col("feed_categories_description"), F.col("live_categories_description"))
+    text = "text_key" if "live_text_key" in diff.columns else "categories_description"
+    changed = differs(F.col(f"feed_{text}"), F.col(f"live_{text}"))
     rows = diff.where(in_both() & changed & F.col("live_last_modified").isNull()).select(
         F.col("live_categories_id").alias("categories_id"),
         F.col("feed_categories_description").alias("categories_description"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import with_collation
+from catalogsync.functions.keys import canonical_key
 from catalogsync.operators.apply import delete, insert_ignore, update
 from catalogsync.operators.assign import assign_by_priority
 from catalogsync.operators.diff import link_diff
@@ -43,23 +44,30 @@ def live_links(links: DataFrame, live: DataFrame, settings: Settings) -> DataFra
 def import_links(feed: DataFrame, categories: DataFrame, settings: Settings) -> DataFrame:
     """Distinct feed links to categories that exist: ``(products_model, categories_id)``.
 
-    Repeats collapse before anything is joined.
+    Repeats collapse before anything is joined; with ``settings.fold`` so do
+    codes of one canonical key, to their smallest spelling.
     """
     links = with_collation(
         feed.select(F.col("prod_code").alias("products_model"), F.col("dept_code").alias("categories_id")),
         settings.collation,
-    ).distinct()
+    )
+    if settings.fold:
+        by_key = links.groupBy(canonical_key(F.col("products_model")).alias("_key"), "categories_id")
+        links = by_key.agg(F.min("products_model").alias("products_model")).drop("_key")
+    else:
+        links = links.distinct()
     return links.join(categories.select("categories_id"), "categories_id", "left_semi").select(
         "products_model", "categories_id"
     )
 
 
-def resolve_links(links: DataFrame, live: DataFrame, new: DataFrame) -> DataFrame:
+def resolve_links(links: DataFrame, live: DataFrame, new: DataFrame, fold: bool = False) -> DataFrame:
     """Feed links with the id of their product, ``is_new`` for this run's products; both NULL where unknown."""
     ids = live.select(F.col("products_model").alias("_model"), "products_id", F.lit(False).alias("is_new")).unionByName(
         new.select(F.col("products_model").alias("_model"), "products_id", F.lit(True).alias("is_new"))
     )
-    return links.join(ids, F.col("products_model") == F.col("_model"), "left").drop("_model")
+    key = canonical_key if fold else (lambda model: model)
+    return links.join(ids, key(F.col("products_model")) == key(F.col("_model")), "left").drop("_model")
 
 
 def new_links(resolved: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import changed_to, differs, in_stock, with_collation
+from catalogsync.functions.keys import canonical_key
 from catalogsync.functions.text import or_empty, wall_clock
 from catalogsync.operators.apply import insert_ignore, sparse_update
 from catalogsync.operators.assign import allocate_ids, max_id
@@ -37,16 +38,20 @@ _COMPARED_TEXT = ["match_key", "products_model", "products_name", "products_desc
 _DIGESTS = {"products_name": "name_digest", "products_description": "text_digest"}
 
 
-def with_digests(rows: DataFrame) -> DataFrame:
+def _digest(text: str, fold: bool) -> Column:
+    return F.sha2(canonical_key(F.col(text)) if fold else F.col(text), 256)
+
+
+def with_digests(rows: DataFrame, fold: bool = False) -> DataFrame:
     """Digests in place of the texts: what a table needs to tell whether a text has changed."""
     return rows.select(
-        *[c for c in rows.columns if c not in _DIGESTS], *[F.sha2(c, 256).alias(d) for c, d in _DIGESTS.items()]
+        *[c for c in rows.columns if c not in _DIGESTS], *[_digest(c, fold).alias(d) for c, d in _DIGESTS.items()]
     )
 
 
 def live_digests(products: DataFrame, description: DataFrame, settings: Settings) -> DataFrame:
     """``live_products`` with digests for texts, taken where the texts are read: no text is shuffled."""
-    short = with_digests(description).withColumnsRenamed({d: c for c, d in _DIGESTS.items()})
+    short = with_digests(description, settings.fold).withColumnsRenamed({d: c for c, d in _DIGESTS.items()})
     nothing = F.sha2(F.lit(""), 256)
     rows = live_products(products, short, settings)
     return rows.select(
@@ -59,13 +64,15 @@ def live_products(products: DataFrame, description: DataFrame, settings: Setting
     """Own products with their text; of a repeated model the smallest id.
 
     ``match_key`` is the model, or for products without one a value of their
-    own that no feed code can equal. Deduplication and the later match with the
+    own that no feed code can equal. With ``settings.fold`` it is the canonical
+    key of the model. Deduplication and the later match with the
     feed both go by it and share one shuffle.
     """
     own = products.where(F.col("products_id") < settings.product_id_bound)
+    model = canonical_key(F.col("products_model")) if settings.fold else F.col("products_model")
     no_model = F.concat(F.lit("\x00"), F.col("products_id").cast("string"))
     rows = in_language(own, description, "products_id", settings).select(
-        F.coalesce("products_model", no_model).alias("match_key"),
+        F.coalesce(model, no_model).alias("match_key"),
         "products_id",
         "products_model",
         "products_image",
@@ -89,8 +96,8 @@ def product_diff(live: DataFrame, feed: DataFrame, settings: Settings) -> DataFr
     compare = ["products_name", "products_description"]
     if "text_digest" in live.columns:
         compare = list(_DIGESTS.values())
-        feed = feed.withColumns({d: F.sha2(c, 256) for c, d in _DIGESTS.items()})
-    return snapshot_diff(live, feed, "match_key", "products_model", compare)
+        feed = feed.withColumns({d: _digest(c, settings.fold) for c, d in _DIGESTS.items()})
+    return snapshot_diff(live, feed, "match_key", "match_key" if settings.fold else "products_model", compare)
 
 
 def _differs_in(diff: DataFrame, text: str) -> Column:

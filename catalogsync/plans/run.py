@@ -69,7 +69,7 @@ def diff_products(
     # Live texts are only compared, never shown, so without a collation their digests do.
     snapshot = P.live_digests if settings.collation is None else P.live_products
     live = snapshot(store.products, store.products_description, settings)
-    return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds), settings))
+    return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds, fold=settings.fold), settings))
 
 
 def run_categories(store: Store, diff: DataFrame, settings: Settings) -> tuple[Store, DataFrame, DataFrame]:
@@ -110,7 +110,7 @@ def run_placements(
 ) -> tuple[Store, DataFrame, DataFrame]:
     """The third phase: store, patch and issues. ``log`` holds earlier placement issues."""
     resolved = stage(
-        L.resolve_links(L.import_links(links, store.categories, settings), live, new), "resolved_links"
+        L.resolve_links(L.import_links(links, store.categories, settings), live, new, settings.fold), "resolved_links"
     )
     changed = stage(L.changed_links(L.own_links(links_before, settings), resolved), "changed_links")
     dropped, added = L.dropped_links(changed, log), L.added_links(changed, store.categories)

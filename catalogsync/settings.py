@@ -30,7 +30,9 @@ class Settings:
 
     ``priority`` lists category ids from most to least wanted as a product's
     master category. ``collation`` names a Spark collation for all text
-    compares; ``None`` compares bytes.
+    compares; ``None`` compares bytes. ``fold`` compares codes and texts as the
+    store's database does, by canonical keys in place of a collation: case,
+    accents and trailing blanks make no difference, rows keep their spelling.
     """
 
     add_date: datetime
@@ -43,6 +45,7 @@ class Settings:
     priority: tuple[int, ...] = ()
     always_inactive: tuple[int, ...] = ALWAYS_INACTIVE_CATEGORIES
     collation: str | None = None
+    fold: bool = False
     insert_status: bool = False
     quarantine_description_only: bool = False
     check_new_text: bool = False

@@ -521,12 +521,25 @@ select categories_id from both_c where categories_id not in (select categories_i
     "products_dropped": "select * from dropped_p",
     "products_vitals": "select * exclude (old_price) from vitals_p",
     "products_vitals_laid_out": "select * exclude (old_price) from vitals_p",
+    "products_vitals_folded": """
+with live as (select *, products_model || 'È' model from fx_live_products),
+spelled as (
+    select prod_code || 'é  ' model, 1 first from fx_feed_complete union all
+    select lower(prod_code) || 'E', 2 from fx_feed_stock union all
+    select lower(prod_code) || 'Ê ', 3 from fx_feed_descriptions),
+shown as (select strip_accents(lower(rtrim(model))) folded, arg_min(model, first) model from spelled group by 1)
+select products_id, shown.model products_model, v.products_quantity, v.products_weight, v.products_price
+from vitals_p v join live using (products_id) join shown on folded = strip_accents(lower(rtrim(live.model)))""",
     "products_inactive": "select * from inactive_p",
     "products_active": "select * from active_p",
     "products_residual": "select products_id, products_model, products_name, products_description from residual_p",
     "products_info": "select * from info_p",
     "upsert_info": "select * from info_p",
     "import_links": "select * from import_l",
+    "links_folded": """
+select distinct prod_code products_model, dept_code categories_id, products_id
+from fx_feed_links left join fx_live_products on prod_code = products_model
+where dept_code in (select categories_id from fx_live_categories)""",
     "links_new": "select * from new_l",
     "links_dropped": "select * from dropped_l",
     "links_added": "select * from added_l",
@@ -767,6 +780,7 @@ _MONEY = {
     "products_new": ["products_price"],
     "products_vitals": ["products_price"],
     "products_vitals_laid_out": ["products_price"],
+    "products_vitals_folded": ["products_price"],
     "apply_products": ["products_price", "products_price_sorter"],
     "run_products": ["products_price", "products_price_sorter"],
     "store_changes": ["products_price", "products_price_sorter"],

@@ -212,6 +212,26 @@ def products_vitals(v: Views) -> DataFrame:
     return P.vitals(_product_diff(v))
 
 
+def _folded(v: Views, codes: dict[str, Column]) -> list[DataFrame]:
+    """The product feeds with codes that the database takes for those of the store, spelled otherwise in each."""
+    feeds = {"complete": v.feed_complete, "stock": v.feed_stock, "descriptions": v.feed_descriptions}
+    return [feed.withColumn("prod_code", codes[name]) for name, feed in feeds.items()]
+
+
+@_query()
+def products_vitals_folded(v: Views) -> DataFrame:
+    """Vitals by canonical keys: store and feeds differ in case, accents and trailing blanks of a code."""
+    code, settings = F.col("prod_code"), replace(SETTINGS, fold=True)
+    feeds = _folded(v, {
+        "complete": F.concat(code, F.lit("é  ")),
+        "stock": F.concat(F.lower(code), F.lit("E")),
+        "descriptions": F.concat(F.lower(code), F.lit("Ê ")),
+    })
+    products = v.store.products.withColumn("products_model", F.concat("products_model", F.lit("È")))
+    live = P.live_digests(products, v.store.products_description, settings)
+    return P.vitals(P.product_diff(live, merge_product_feeds(*feeds, fold=True), settings))
+
+
 @_query()
 def products_vitals_laid_out(v: Views) -> DataFrame:
     """The same against a live side that was written by key: only the feed is shuffled."""
@@ -391,6 +411,17 @@ def links_added(v: Views) -> DataFrame:
     return _Links(v, numbered=False).added()
 
 
+@_query()
+def links_folded(v: Views) -> DataFrame:
+    """Feed links with their products' ids, where every link comes in two spellings of its code."""
+    settings = replace(SETTINGS, fold=True)
+    again = v.feed_links.withColumn("prod_code", F.concat(F.lower("prod_code"), F.lit(" ")))
+    links = L.import_links(v.feed_links.unionByName(again), v.store.categories, settings)
+    live = P.live_products(v.store.products, v.store.products_description, settings)
+    none_new = live.where(F.lit(False))
+    return L.resolve_links(links, live, none_new, fold=True).select("products_model", "categories_id", "products_id")
+
+
 @_query()
 def links_new(v: Views) -> DataFrame:
     return _Links(v, numbered=True).fresh()

@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from catalogsync.functions import compare, image, text
+from catalogsync.functions import compare, image, keys, text
 
 
 def _values(spark, values, expression, kind="string"):
@@ -64,3 +64,10 @@ def test_name_parts(spark):
     assert _values(spark, ["jpg", "tif", "png"], image.long_extension) == ["jpeg", "tiff", None]
     assert _values(spark, ["thumb t", "x/large z", "t", "art", ""], image.size_suffix) == ["t", "z", "", "", ""]
     assert _values(spark, ["ab_z", "ab_zz", "ab"], image.without_mark) == ["ab", "ab_zz", "ab"]
+
+
+def test_canonical_keys(spark):
+    given = ["É b ", "e B", "ß", "S", "й", "И", "", "  ", None, "中", "x\t", "a\u0301", "a"]
+    got = _values(spark, given, keys.canonical_key)
+    assert got[:4] == ["e b", "e b", "s", "s"] and got[4] == got[5]
+    assert got[6:11] == ["", "", None, "中", "x\t"] and got[11] != got[12]

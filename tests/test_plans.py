@@ -330,6 +330,59 @@ def test_case_and_trailing_blanks_in_codes(spark):
     assert rows(resolved, "categories_id", "products_id") == [(1, 1)]
 
 
+def _folded(spark):
+    """A store and feeds whose codes and texts differ in case, accents and trailing blanks only, but for b."""
+    live = [
+        {**_product(1, "Café "), "name": "Größe", "text": "Blau"},
+        {**_product(2, "b"), "name": "old", "text": "t"},
+    ]
+    stock = [_stock("CAFE", name="GROSE  "), _stock("café", name="grosE"), _stock("B ", name="new")]
+    return store(spark, **_products(*live)), (
+        feed(spark, "complete"), feed(spark, "stockinfo", *stock), feed(spark, "descriptions", dict(prod_code="cafè", narrative="BLÄU"))
+    )
+
+
+def test_codes_and_texts_fold_as_in_the_database(spark):
+    settings = replace(SETTINGS, fold=True)
+    base, feeds = _folded(spark)
+    diff = R.stage(R.diff_products(base, *feeds, settings), "diff")
+    assert P.new_products(diff).count() == 0 and P.dropped_products(diff).count() == 0
+    # Three spellings of one code are one product: its text is known, and the code is logged as repeated.
+    assert rows(P.renamed_products(diff), "products_id") == [(2,)]
+    assert rows(P.redescribed_products(diff).where("products_id = 1"), "products_id") == []
+    assert ("CAFE", "Duplicate key") in rows(P.product_issues(diff, settings), "products_model", "issue")
+    # The store's own spelling stays.
+    phase = R.run_products(base, diff, settings)
+    assert rows(phase.store.products, "products_id", "products_model") == [(1, "Café "), (2, "b")]
+    links = feed(spark, "product_department", *_links(("CAFÉ", 1), ("cafe  ", 1), ("ü", 1)))
+    categories = store(spark, categories=[dict(categories_id=1)]).categories
+    resolved = L.resolve_links(L.import_links(links, categories, settings), phase.live, phase.new, fold=True)
+    assert rows(resolved, "products_model", "categories_id", "products_id") == [("CAFÉ", 1, 1), ("ü", 1, None)]
+
+
+def test_category_names_fold(spark):
+    settings = replace(SETTINGS, fold=True)
+    base, diff = _category_diff(
+        spark, [(1, 0, "Möbel", 1, False), (2, 0, "Bag", 1, False)], [(1, 0, "MOBEL ", 1), (2, 0, "Bags", 1)], settings
+    )
+    assert rows(C.renamed_categories(diff), "categories_id", "categories_description") == [(2, "Bags")]
+    assert rows(C.unchanged_categories(diff), "categories_id") == [(1,)]
+
+
+def test_folded_match_keeps_plain_keys(spark):
+    """No collated key: aggregates by hash, one shuffle a side, and the match adds none."""
+    settings = replace(SETTINGS, fold=True)
+    base, feeds = _folded(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        diff = R.diff_products(base, *feeds, settings)
+        plan = diff._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "collat" not in plan.lower() and plan.count("Exchange hashpartitioning(match_key") == 2
+    assert "hashpartitioning(feed_match_key" not in plan and "hashpartitioning(live_match_key" not in plan
+
+
 # placements ----------------------------------------------------------------
 
 
