@@ -149,17 +149,24 @@ def rejected_issues(rejected: DataFrame) -> Issues:
 
 
 def run(
-    store: Store, feeds: dict[str, DataFrame], log: Issues, settings: Settings, rejected: DataFrame | None = None
+    store: Store,
+    feeds: dict[str, DataFrame],
+    log: Issues,
+    settings: Settings,
+    rejected: DataFrame | None = None,
+    product_diff: DataFrame | None = None,
 ) -> RunResult:
-    """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name, ``rejected`` their flawed rows."""
-    diffs = stage_all(
-        {
-            "category_diff": diff_categories(store, feeds["departments"], settings),
-            "product_diff": diff_products(
-                store, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings
-            ),
-        }
-    )
+    """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name, ``rejected`` their flawed rows.
+
+    ``product_diff`` is the staged outcome of ``diff_products`` where it was taken
+    elsewhere, as by ``sources.ranges``.
+    """
+    diffs = {"category_diff": diff_categories(store, feeds["departments"], settings)}
+    if product_diff is None:
+        diffs["product_diff"] = diff_products(
+            store, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings
+        )
+    diffs = {"product_diff": product_diff} | stage_all(diffs)
     with_categories, patch_1, issues_1 = run_categories(store, diffs["category_diff"], settings)
     phase = run_products(with_categories, diffs["product_diff"], settings)
     # Both tables are read by several steps of the next phase.

@@ -521,6 +521,10 @@ select categories_id from both_c where categories_id not in (select categories_i
     "products_dropped": "select * from dropped_p",
     "products_vitals": "select * exclude (old_price) from vitals_p",
     "products_vitals_laid_out": "select * exclude (old_price) from vitals_p",
+    "products_vitals_ranged": """
+select prod_code products_model, cast(null as float) products_quantity, cast(null as float) products_weight,
+       price + 1 products_price
+from fx_feed_stock where cast(substr(prod_code, 2) as bigint) % 40 = 1""",
     "products_vitals_folded": """
 with live as (select *, products_model || 'È' model from fx_live_products),
 spelled as (
@@ -781,6 +785,7 @@ _MONEY = {
     "products_vitals": ["products_price"],
     "products_vitals_laid_out": ["products_price"],
     "products_vitals_folded": ["products_price"],
+    "products_vitals_ranged": ["products_price"],
     "apply_products": ["products_price", "products_price_sorter"],
     "run_products": ["products_price", "products_price_sorter"],
     "store_changes": ["products_price", "products_price_sorter"],

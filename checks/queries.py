@@ -20,11 +20,11 @@ from catalogsync.operators.validate import MISSING_DESCRIPTION, append_issues
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
+from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_store
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import intervals, issue_log as logs, versions
-from catalogsync.sources import layout
+from catalogsync.sources import layout, ranges
 from catalogsync.sources.digests import range_digests
 from catalogsync.sources.feeds import read_feed, rejected_rows
 from catalogsync.sources.patch import numbered_statements, write_patch
@@ -241,6 +241,22 @@ def products_vitals_laid_out(v: Views) -> DataFrame:
     return P.vitals(P.product_diff(live, _merged(v), SETTINGS))
 
 
+@_query()
+def products_vitals_ranged(v: Views) -> DataFrame:
+    """The day after a run: a few prices differ, and only key ranges that are not known to be quiet are compared."""
+    root, feeds = f"{work_dir(v.spark)}/ranges-{uuid.uuid4().hex}", (v.feed_complete, v.feed_stock, v.feed_descriptions)
+    ranges.first_ranges(v.store, root, SETTINGS, 64)
+    first = ranges.ranged_diff(v.spark, root, *feeds, SETTINGS)
+    store = products_phase(v.store, first.diff, SETTINGS).store
+    ranges.settle(first, root, stage_store(store), SETTINGS)
+    # The same feeds once more come to nothing, which is put on record.
+    ranges.settle(ranges.ranged_diff(v.spark, root, *feeds, SETTINGS), root)
+    raised = F.when(F.substring("prod_code", 2, 10).cast("long") % 40 == 1, 1).otherwise(0)
+    stock = v.feed_stock.withColumn("price", (F.col("price") + raised).cast(v.feed_stock.schema["price"].dataType))
+    later = ranges.ranged_diff(v.spark, root, v.feed_complete, stock, v.feed_descriptions, SETTINGS)
+    return P.vitals(later.diff).drop("products_id")
+
+
 @_query()
 def products_inactive(v: Views) -> DataFrame:
     return P.inactive_products(_product_diff(v))
