@@ -33,13 +33,18 @@ LEVELS = 8
 ROUNDS = (0.75, 1.0)
 # Stop early where no more than this share of a block is left to score.
 LEFT = 1 / 8
+# The largest double that is a long.
+LONGEST = float((1 << 63) - 1024)
+# Bounds are taken in single precision; impacts beyond this are scaled down first.
+LARGEST_IMPACT = 1e30
+# Index blocks that meet a query block under one shuffle key.
+TOGETHER = 64
 
 
 def quantised(vectors: list[list[float]]) -> np.ndarray:
     """floor(256 * x) as whole numbers; shorter vectors are filled up with zeros.
 
-    Values are held within what keeps every inner product a long; for 64
-    components that is 2 ** 28, a component of about a million.
+    Values that don't fit a long are held at its ends.
     """
     width = max(map(len, vectors), default=0)
     if all(len(v) == width for v in vectors):
@@ -48,8 +53,20 @@ def quantised(vectors: list[list[float]]) -> np.ndarray:
         real = np.zeros((len(vectors), width))
         for k, v in enumerate(vectors):
             real[k, : len(v)] = v
-    most = math.isqrt((1 << 62) // max(64, width))
-    return np.clip(np.floor(SCALE * real), -most, most).astype(np.int64)
+    return np.clip(np.floor(SCALE * real), -LONGEST, LONGEST).astype(np.int64)
+
+
+def inner_products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows with a query; those that don't fit a long are held at its ends."""
+    found = values @ query
+    largest = float(np.abs(values).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(1, len(query))
+    if largest >= 1 << 62:
+        # Sums may leave the range of a long: those that could are taken in whole numbers of any size.
+        size = np.abs(values).astype(np.float64) @ np.abs(query).astype(np.float64)
+        for row in np.flatnonzero(size >= 1 << 62):
+            exact = sum(int(a) * int(b) for a, b in zip(values[row], query))
+            found[row] = min(max(exact, -(1 << 63)), (1 << 63) - 1)
+    return found
 
 
 class Block:
@@ -85,6 +102,8 @@ class Block:
         n = len(self.ids)
         q = queries[left].astype(np.float64)[:, :, None]
         up = np.maximum(q * low, q * high)
+        scale = np.maximum(1.0, np.abs(up).max(axis=(1, 2), initial=0.0) / LARGEST_IMPACT)
+        up = up / scale[:, None, None]
         impact = (up - up.min(axis=2, keepdims=True)).reshape(len(left), -1)
         done = np.ones_like(impact, dtype=bool)
         if share < 1:
@@ -102,13 +121,16 @@ class Block:
         unproven = []
         for row, query in enumerate(left):
             first = tops[row][np.isfinite(bound[row][tops[row]])]
-            scores = np.sort(values[first] @ queries[query])
-            possible = np.flatnonzero(bound[row] >= scores[-k]) if len(scores) >= k else np.flatnonzero(np.isfinite(bound[row]))
+            scores = np.sort(inner_products(values[first], queries[query]))
+            # A score held at the lower end says nothing about bounds below it.
+            enough = len(scores) >= k and scores[-k] > -(1 << 63)
+            possible = np.flatnonzero(bound[row] >= scores[-k] / scale[row]) if enough else np.flatnonzero(np.isfinite(bound[row]))
             if share < 1 and len(possible) > max(LEFT * n, 4 * k):
                 unproven.append(query)
                 continue
-            exact = values[possible] @ queries[query]
-            order = np.lexsort((self.ids[possible], -exact))[:k]
+            exact = inner_products(values[possible], queries[query])
+            # The complement reverses the order without leaving the range of a long.
+            order = np.lexsort((self.ids[possible], ~exact))[:k]
             yield int(ids[query]), self.ids[possible[order]], exact[order]
         return np.array(unproven, dtype=int)
 
@@ -156,7 +178,8 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 5, vec_id: str = "vec_id",
 
     Vectors (or ids) that are null, and vectors that hold null or a number that
     isn't finite, take no part. Vectors of different lengths are compared as if
-    filled up with zeros, empty ones score 0. Rows that repeat an id are
+    filled up with zeros, empty ones score 0. Scores are exact; one that doesn't
+    fit a long is held at its ends, as is a component. Rows that repeat an id are
     candidates each, and none of them is a candidate for the query of that id;
     of repeated query ids with different vectors the smallest vector asks. An
     empty table gives an empty one. Other columns are ignored. Every query block
@@ -169,11 +192,19 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 5, vec_id: str = "vec_id",
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     index = packed(rows, BLOCK, rows.count(), "topk-index")
     queries = packed(asked, QUERY_BLOCK, asked.count(), "topk-queries")
-    numbered = queries.withColumn("block", F.row_number().over(W.orderBy("ids")) - 1).select(
-        "block", F.col("width").alias("q_width"), F.col("small").alias("q_small"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
+    # Blocks are numbered by a digest of their ids, which no two share: only digests are sorted.
+    keyed = queries.withColumn("digest", F.sha2("ids", 256))
+    numbers = keyed.select("digest", (F.row_number().over(W.orderBy("digest")) - 1).alias("block"))
+    blocks, index_blocks = queries.count(), index.count()
+    # A query block goes to every group of index blocks, so no key gathers the whole index.
+    groups = -(-index_blocks // TOGETHER) or 1
+    numbered = keyed.join(numbers, "digest").select(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"),
+        F.col("width").alias("q_width"), F.col("small").alias("q_small"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
+    )
+    spread = index.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1))))
     )
-    blocks = queries.count()
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +218,7 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 5, vec_id: str = "vec_id",
                         names=["query_id", "vec_id", "score"],
                     )
 
-    met = spread.join(numbered, "block").drop("block").repartition(max(1, blocks * index.count()))
+    met = spread.join(numbered, ["block", "part"]).drop("block", "part").repartition(max(1, blocks * index_blocks))
     best = map_batches(met, run, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

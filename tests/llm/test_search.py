@@ -58,9 +58,23 @@ def test_cases(spark):
     assert search(spark, rows[1:2]) == []
 
 
-def test_huge_components_are_held(spark):
-    found = search(spark, [(0, [3e38, 1.0]), (1, [3e38, 0.0]), (2, [-3e38, 0.0])])
-    assert [r[2] for r in found] == [1, 2] and found[0][3] > 0 > found[1][3]
+def test_large_components_score_exactly(spark):
+    """Components of 2 ** 21 and more, also where single products of a sum leave the range of a long."""
+    big = 2.0**21
+    rows = as_float([(0, [big, 1.0, 0.0])] + [(k, [big * k, -k / 256, 1.0]) for k in range(1, 30)])
+    assert search(spark, rows) == plain(rows)
+    # 2 ** 38 * 2 ** 48 and its opposite cancel; what is left fits a long.
+    rows = as_float([(50, [2.0**30, -(2.0**30), 3.0]), (60, [2.0**20, 2.0**20, -1.0])] + [(60 + k, [2.0**40, 2.0**40, k / 4]) for k in range(1, 9)])
+    found = search(spark, rows)
+    assert found == plain(rows) and found[0] == (50, 1, 68, 768 * 512)
+
+
+def test_scores_beyond_a_long_are_held(spark):
+    least, most = -(1 << 63), (1 << 63) - 1
+    found = search(spark, [(0, [3e38, 1.0]), (1, [3e38, 0.0]), (2, [-3e38, 0.0]), (3, [0.0, 2.0]), (4, [-3e38, -1.0]), (5, [2e38, 9.0])])
+    assert found == [(0, 1, 1, most), (0, 2, 5, most), (0, 3, 3, 2 << 16), (0, 4, 2, least), (0, 5, 4, least)]
+    few = search(spark, [(0, [3e38, 1.0]), *[(k, [-3e38, 0.0]) for k in range(9, 0, -1)]])
+    assert [r[2:] for r in few] == [(k, least) for k in range(1, 6)]
 
 
 def test_early_rounds_prove_on_clusters():
