@@ -67,23 +67,26 @@ class Space:
             bound = vectors if bound is None else bound * vectors
         return bound
 
-    def codes(self, text: str) -> np.ndarray:
-        """Trigrams of lower-cased letters; runs of anything else, and both ends, are one space."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
-        letter = self.alpha[points]
-        if not letter.any():
-            return np.zeros(0, np.uint64)
-        before = np.concatenate(([False], letter[:-1]))
-        kept = np.where(letter, points, SPACE)[letter | before]
-        row = np.concatenate(([SPACE], kept, [SPACE] if letter[-1] else [])).astype(np.uint64)
-        return (row[:-2] << np.uint64(42)) | (row[1:-1] << np.uint64(21)) | row[2:]
+    def codes(self, text: str) -> Iterator[np.ndarray]:
+        """Trigrams of lower-cased letters, in slices; runs of anything else, and both ends of the text, are one space.
+
+        The last two signs of a slice go on to the next, so slices make no difference.
+        """
+        text, row, inside = text.lower(), np.array([SPACE], np.uint64), False
+        for start in range(0, len(text), BLOCK_CHARS):
+            points = np.frombuffer(text[start : start + BLOCK_CHARS].encode("utf-32-le", "replace"), dtype=np.uint32)
+            letter = self.alpha[points]
+            kept = np.where(letter, points, SPACE)[letter | np.concatenate(([inside], letter[:-1]))]
+            inside = bool(letter[-1])
+            ends = inside and start + BLOCK_CHARS >= len(text)
+            row = np.concatenate((row[-2:], kept, [SPACE] if ends else [])).astype(np.uint64)
+            yield (row[:-2] << np.uint64(42)) | (row[1:-1] << np.uint64(21)) | row[2:]
 
     def blocks(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(place of the text, trigram code) arrays over all texts, in blocks; long texts in slices."""
         owners, codes, size = [], [], 0
         for place, text in enumerate(texts):
-            for start in range(0, len(text or ""), BLOCK_CHARS):
-                found = self.codes(text[start : start + BLOCK_CHARS])
+            for found in self.codes(text or ""):
                 if size and (size + len(found) > BLOCK_CHARS or len(owners) >= BLOCK_TEXTS):
                     yield np.concatenate(owners), np.concatenate(codes)
                     owners, codes, size = [], [], 0
@@ -191,7 +194,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, profiles: Profiles, least: float = 0.0, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language: not ``und``, and a cosine above ``least``. All columns stay; nothing is shuffled."""
+    """The rows of ``docs`` whose text has a language: not ``und``, and a cosine above ``least``. All columns stay; nothing is shuffled.
+
+    Null, empty and letterless texts go, and texts whose best cosine is not above
+    ``least``; where no profile was learnt, all rows. Repeated rows and null ids
+    are judged each by their text.
+    """
     names, place = docs.columns, docs.columns.index(text)
     rows = docs.toDF(*[f"_c{k}" for k in range(len(names))])
     sent = docs.sparkSession.sparkContext.broadcast(profiles)

@@ -117,3 +117,17 @@ def test_lm_cases(spark):
     assert by_id[3]["log_likelihood"] == 0 and by_id[3]["per_token"] is None
     assert S.score(frame(spark, []), values).count() == 0
     assert np.array_equal(S.train(frame(spark, [])), S.Network.start().values)
+
+
+def test_long_texts_are_bundled_as_one(monkeypatch):
+    """Wherever slices cut a text, its trigrams are those of the whole."""
+    text = "Été, ΟΔΟΣ και İstanbul!  x — 漢字 の\U0001d4d0 12 ab" * 3 + "c"
+    space = L.Space(64)
+    whole = np.concatenate(list(space.codes(text)))
+    assert len(whole) > 60 and whole[0] >> np.uint64(42) == 32 and whole[-1] & np.uint64(0x1FFFFF) == 32
+    want = space.bundle([text, None, "", "1 2", "a"])
+    for size in (1, 2, 3, 5, 17):
+        monkeypatch.setattr(L, "BLOCK_CHARS", size)
+        assert np.array_equal(np.concatenate(list(space.codes(text))), whole)
+        assert np.array_equal(space.bundle([text, None, "", "1 2", "a"]), want)
+    assert not want[1:4].any() and want[4].any()
