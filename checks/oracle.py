@@ -618,6 +618,9 @@ where key not in (select key from media_fresh)""",
     "changed_sources": """
 select cast(page_id as varchar) as name, md5(html) md5
 from pages where page_id % 3 = 0 or page_id % 5 = 1""",
+    "media_contents": """
+select md5(content) md5, strlen(content)::bigint as length, true named
+from (select string_agg(html || chr(10), '' order by page_id) content from pages group by page_id % 24)""",
     "changed_files": """
 select distinct 'g=' || cast(page_id % 12 as varchar) as name
 from pages where page_id % 12 in (5, 7, 9)""",

@@ -24,9 +24,10 @@ from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import intervals, issue_log as logs, versions
-from catalogsync.sources import layout, ranges
+from catalogsync.sources import layout, media_store, ranges
 from catalogsync.sources.digests import range_digests
 from catalogsync.sources.feeds import read_feed, rejected_rows
+from catalogsync.sources.media import scan_media
 from catalogsync.sources.patch import numbered_statements, write_patch
 from catalogsync.sources.snapshots import archive_feed, changed_sources, read_snapshot, recorded_days, snapshot_days
 from catalogsync.sources.store import Store, read_live, seed_control_categories, write_store
@@ -691,6 +692,20 @@ def _in_ranges(spark: SparkSession) -> SparkSession:
     return session
 
 
+@_query()
+def media_contents(v: Views) -> DataFrame:
+    """Files of pages, stored under their digests by two runs that share most of them, and hashed anew where they lie."""
+    root, folder = (f"{work_dir(v.spark)}/{kind}-{uuid.uuid4().hex}" for kind in ("contents", "files"))
+    pages = v.table("pages").withColumn("g", F.col("page_id") % 24).repartition(24, "g").sortWithinPartitions("g", "page_id")
+    pages.select("g", "html").write.partitionBy("g").text(folder)
+    path = F.concat_ws("/", F.lit(folder), "dir", "name")
+    files = scan_media(v.spark, folder).where("dir like 'g=%'").withColumn("path", path)
+    for some in (files.where("md5 < '8'"), files):
+        media_store.store_contents(some, root)
+    there = scan_media(v.spark, f"{root}/content")
+    return there.join(media_store.held_contents(v.spark, root), ["md5", "length"]).select("md5", "length", (F.col("name") == F.col("md5")).alias("named"))
+
+
 @_query()
 def changed_files(v: Views) -> DataFrame:
     """Files of pages against an older set: one lacks a page, one has them in another order, one is not there."""
