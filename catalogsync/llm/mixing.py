@@ -4,13 +4,15 @@ Every document gets an exponential key, -ln(u) / weight, with u drawn from a has
 of its id and the weight its quality: the order of the keys is a weighted sample
 without replacement, the best documents early. A source first gives its whole
 epochs; what is left of its target is filled with the documents of smallest keys,
-by prefix sums of their sizes. Prefix sums are taken in two levels, over blocks of
+by prefix sums of their sizes, until none is left that fits. Prefix sums are taken in two levels, over blocks of
 neighbouring keys and within them, so a source with a third of all rows is summed
 by many tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,8 +23,6 @@ SEED = "mix"
 # Documents of a block of neighbouring keys, about.
 BLOCK_ROWS = 5_000
 MOST_TIMES = 3
-# Passes that fill what is left of a target.
-FILLS = 3
 
 
 def word_count(text: str = "text") -> Column:
@@ -101,7 +101,7 @@ def prefix_sums(rows: DataFrame, value: str) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", fills: int = FILLS) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """How often the mix takes each document.
 
     Returns a row per row of ``docs``: ``doc_id``, ``size`` (words),
@@ -109,8 +109,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     (``times * size``). All documents of a source are taken for its whole epochs,
     the target divided by its size. The rest of the target is filled in key
     order: each pass takes the documents whose running sum still fits, and looks
-    only at those that are no larger than what is left. So a source stays below
-    its target, by less than the first document that the last pass refused.
+    only at those that are no larger than what is left. Passes go on until no
+    document fits what its source has left, so the outcome is that of going
+    through the documents one by one in key order and taking each that fits; a
+    source stays below its target by less than its smallest document not taken.
 
     A null source is a source of its own, last in order. Null and blank texts
     have size 0: they follow the rule for times and take no words. Null ids and
@@ -140,10 +142,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     )
     targets = stage(targets.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("extra", F.lit(0))
-    for _ in range(fills):
-        # What this pass may take: documents not taken yet that fit what is left, or, in the first pass, any.
-        open_rows = (F.col("extra") == 0) & (F.col("rest") > 0) & (F.col("size") <= F.col("rest"))
+    rows, settled = rows.withColumn("extra", F.lit(0)), []
+    # What a pass may take: documents not taken yet that fit what is left.
+    open_rows = (F.col("extra") == 0) & (F.col("rest") > 0) & (F.col("size") <= F.col("rest"))
+    while True:
         rows = prefix_sums(rows.withColumn("open", F.when(open_rows, F.col("size")).otherwise(0)), "open")
         fits = open_rows & (F.col("before") + F.col("size") <= F.col("rest"))
         rows = rows.withColumns({"extra": F.when(fits, 1).otherwise(F.col("extra")), "filled": F.when(fits, F.col("size")).otherwise(0)})
@@ -151,18 +153,24 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         filled = rows.groupBy("source").agg(F.sum("filled").alias("sum")).withColumnRenamed("source", "of")
         rows = rows.drop("filled").join(filled, F.col("source").eqNullSafe(F.col("of"))).drop("of")
         rows = rows.withColumn("rest", F.col("rest") - F.col("sum")).drop("sum")
+        settled.append(rows.where(~open_rows))
+        # What the next pass looks at; every pass takes one document at least of each source that has any.
+        rows = rows.where(open_rows)
+        if rows.isEmpty():
+            break
+    rows = reduce(DataFrame.unionByName, settled)
     times = F.col("epochs") + F.col("extra")
     return rows.select("doc_id", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))
 
 
-def apply_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", fills: int = FILLS) -> DataFrame:
+def apply_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
     Rows that agree in id and size are taken alike, as often as the one of them
     that is taken most.
     """
     names = docs.columns
-    taken = mix(docs, doc_id, text, source, fills).where("times > 0")
+    taken = mix(docs, doc_id, text, source).where("times > 0")
     taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.max("times").alias("_times"))
     rows = docs.toDF(*[f"_c{k}" for k in range(len(names))])
     own_id, own_size = F.col(f"_c{names.index(doc_id)}"), word_count(f"_c{names.index(text)}")

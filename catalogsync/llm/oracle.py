@@ -157,24 +157,10 @@ FROM m JOIN s USING (node)
 """
 
 
-def _mixing(fills: int = 3) -> str:
-    passes = []
-    for k in range(1, fills + 1):
-        fits = "extra = 0 AND rest > 0 AND size <= rest"
-        passes.append(f"""
-, b{k} AS (
-    SELECT *, coalesce(sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (
-        PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM p{k - 1}
-), f{k} AS (
-    SELECT * EXCLUDE (extra, before), CASE WHEN {fits} AND before + size <= rest THEN 1 ELSE extra END AS extra,
-           CASE WHEN {fits} AND before + size <= rest THEN size ELSE 0 END AS filled
-    FROM b{k}
-), p{k} AS (
-    SELECT * EXCLUDE (rest, filled), rest - (sum(filled) OVER (PARTITION BY source))::DOUBLE AS rest FROM f{k}
-)""")
+def _mixing() -> str:
+    fits = "extra = 0 AND rest > 0 AND size <= rest"
     return f"""
-WITH d AS (
+WITH RECURSIVE d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
            -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 12))::BIGINT::DOUBLE + 1) / 281474976710656.0)
            / greatest(coalesce(power_share, 0.0), 0.05) AS key
@@ -204,8 +190,19 @@ WITH d AS (
     SELECT d.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs,
            target - coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT * source_size AS rest, 0 AS extra
     FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
-){''.join(passes)}
-SELECT doc_id, size, source_size, target, epochs + extra AS times, (epochs + extra) * size AS taken FROM p{fills}
+), p AS (
+    SELECT *, 0 AS pass FROM p0
+    UNION ALL
+    SELECT * EXCLUDE (rest, extra, pass, before, more, filled, taken_now),
+           rest - (sum(filled) OVER (PARTITION BY source))::DOUBLE AS rest, CASE WHEN taken_now THEN 1 ELSE extra END AS extra, pass + 1 AS pass
+    FROM (SELECT *, {fits} AND before + size <= rest AS taken_now, CASE WHEN {fits} AND before + size <= rest THEN size ELSE 0 END AS filled
+          FROM (SELECT *, bool_or({fits}) OVER () AS more, coalesce(sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (
+                    PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+                FROM p))
+    WHERE more
+)
+SELECT doc_id, size, source_size, target, epochs + extra AS times, (epochs + extra) * size AS taken
+FROM p WHERE pass = (SELECT max(pass) FROM p)
 """
 
 

@@ -1,7 +1,7 @@
 from collections import Counter
 
 from catalogsync.llm import mixing as M
-from llm_cases import WORD, collected, frame
+from llm_cases import WORD, collected, frame, ordered
 
 
 def rows(scale=1):
@@ -64,6 +64,25 @@ def test_quality_weighs(spark):
     assert good > 2 * sum(r["taken"] for r in found if not r["doc_id"] % 2)
 
 
+def test_no_document_that_fits_is_left(spark):
+    """Sources with some very long documents: what is taken is what one gets by going through the keys one by one."""
+    lengths = [(k, 4000 if k % 40 == 3 else 300 if k % 9 == 1 else 1 + k % 13) for k in range(900)]
+    given = [(k, " ".join(["w"] * n), ["a", "b", None, "c"][k % 4]) for k, n in lengths] + [(5000, "", "a"), (5001, None, "b")]
+    found = M.mix(frame(spark, given, source=True)).collect()
+    of = {i: s for i, _, s in given}
+    rest = {}
+    for r in found:
+        s = of[r["doc_id"]]
+        rest[s] = rest.get(s, r["target"]) - r["taken"]
+    for r in found:
+        epochs = r["target"] // r["source_size"] if r["source_size"] else 0
+        if r["size"] and r["times"] == epochs:
+            assert r["size"] > rest[of[r["doc_id"]]]
+    assert all(0 <= left for left in rest.values())
+    again = M.mix(frame(spark, given[::-1], source=True).repartition(5))
+    assert collected(again, "doc_id", "times") == ordered((r["doc_id"], r["times"]) for r in found)
+
+
 def test_empty_tables_and_copies(spark):
     assert M.mix(frame(spark, [], source=True)).count() == 0
     assert M.mix(frame(spark, [(1, None, None), (2, "", "a")], source=True)).where("taken <> 0 or target <> 0").count() == 0
