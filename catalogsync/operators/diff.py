@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.functions.compare import same
+from catalogsync.session import spread
 
 
 def snapshot_diff(
@@ -51,13 +52,14 @@ def in_both() -> Column:
     return F.col("in_live").isNotNull() & F.col("in_feed").isNotNull()
 
 
-def link_diff(live: DataFrame, feed: DataFrame, key: list[str]) -> DataFrame:
+def link_diff(live: DataFrame, feed: DataFrame, key: list[str], rows: int = 0) -> DataFrame:
     """Match two sets of links by all their columns: ``key`` with both presence flags.
 
     Links are small and have nothing to compare, so the sets are stacked and
     aggregated: repeats collapse before the one shuffle, whichever link is hot.
+    Of very many links, ``rows`` on either side, a task gets no more than it can hold.
     """
     stacked = live.select(*key, F.lit(1).alias("in_live"), F.lit(0).alias("in_feed")).unionByName(
         feed.select(*key, F.lit(0).alias("in_live"), F.lit(1).alias("in_feed"))
     )
-    return stacked.groupBy(*key).agg(F.max("in_live").alias("in_live"), F.max("in_feed").alias("in_feed"))
+    return spread(stacked, 2 * rows, key[0]).groupBy(*key).agg(F.max("in_live").alias("in_live"), F.max("in_feed").alias("in_feed"))

@@ -21,6 +21,7 @@ from catalogsync.operators.render import (
 )
 from catalogsync.operators.validate import NON_LEAF, UNASSIGNED, UNKNOWN_PRODUCT, issue_case, issue_rows
 from catalogsync.schemas import PLACEMENT_ISSUES
+from catalogsync.session import spread
 from catalogsync.settings import Settings
 
 PHASE = 3
@@ -41,21 +42,23 @@ def live_links(links: DataFrame, live: DataFrame, settings: Settings) -> DataFra
     return own_links(links, settings).join(live.select("products_id", "products_model"), "products_id", "left")
 
 
-def import_links(feed: DataFrame, categories: DataFrame, settings: Settings) -> DataFrame:
+def import_links(feed: DataFrame, categories: DataFrame, settings: Settings, rows: int = 0) -> DataFrame:
     """Distinct feed links to categories that exist: ``(products_model, categories_id)``.
 
     Repeats collapse before anything is joined; with ``settings.fold`` so do
-    codes of one canonical key, to their smallest spelling.
+    codes of one canonical key, to their smallest spelling. ``rows`` says about
+    how many there are: very many are dealt by code, as the match with products needs them.
     """
     links = with_collation(
         feed.select(F.col("prod_code").alias("products_model"), F.col("dept_code").alias("categories_id")),
         settings.collation,
     )
     if settings.fold:
-        by_key = links.groupBy(canonical_key(F.col("products_model")).alias("_key"), "categories_id")
+        keyed = links.withColumn("_key", canonical_key(F.col("products_model")))
+        by_key = spread(keyed, rows, "_key").groupBy("_key", "categories_id")
         links = by_key.agg(F.min("products_model").alias("products_model")).drop("_key")
     else:
-        links = links.distinct()
+        links = spread(links, rows, "products_model").distinct()
     return links.join(categories.select("categories_id"), "categories_id", "left_semi").select(
         "products_model", "categories_id"
     )
@@ -77,10 +80,10 @@ def new_links(resolved: DataFrame, new: DataFrame, settings: Settings) -> DataFr
     return by_feed.unionByName(to_import).distinct()
 
 
-def changed_links(live: DataFrame, resolved: DataFrame) -> DataFrame:
+def changed_links(live: DataFrame, resolved: DataFrame, rows: int = 0) -> DataFrame:
     """Links of known products that only the store or only the feed has."""
     known = resolved.where(~F.col("is_new"))
-    return link_diff(live, known, LINK).where(F.col("in_live") != F.col("in_feed"))
+    return link_diff(live, known, LINK, rows).where(F.col("in_live") != F.col("in_feed"))
 
 
 def parent_ids(categories: DataFrame) -> DataFrame:
@@ -98,20 +101,21 @@ def added_links(changed: DataFrame, categories: DataFrame) -> DataFrame:
     return changed.where(F.col("in_feed") == 1).join(parent_ids(categories), "categories_id", "left_anti").select(*LINK)
 
 
-def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: DataFrame) -> DataFrame:
-    """Links without the dropped ones, which are never among the added or new ones, and with those."""
+def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: DataFrame, rows: int = 0) -> DataFrame:
+    """Links, about ``rows`` of them, without the dropped ones, which are never among the added or new ones, and with those."""
+    links = spread(links, rows, *LINK)
     more = added.unionByName(new.select(*LINK))
     return insert_ignore(delete(links, dropped, LINK), more, LINK, unique=True, before=links)
 
 
-def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings) -> DataFrame:
+def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings, rows: int = 0) -> DataFrame:
     """``(products_id, master_categories_id)`` for products waiting in the import category that have another link.
 
     Few products wait as a rule, so their links are picked out before anything is grouped.
     """
     waiting = products.where(F.col("master_categories_id") == settings.import_category_id).select("products_id")
     best = assign_by_priority(
-        links.join(waiting, "products_id", "left_semi"),
+        spread(links, rows, "products_id").join(waiting, "products_id", "left_semi"),
         "products_id",
         "categories_id",
         settings.priority,

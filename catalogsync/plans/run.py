@@ -109,14 +109,17 @@ def run_placements(
     settings: Settings,
 ) -> tuple[Store, DataFrame, DataFrame]:
     """The third phase: store, patch and issues. ``log`` holds earlier placement issues."""
+    # The feed has about as many links as the store.
+    rows = links_before.count()
     resolved = stage(
-        L.resolve_links(L.import_links(links, store.categories, settings), live, new, settings.fold), "resolved_links"
+        L.resolve_links(L.import_links(links, store.categories, settings, rows), live, new, settings.fold), "resolved_links"
     )
-    changed = stage(L.changed_links(L.own_links(links_before, settings), resolved), "changed_links")
+    rows = max(rows, resolved.count())
+    changed = stage(L.changed_links(L.own_links(links_before, settings), resolved, rows), "changed_links")
     dropped, added = L.dropped_links(changed, log), L.added_links(changed, store.categories)
     fresh = L.new_links(resolved, new, settings)
-    after = stage(L.apply_links(links_before, dropped, added, fresh), "links")
-    masters = stage(L.assigned_masters(store.products, after, settings), "masters")
+    after = stage(L.apply_links(links_before, dropped, added, fresh, rows), "links")
+    masters = stage(L.assigned_masters(store.products, after, settings, rows), "masters")
     products = L.apply_masters(store.products, masters)
     issues = L.placement_issues(
         after, products, store.products_description, store.categories, resolved, settings

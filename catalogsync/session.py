@@ -52,6 +52,21 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+# Narrow rows that one task takes into a hash table or a sort.
+ROWS_OF_A_TASK = 500_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Deal many narrow rows by key over tasks of about ROWS_OF_A_TASK; left as it is where Spark's own tasks are no larger.
+
+    Adaptive execution merges partitions by their compressed bytes, of which a link
+    has few, so tasks of a large table get millions of rows. It leaves partitions
+    alone whose number was given. ``rows`` is an estimate.
+    """
+    parts = -(-rows // ROWS_OF_A_TASK)
+    return df.repartition(parts, *keys) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 _staged: set[str] = set()
 
 

@@ -394,12 +394,14 @@ class _Links:
         live = staged["who"].where("in_live").selectExpr(
             "live_products_id products_id", "live_products_model products_model"
         )
-        resolved = L.resolve_links(L.import_links(v.feed_links, self.categories, SETTINGS), live, self.new)
+        self.rows = v.links.count()  # at rest, so footers tell it
+        links = L.import_links(v.feed_links, self.categories, SETTINGS, self.rows)
+        resolved = L.resolve_links(links, live, self.new)
         self.resolved = stage(resolved, "resolved_links") if numbered else resolved
 
     @cached_property
     def _changed(self) -> DataFrame:
-        changed = L.changed_links(self.v.live_links, self.resolved)
+        changed = L.changed_links(self.v.live_links, self.resolved, self.rows)
         return stage(changed, "changed_links") if self.numbered else changed
 
     def dropped(self) -> DataFrame:
@@ -447,7 +449,8 @@ def links_new(v: Views) -> DataFrame:
 @_query()
 def apply_links(v: Views) -> DataFrame:
     links = _Links(v, numbered=True)
-    return L.apply_links(v.store.products_to_categories, links.dropped(), links.added(), links.fresh())
+    before = links.v.store.products_to_categories
+    return L.apply_links(before, links.dropped(), links.added(), links.fresh(), links.rows)
 
 
 @_query()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogsync.schemas import FEEDS, MONEY
-from catalogsync.session import stage
+from catalogsync.session import spread, stage
 from catalogsync.settings import Settings
 from catalogsync.sources.store import Store
 
@@ -248,21 +248,22 @@ class Views:
     def links(self) -> DataFrame:
         """(pk, code, cid): own leaf, leaves by supplier, and for some the brand's category, which is no leaf.
 
-        Live links and feed links are both cut from it; lazy, so that building a query runs no job.
+        Live links and feed links are both cut from it; lazy, so that building a query runs no job but a count of footers.
         """
+        rows = self.table("lineitem").count()
         own = self.parts.select("pk", "code", _leaf(_c("bn")).alias("cid"))
         # Pairs of part and nation first: a part may have any share of the line items.
+        items = self.table("lineitem").select(_c("l_partkey").alias("pk"), _c("l_suppkey").alias("s_suppkey"))
         sold = (
-            self.table("lineitem")
-            .select(_c("l_partkey").alias("pk"), _c("l_suppkey").alias("s_suppkey"))
+            spread(items, rows, "pk", "s_suppkey")
             .distinct()
             .join(self.table("supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
             .select("pk", "s_nationkey")
-            .distinct()
         )
+        sold = spread(sold, rows, "pk").distinct()
         by_supplier = self.parts.join(sold, "pk").select("pk", "code", _leaf((_c("bn") + _c("s_nationkey")) % 25 + 1))
         upper = self.parts.where("pk % 20 = 0").select("pk", "code", F.lit(100) + _c("bn") % 25)
-        return own.union(by_supplier).union(upper).distinct()
+        return spread(own.union(by_supplier).union(upper), rows, "pk").distinct()
 
     @cached_property
     def at_rest(self) -> Views:
