@@ -92,7 +92,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _staged.add(path)
     return spark.read.schema(df.schema).parquet(path)
 

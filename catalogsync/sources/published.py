@@ -69,7 +69,7 @@ def publish(spark: SparkSession, root: str, entry: dict, after: int) -> int:
 def write_part(rows: DataFrame, root: str, kind: str) -> str | None:
     """Write a data set under a name of its own and return that, or ``None`` if it has no rows."""
     name = f"{kind}-{uuid.uuid4().hex}"
-    rows.write.parquet(f"{root}/{name}")
+    rows.write.option("compression", "zstd").parquet(f"{root}/{name}")
     if part_size(rows.sparkSession, root, name)[0]:
         return name
     fs, path = _files(rows.sparkSession, root)

@@ -20,7 +20,7 @@ from catalogsync.operators.validate import MISSING_DESCRIPTION, append_issues
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.plans.run import Issues, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_store
+from catalogsync.plans.run import Issues, diff_products, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_store
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import intervals, issue_log as logs, versions
@@ -188,6 +188,11 @@ def _product_diff(v: Views) -> DataFrame:
     return P.product_diff(live, _merged(v), SETTINGS)
 
 
+def _staged_diff(v: Views) -> DataFrame:
+    """The part of the diff that has consequences, staged as in a run: new products and changed texts are both read off it."""
+    return stage(diff_products(v.store, v.feed_complete, v.feed_stock, v.feed_descriptions, SETTINGS), "product_diff")
+
+
 def _numbered(v: Views, diff: DataFrame) -> DataFrame:
     return P.with_ids(P.new_products(diff), v.store.products, SETTINGS)
 
@@ -245,6 +250,7 @@ def products_vitals_laid_out(v: Views) -> DataFrame:
 @_query()
 def products_vitals_ranged(v: Views) -> DataFrame:
     """The day after a run: a few prices differ, and only key ranges that are not known to be quiet are compared."""
+    v = v.texts_at_rest
     root, feeds = f"{work_dir(v.spark)}/ranges-{uuid.uuid4().hex}", (v.feed_complete, v.feed_stock, v.feed_descriptions)
     ranges.first_ranges(v.store, root, SETTINGS, 64)
     first = ranges.ranged_diff(v.spark, root, *feeds, SETTINGS)
@@ -342,13 +348,15 @@ def apply_products(v: Views) -> DataFrame:
 
 @_query()
 def apply_product_text(v: Views) -> DataFrame:
-    diff = _product_diff(v)
+    v = v.texts_at_rest
+    diff = _staged_diff(v)
     return P.apply_to_description(v.store.products_description, diff, _numbered(v, diff), SETTINGS)
 
 
 @_query()
 def apply_product_meta(v: Views) -> DataFrame:
-    diff = _product_diff(v)
+    v = v.texts_at_rest
+    diff = _staged_diff(v)
     return P.apply_to_meta(v.store.meta_tags_products_description, diff, _numbered(v, diff), SETTINGS)
 
 
@@ -483,14 +491,14 @@ def issues_products_dirty(v: Views) -> DataFrame:
 @_query()
 def run_dirty(v: Views) -> DataFrame:
     """What a whole run logs about products when feeds repeat codes and rows were rejected."""
-    v = v.at_rest
+    v = v.at_rest.texts_at_rest
     feeds = dict(_repeated(v), departments=v.feed_categories, product_department=v.feed_links)
     rejected_stock = rejected_rows(v.spark, "stockinfo", _dirty_stock(v))
     return run(v.store, feeds, empty_issues(v.spark), SETTINGS, rejected=rejected_stock).issues.products.select("products_model", "issue")
 
 
 def _run(v: Views):
-    v, empty = v.at_rest, empty_issues(v.spark)
+    v, empty = v.at_rest.texts_at_rest, empty_issues(v.spark)
     feeds = dict(
         departments=v.feed_categories,
         complete=v.feed_complete,
@@ -580,7 +588,7 @@ def store_files(v: Views) -> DataFrame:
 def _two_versions(v: Views) -> str:
     """A store and what a run makes of it, published as a base and the changes."""
     root = f"{work_dir(v.spark)}/versions-{uuid.uuid4().hex}"
-    versions.first_version(v.at_rest.store, root)
+    versions.first_version(v.at_rest.texts_at_rest.store, root)
     versions.next_version(_run(v).store, root)
     return root
 
@@ -728,7 +736,7 @@ def changed_files(v: Views) -> DataFrame:
 
 def _replayed(v: Views) -> Store:
     """The store after three recorded days, read back from the record."""
-    v, root = v.at_rest, f"{work_dir(v.spark)}/record-{uuid.uuid4().hex}"
+    v, root = v.at_rest.texts_at_rest, f"{work_dir(v.spark)}/record-{uuid.uuid4().hex}"
     for number, day in enumerate(SNAPSHOT_DAYS, start=1):
         for name, rows in v.feeds_of(number).items():
             full = rows.select(*[

@@ -268,9 +268,18 @@ class Views:
     @cached_property
     def at_rest(self) -> Views:
         """The same views with the link table staged, for queries that read it several times, as a run reads files."""
+        return self._resting(links=stage(self.links, "links"))
+
+    @cached_property
+    def texts_at_rest(self) -> Views:
+        """The same views with the parts and their texts staged: a run finds the texts of feeds and store in files."""
+        return self._resting(told_parts=stage(self.told_parts, "told_parts"))
+
+    def _resting(self, **staged: DataFrame) -> Views:
         other = Views(self.spark, self.sf_dir)
         other._tables = self._tables
-        other.__dict__["links"] = stage(self.links, "links")
+        held = {name: self.__dict__[name] for name in ("links", "told_parts") if name in self.__dict__}
+        other.__dict__.update(held | staged)
         return other
 
     @cached_property

@@ -1,14 +1,16 @@
 """Tasks over very many narrow rows, and texts that are moved once."""
 
+import hashlib
 import re
 
 import pytest
 
 from catalogsync import session
 from catalogsync.plans import placements as L
+from catalogsync.sources.versions import table_changes
 from checks.queries import registry
 
-from helpers import SETTINGS
+from helpers import SETTINGS, rows
 
 
 @pytest.fixture
@@ -39,3 +41,22 @@ def test_few_rows_are_left_to_spark(spark):
 def test_links_of_the_views_are_dealt_by_rows(spark, sf_dir, small_tasks):
     plan = registry()["import_links"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(pk#\d+L?, s_suppkey#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
+
+
+def test_stored_texts_are_compared_by_digests(spark):
+    long = "x" * 100
+    digest = "=" + hashlib.sha256(long.encode()).hexdigest()
+    names = ["products_id", "language_id", "products_name", "products_description"]
+    before = spark.createDataFrame([(1, 1, "a", long), (2, 1, "b", long), (3, 1, None, long), (4, 1, "d", digest), (5, 1, "e", long)], names)
+    after = spark.createDataFrame([(1, 1, "a", long), (2, 1, "b", long + "y"), (3, 1, "", long), (4, 1, "d", long), (6, 1, None, None)], names)
+    found = table_changes(before, after, "products_description")
+    assert "sha2(products_description" in re.sub(r"#\d+|cast\(| as \w+\)", "", found._jdf.queryExecution().optimizedPlan().toString())
+    assert rows(found, *names, "gone") == sorted(
+        [(2, 1, "b", long + "y", False), (3, 1, "", long, False), (4, 1, "d", long, False), (5, 1, None, None, True), (6, 1, None, None, False)]
+    )
+
+
+@pytest.mark.parametrize("name", ["apply_product_meta", "apply_product_text"])
+def test_texts_are_joined_once(spark, sf_dir, name):
+    """The documents are read for the staged texts alone."""
+    assert not any("documents.parquet" in path for path in registry()[name](spark, sf_dir).inputFiles())
