@@ -8,6 +8,7 @@ new base once there are many of them or they are large beside it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogsync.schemas import STORE
-from catalogsync.session import stage_all
 from catalogsync.sources.published import part_size, publish, read_entry, write_part
 from catalogsync.sources.store import TABLES, Store
 
@@ -42,14 +42,29 @@ def _change_schema(table: str) -> T.StructType:
     return T.StructType([*STORE[table], T.StructField("gone", T.BooleanType()), T.StructField("version", T.IntegerType())])
 
 
+def _compared(prefix: str, names: list[str], kinds: dict[str, T.DataType]) -> Column:
+    """Values of a row to tell it by, with digests for long texts. No short text equals one: they are longer."""
+    values = []
+    for name in names:
+        value = F.col(f"{prefix}{name}")
+        if isinstance(kinds[name], T.StringType):
+            value = F.when(F.octet_length(value) > 64, F.concat(F.lit("="), F.sha2(value, 256))).otherwise(value)
+        values.append(value.alias(name))
+    return F.struct(F.lit(True), *values)
+
+
 def table_changes(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
-    """Rows of ``after`` that are new or differ, and the keys that it lacks, marked ``gone``. Both are unique by key."""
+    """Rows of ``after`` that are new or differ, and the keys that it lacks, marked ``gone``. Both are unique by key.
+
+    Of ``before``, long texts are only compared, so digests from its scan stand for them.
+    """
     key = KEYS[table]
-    rest = [f.name for f in STORE[table] if f.name not in key]
-    old = _typed(before, table).select(*[F.col(k).alias(f"_{k}") for k in key], F.struct(F.lit(True), *rest).alias("_old"))
+    rest, kinds = [f.name for f in STORE[table] if f.name not in key], {f.name: f.dataType for f in STORE[table]}
+    old = _typed(before, table).select(*[F.col(k).alias(f"_{k}") for k in key], _compared("", rest, kinds).alias("_old"))
     new = _typed(after, table).select(*key, F.struct(F.lit(True), *rest).alias("_new"))
     same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in key])
-    found = new.join(old, same, "full_outer").where(~F.col("_new").eqNullSafe(F.col("_old")))
+    known = F.when(F.col("_new").isNotNull(), _compared("_new.", rest, kinds))
+    found = new.join(old, same, "full_outer").where(~known.eqNullSafe(F.col("_old")))
     columns = [F.coalesce(k, f"_{k}").alias(k) if k in key else F.col(f"_new.{k}").alias(k) for k in STORE[table].names]
     return found.select(*columns, F.col("_new").isNull().alias("gone"))
 
@@ -113,10 +128,13 @@ def next_version(store: Store, root: str, most_changes: int = MOST_CHANGES, most
     entry = _entry(spark, root, None)
     number = entry["number"] + 1
     found = {t: table_changes(_read(spark, root, entry, t), getattr(store, t), t).withColumn("version", F.lit(number)) for t in TABLES}
-    staged, out, changed = stage_all(found), {}, False
+    # The parts are the only copy of the changes; no entry names them yet. Tables do not depend on each other.
+    with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+        written = pool.map(lambda t: write_part(found[t].select(*_change_schema(t).names), root, f"{t}-changes"), TABLES)
+        parts = dict(zip(TABLES, written))
+    out, changed = {}, False
     for table in TABLES:
-        state = entry[table]
-        part = write_part(staged[table].select(*_change_schema(table).names), root, f"{table}-changes")
+        state, part = entry[table], parts[table]
         changes = [*state["changes"], *([part] if part else [])]
         changed |= part is not None
         out[table] = {"base": state["base"], "changes": changes, "written": [part] if part else []}
