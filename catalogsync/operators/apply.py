@@ -22,6 +22,18 @@ def insert_ignore(
     ``before`` is the table that ``target`` was made from by changes that keep
     its keys: looking keys up there saves making those changes twice.
     """
+    return target.unionByName(missing_rows(target, new, key, defaults, unique, before))
+
+
+def missing_rows(
+    target: DataFrame,
+    new: DataFrame,
+    key: list[str],
+    defaults: dict[str, Column] | None = None,
+    unique: bool = False,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """The rows that ``insert_ignore`` adds, laid out as the table."""
     defaults = defaults or {}
     filled = new.select(
         *[
@@ -31,7 +43,7 @@ def insert_ignore(
     )
     single = filled if unique else first_wins(filled, key)
     taken = (target if before is None else before).select(*key)
-    return target.unionByName(single.join(taken, key, "left_anti"))
+    return single.join(taken, key, "left_anti")
 
 
 def _matched(target: DataFrame, change: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

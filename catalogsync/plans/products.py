@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from catalogsync.functions.compare import changed_to, differs, in_stock, with_collation
 from catalogsync.functions.keys import canonical_key
 from catalogsync.functions.text import or_empty, wall_clock
-from catalogsync.operators.apply import insert_ignore, sparse_update
+from catalogsync.operators.apply import insert_ignore, missing_rows, sparse_update
 from catalogsync.operators.assign import allocate_ids, max_id
 from catalogsync.operators.diff import in_both, only_in_feed, only_in_live, snapshot_diff
 from catalogsync.operators.merge import description_only, first_wins
@@ -49,9 +50,16 @@ def with_digests(rows: DataFrame, fold: bool = False) -> DataFrame:
     )
 
 
-def live_digests(products: DataFrame, description: DataFrame, settings: Settings) -> DataFrame:
-    """``live_products`` with digests for texts, taken where the texts are read: no text is shuffled."""
-    short = with_digests(description, settings.fold).withColumnsRenamed({d: c for c, d in _DIGESTS.items()})
+def live_digests(
+    products: DataFrame, description: DataFrame, settings: Settings, short: DataFrame | None = None
+) -> DataFrame:
+    """``live_products`` with digests for texts, taken where the texts are read: no text is shuffled.
+
+    ``short`` is ``with_digests`` of ``description`` where it was taken elsewhere.
+    """
+    if short is None:
+        short = with_digests(description, settings.fold)
+    short = short.withColumnsRenamed({d: c for c, d in _DIGESTS.items()})
     nothing = F.sha2(F.lit(""), 256)
     rows = live_products(products, short, settings)
     return rows.select(
@@ -311,6 +319,52 @@ def _info_meta(changes: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class TextChanges:
+    """What was changed in the text tables: sparse changes by product, and the rows that each table has anew."""
+
+    info: DataFrame
+    described: DataFrame
+    meta: DataFrame
+
+
+def text_changes(store: Store, diff: DataFrame, new: DataFrame, settings: Settings) -> TextChanges:
+    """What a run changes in the text tables of ``store``; over those it makes the tables of ``apply_products``."""
+    told, meta, key = store.products_description, store.meta_tags_products_description, ["products_id", "language_id"]
+    return TextChanges(
+        info(diff),
+        missing_rows(told, _described(new, settings), key, unique=True),
+        missing_rows(meta, _meta(new, settings), key, unique=True),
+    )
+
+
+def later_changes(before: TextChanges, now: TextChanges) -> TextChanges:
+    """Changes and then those of a later run as one. New products have new ids, so no earlier change meets their rows."""
+    columns = before.info.columns[1:]
+    later = now.info.select(F.col("products_id").alias("_id"), *[F.col(c).alias(f"_n_{c}") for c in columns])
+    both = before.info.join(later, F.col("products_id") == F.col("_id"), "full_outer")
+    return TextChanges(
+        both.select(F.coalesce("products_id", "_id").alias("products_id"), *[F.coalesce(f"_n_{c}", c).alias(c) for c in columns]),
+        before.described.unionByName(now.described),
+        before.meta.unionByName(now.meta),
+    )
+
+
+def changed_description(table: DataFrame, changes: TextChanges) -> DataFrame:
+    rows = table.unionByName(changes.described)
+    return sparse_update(rows, _info_text(changes.info), ["products_id"], ["products_name", "products_description"])
+
+
+def changed_meta(table: DataFrame, changes: TextChanges) -> DataFrame:
+    return sparse_update(table.unionByName(changes.meta), _info_meta(changes.info), ["products_id"], _META_COLUMNS)
+
+
+def changed_digests(table: DataFrame, changes: TextChanges, fold: bool = False) -> DataFrame:
+    """``with_digests`` of ``changed_description``, but taken before the match: no text is shuffled."""
+    short = with_digests(table.unionByName(changes.described), fold)
+    return sparse_update(short, with_digests(_info_text(changes.info), fold), ["products_id"], list(_DIGESTS.values()))
+
+
 def apply_to_description(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     """Text changes reach all languages of a product; new rows get the feed's language."""
     changed = sparse_update(table, _info_text(info(diff)), ["products_id"], ["products_name", "products_description"])

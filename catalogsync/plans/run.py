@@ -46,13 +46,15 @@ def empty_issues(spark: SparkSession) -> Issues:
 class RunResult:
     """Next store tables, patch and logs: all still to be computed by whoever writes them.
 
-    ``issues`` are the whole logs, ``found`` what this run alone has found.
+    ``issues`` are the whole logs, ``found`` what this run alone has found, ``texts``
+    what it changes in the text tables of products.
     """
 
     store: Store
     patch: DataFrame
     issues: Issues
     found: Issues
+    texts: P.TextChanges
 
 
 def diff_categories(store: Store, departments: DataFrame, settings: Settings) -> DataFrame:
@@ -61,14 +63,21 @@ def diff_categories(store: Store, departments: DataFrame, settings: Settings) ->
 
 
 def diff_products(
-    store: Store, complete: DataFrame, stock: DataFrame, descriptions: DataFrame, settings: Settings
+    store: Store,
+    complete: DataFrame,
+    stock: DataFrame,
+    descriptions: DataFrame,
+    settings: Settings,
+    short: DataFrame | None = None,
 ) -> DataFrame:
-    """The part of the product diff that has consequences."""
+    """The part of the product diff that has consequences. ``short`` has digests of the store's texts, if known."""
     text = ["prod_code", "prod_desc", "narrative"]
     feeds = [with_collation(f, settings.collation, text) for f in (complete, stock, descriptions)]
     # Live texts are only compared, never shown, so without a collation their digests do.
-    snapshot = P.live_digests if settings.collation is None else P.live_products
-    live = snapshot(store.products, store.products_description, settings)
+    if settings.collation is None:
+        live = P.live_digests(store.products, store.products_description, settings, short)
+    else:
+        live = P.live_products(store.products, store.products_description, settings)
     return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds, fold=settings.fold), settings))
 
 
@@ -84,6 +93,7 @@ class ProductPhase:
     issues: DataFrame
     live: DataFrame
     new: DataFrame
+    texts: P.TextChanges
 
 
 def run_products(store: Store, diff: DataFrame, settings: Settings) -> ProductPhase:
@@ -96,6 +106,7 @@ def run_products(store: Store, diff: DataFrame, settings: Settings) -> ProductPh
         P.product_issues(diff, settings),
         known.select("products_id", "products_model"),
         new,
+        P.text_changes(store, diff, new, settings),
     )
 
 
@@ -158,16 +169,17 @@ def run(
     settings: Settings,
     rejected: DataFrame | None = None,
     product_diff: DataFrame | None = None,
+    short: DataFrame | None = None,
 ) -> RunResult:
     """One run over a store. ``feeds`` has all of ``schemas.FEEDS`` by name, ``rejected`` their flawed rows.
 
     ``product_diff`` is the staged outcome of ``diff_products`` where it was taken
-    elsewhere, as by ``sources.ranges``.
+    elsewhere, as by ``sources.ranges``; ``short`` as for that function.
     """
     diffs = {"category_diff": diff_categories(store, feeds["departments"], settings)}
     if product_diff is None:
         diffs["product_diff"] = diff_products(
-            store, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings
+            store, feeds["complete"], feeds["stockinfo"], feeds["descriptions"], settings, short
         )
     diffs = {"product_diff": product_diff} | stage_all(diffs)
     with_categories, patch_1, issues_1 = run_categories(store, diffs["category_diff"], settings)
@@ -198,6 +210,7 @@ def run(
             append_issues(log.placements, issues_3, L.ISSUE_KEY),
         ),
         Issues(issues_1, phase.issues, issues_3),
+        phase.texts,
     )
 
 
@@ -238,21 +251,34 @@ def replay(
 
     Days on which a feed has no record yet are skipped. ``keep`` may write what a
     day produced; after it, the tables that the day has staged are deleted, but
-    for the store and logs that the next day starts from.
+    for the store and logs that the next day starts from. The text tables of
+    products are not written anew: they are read as those of ``store``, which must
+    stay, and what the days have changed in them.
     """
-    spark, carried = store.products.sparkSession, []
+    spark, carried, start, texts = store.products.sparkSession, [], store, None
+    whole = [t for t in TABLES if t not in ("products_description", "meta_tags_products_description")]
     for day in days:
         before = staged_paths()
         feeds = feeds_for(day)
         if set(schemas.FEEDS) - set(feeds):
             continue
-        result = run(store, feeds, log, replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day)))
+        short = P.changed_digests(start.products_description, texts, settings.fold) if texts else None
+        days_own = replace(settings, add_date=REPLAY_BASE_DATE, new_date=replay_time(day))
+        result = run(store, feeds, log, days_own, short=short)
         used = staged_paths() - before
-        staged = stage_all(
-            {**{t: getattr(result.store, t) for t in TABLES}, **{f"log_{n}": getattr(result.issues, n) for n in LOGS}}
-        )
+        texts = P.later_changes(texts, result.texts) if texts else result.texts
+        staged = stage_all({
+            **{t: getattr(result.store, t) for t in whole},
+            **{f"log_{n}": getattr(result.issues, n) for n in LOGS},
+            **{f"text_{f.name}": getattr(texts, f.name) for f in fields(texts)},
+        })
         made = staged_paths() - before - used
-        store = Store(**{t: staged[t] for t in TABLES})
+        texts = P.TextChanges(**{f.name: staged[f"text_{f.name}"] for f in fields(texts)})
+        store = Store(
+            **{t: staged[t] for t in whole},
+            products_description=P.changed_description(start.products_description, texts),
+            meta_tags_products_description=P.changed_meta(start.meta_tags_products_description, texts),
+        )
         log = Issues(**{n: staged[f"log_{n}"] for n in LOGS})
         if keep:
             keep(day, replace(result, store=store, issues=log))

@@ -549,6 +549,27 @@ def test_replay_ends_where_one_run_on_the_last_day_does(spark, tmp_path):
     assert one(replayed.products, "products_model", "b").products_status == 0
 
 
+def test_a_replay_writes_of_texts_what_the_days_change(spark, tmp_path):
+    own = _products(_product(1, "a", name="n", text="t"), _product(2, "e", name="e", text="stays"))
+    start = store(spark, **own)
+    told = [dict(prod_code="a", narrative="again"), dict(prod_code="c", narrative="c told")]
+    days = {date(2019, 3, 13): _feeds(spark, **_DAY_1), date(2019, 3, 14): _feeds(spark, **(_DAY_2 | dict(descriptions=told)))}
+    written = set()
+    replayed, _ = R.replay(
+        start, days, days.get, R.empty_issues(spark), SETTINGS, lambda day, result: written.update(R.staged_paths())
+    )
+    chained, log = start, R.empty_issues(spark)
+    for day, feeds in days.items():
+        dated = replace(SETTINGS, add_date=R.REPLAY_BASE_DATE, new_date=R.replay_time(day))
+        result = R.run(chained, feeds, log, dated)
+        chained, log = R.stage_store(result.store), result.issues
+    for table in R.TABLES:
+        expected = getattr(chained, table)
+        assert rows(getattr(replayed, table), *expected.columns) == rows(expected, *expected.columns), table
+    assert {"again", "c told", "stays"} <= {r[0] for r in replayed.products_description.select("products_description").collect()}
+    assert not any(path.endswith("products_description") for path in written)
+
+
 def test_days_without_all_feeds_are_skipped(spark, tmp_path):
     feeds = _feeds(spark, **_DAY_1)
     day = date(2019, 3, 13)
