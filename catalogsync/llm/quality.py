@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +35,9 @@ FIT_BYTES = 24_000_000
 # Words that a worker remembers, and the bytes of the longest of them.
 WORDS_KEPT = 200_000
 LONGEST_KEPT = 64
+# Words of a long text, and bytes of short ones, whose unknown words are learnt at once.
+WORDS_AT_ONCE = 50_000
+BYTES_AT_ONCE = 500_000
 
 
 @dataclass
@@ -57,6 +61,20 @@ def features(word: bytes, buckets: int = BUCKETS) -> np.ndarray:
     return np.array(found, dtype=np.uint32)
 
 
+# The table that CRC-32 goes by, from its values for single bytes.
+_CRC_TABLE = np.array([crc32(bytes([255 ^ b])) ^ 0xFF000000 for b in range(256)], dtype=np.uint32)
+_ALL_BITS = np.uint32(0xFFFFFFFF)
+
+
+def window_hashes(letters: np.ndarray, size: int, step: int = 1) -> np.ndarray:
+    """The CRC-32 of ``size`` bytes from every ``step``-th position on, as of ``zlib``; ``letters`` are bytes as uint32."""
+    count = max(0, (len(letters) - size) // step + 1)
+    value = np.full(count, _ALL_BITS)
+    for k in range(size):
+        value = _CRC_TABLE[(value ^ letters[k : k + count * step : step][:count]) & np.uint32(0xFF)] ^ (value >> np.uint32(8))
+    return value ^ _ALL_BITS
+
+
 def text_features(text: bytes, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of all its features."""
     found = []
@@ -155,8 +173,67 @@ class Scorer(dict):
             self[word] = value
         return value
 
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Take in the short words that are not known yet, by passes over the bytes of all of them.
+
+        Words of one length are the rows of a matrix; its sums are those of single words to the last bit.
+        """
+        words = {w for w in words if len(w) <= LONGEST_KEPT}
+        fresh = [w for w in words if w not in self]
+        if len(self) + len(fresh) > WORDS_KEPT:
+            self.clear()
+            fresh = list(words)
+        plain = [w for w in fresh if w.isascii()]
+        self._learn(plain, [b"<" + w + b">" for w in plain], 1)
+        other = [w for w in fresh if not w.isascii()]
+        self._learn(other, [f"<{w.decode('utf-8', 'replace')}>".encode("utf-32-le") for w in other], 4)
+
+    def _learn(self, words: list[bytes], marked: list[bytes], step: int) -> None:
+        if not words:
+            return
+        letters = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint32)
+        lengths = np.array([len(m) // step for m in marked], dtype=np.int64)
+        starts = np.cumsum(lengths) - lengths
+        whole = self.margins[np.array([crc32(w, 7) for w in words], dtype=np.uint32) % np.uint32(BUCKETS)]
+        grams = [self.margins[window_hashes(letters, n * step, step) % np.uint32(BUCKETS)] for n in NGRAMS]
+        for length in set(lengths.tolist()):
+            at = np.flatnonzero(lengths == length)
+            parts = [whole[at][:, None]]
+            for n, values in zip(NGRAMS, grams):
+                if length >= n:
+                    parts.append(values[starts[at][:, None] + np.arange(length - n + 1)])
+            rows = np.concatenate(parts, axis=1)
+            count = rows.shape[1]
+            self.update((words[k], complex(value, count)) for k, value in zip(at.tolist(), rows.sum(axis=1).tolist()))
+
+    def scores(self, texts: Iterable[bytes]) -> Iterator[float]:
+        """Scores in the order of the texts; the words of several short texts are learnt together."""
+        some, size = [], 0
+        for text in texts:
+            if some and size + len(text) > BYTES_AT_ONCE:
+                yield from self._together(some)
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        yield from self._together(some)
+
+    def _together(self, texts: list[bytes]) -> Iterator[float]:
+        split = [text.split() for text in texts]
+        if len(split) > 1:
+            self.learn(chain.from_iterable(split))
+        for words in split:
+            total = 0j
+            for k in range(0, len(words), WORDS_AT_ONCE):
+                part = words[k : k + WORDS_AT_ONCE]
+                if len(split) == 1:
+                    self.learn(part)
+                total = sum(map(self.__getitem__, part), total)  # both sums at once
+            yield self._probability(total)
+
     def score(self, text: bytes) -> float:
-        total = sum(map(self.__getitem__, text.split()), 0j)  # both sums at once
+        return next(self.scores([text]))
+
+    def _probability(self, total: complex) -> float:
         margin = self.bias + (total.real / total.imag if total.imag else 0.0)
         return float(1 / (1 + np.exp(-margin)))
 
@@ -178,7 +255,7 @@ def score_quality(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = once(("quality", key), lambda: Scorer(*sent.value))
         for batch in batches:
-            scores = np.array([scorer.score(t or b"") for t in batch.column("text").to_pylist()], dtype=np.float64)
+            scores = np.array(list(scorer.scores(t or b"" for t in batch.column("text").to_pylist())), dtype=np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],

@@ -49,6 +49,29 @@ def test_bundles_are_sums_of_bound_letters():
     assert not space.bundle([text, None, "", "12"])[1:].any()
 
 
+def test_words_of_a_text_are_scored_at_once_to_the_same_bits(monkeypatch):
+    margins = np.random.default_rng(3).normal(size=Q.BUCKETS)
+    words = [f"{'wörd' if k % 3 else 'w'}{'x' * (k % 40)}{k}".encode() for k in range(900)] + [b"y" * 200, b"\xff\xfe"]
+    text = b" ".join(words + words[::2])
+    alone = {w: complex(float(margins[Q.features(w)].sum()), len(Q.features(w))) for w in words}
+    total = sum((alone[w] for w in text.split()), 0j)
+    single = []
+    monkeypatch.setattr(Q, "features", lambda word, inner=Q.features: single.append(word) or inner(word))
+    want = float(1 / (1 + np.exp(-(0.25 + total.real / total.imag))))
+    assert Q.Scorer(margins, 0.25).score(text) == want
+    assert set(single) == {b"y" * 200}  # only what is too long to be kept
+    for kept, at_once in ((50, 20_000), (100, 7)):
+        monkeypatch.setattr(Q, "WORDS_KEPT", kept)
+        monkeypatch.setattr(Q, "WORDS_AT_ONCE", at_once)
+        assert Q.Scorer(margins, 0.25).score(text) == want
+    texts = [b"", text, text[:500], b"new words", text[100:900]] * 3
+    assert list(Q.Scorer(margins, 0.25).scores(texts)) == [Q.Scorer(margins, 0.25).score(t) for t in texts]
+    assert Q.Scorer(margins, 0.0).score(b" ") == 0.5
+    letters = np.frombuffer(text[:3000], dtype=np.uint8).astype(np.uint32)
+    assert all(Q.window_hashes(letters, n).tolist() == [crc32(text[k : k + n]) for k in range(3001 - n)] for n in (3, 4))
+    assert Q.window_hashes(letters, 12, 4).tolist() == [crc32(text[k : k + 12]) for k in range(0, 2989, 4)]
+
+
 def test_quality_on_held_out_documents(tables):
     label = {r["doc_id"]: r["quality"] for r in tables["labels"].collect()}
     found = Q.classify(tables["documents"], tables["labels"]).collect()
