@@ -61,10 +61,14 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
 
     Adaptive execution merges partitions by their compressed bytes, of which a link
     has few, so tasks of a large table get millions of rows. It leaves partitions
-    alone whose number was given. ``rows`` is an estimate.
+    alone whose number was given. A join moves rows once more that lie in fewer
+    partitions than shuffles have by default, so there are at least as many. ``rows``
+    is an estimate.
     """
-    parts = -(-rows // ROWS_OF_A_TASK)
-    return df.repartition(parts, *keys) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+    parts, spark = -(-rows // ROWS_OF_A_TASK), df.sparkSession
+    if parts <= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
 _staged: set[str] = set()

@@ -38,6 +38,16 @@ def test_few_rows_are_left_to_spark(spark):
     assert session.spread(rows, 10, "id") is rows
 
 
+def test_dealt_rows_lie_in_no_fewer_partitions_than_shuffles_have(spark, small_tasks):
+    """A join would move them once more."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert _tasks(session.spread(spark.range(2000), 2000, "id")) == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_links_of_the_views_are_dealt_by_rows(spark, sf_dir, small_tasks):
     plan = registry()["import_links"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(pk#\d+L?, s_suppkey#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
