@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +67,11 @@ _VITAL_COLUMNS = ("prod_desc", "units_qty", "weight", "price", "prod_image", "ca
 
 
 def merge_product_feeds(
-    complete: DataFrame, stock: DataFrame, descriptions: DataFrame, fold: bool = False
+    complete: DataFrame,
+    stock: DataFrame,
+    descriptions: DataFrame,
+    fold: bool = False,
+    short: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """One row per product code out of three feeds, keyed ``products_model``.
 
@@ -81,12 +87,20 @@ def merge_product_feeds(
     With ``fold`` codes of one canonical key are one code: that key is the extra
     column ``match_key``, and ``products_model`` the spelling of the feed named
     first above that has it, the smallest if it has several.
+
+    With ``short`` no text is shuffled: descriptions are taken through it in the
+    scan, and the column ``text_digest`` stands for them. Of a code repeated within
+    a feed it may be that of another of its rows; all other columns are the same.
     """
 
     code = ["prod_code", canonical_key(F.col("prod_code")).alias("match_key")] if fold else ["prod_code"]
 
     def tagged(feed: DataFrame, source: str) -> DataFrame:
         have = [c for c in (*_VITAL_COLUMNS, "narrative") if c in feed.columns]
+        if short and "narrative" in have:
+            text = F.col("narrative")
+            own = prefer_nonempty(text, F.col("prod_desc")) if source == "complete" else text
+            feed = feed.withColumn("narrative", short(own))
         return feed.select(*code, F.lit(source).alias("_source"), *have)
 
     stacked = (
@@ -123,7 +137,9 @@ def merge_product_feeds(
 
     cantsell = vital("cantsell", F.lit(1))
     status = F.when(cantsell == 1, 0).when(cantsell.isNotNull(), 1)  # an unreadable mark says nothing
-    own_text = prefer_nonempty(F.col("complete_text.narrative"), F.col("complete_text.prod_desc"))
+    own_text = F.col("complete_text.narrative")
+    if not short:
+        own_text = prefer_nonempty(own_text, F.col("complete_text.prod_desc"))
     return merged.select(
         *(["match_key"] if fold else []),
         "products_model",
@@ -139,7 +155,7 @@ def merge_product_feeds(
         .alias("products_title"),
         F.when(has_description, F.col("description.narrative"))
         .when(has_complete, own_text)
-        .alias("products_description"),
+        .alias("text_digest" if short else "products_description"),
         "complete_rows",
         "stock_rows",
         "description_rows",

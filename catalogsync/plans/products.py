@@ -39,14 +39,14 @@ _COMPARED_TEXT = ["match_key", "products_model", "products_name", "products_desc
 _DIGESTS = {"products_name": "name_digest", "products_description": "text_digest"}
 
 
-def _digest(text: str, fold: bool) -> Column:
-    return F.sha2(canonical_key(F.col(text)) if fold else F.col(text), 256)
+def digest(text: Column, fold: bool) -> Column:
+    return F.sha2(canonical_key(text) if fold else text, 256)
 
 
 def with_digests(rows: DataFrame, fold: bool = False) -> DataFrame:
     """Digests in place of the texts: what a table needs to tell whether a text has changed."""
     return rows.select(
-        *[c for c in rows.columns if c not in _DIGESTS], *[_digest(c, fold).alias(d) for c, d in _DIGESTS.items()]
+        *[c for c in rows.columns if c not in _DIGESTS], *[digest(F.col(c), fold).alias(d) for c, d in _DIGESTS.items()]
     )
 
 
@@ -99,12 +99,14 @@ def live_products(products: DataFrame, description: DataFrame, settings: Setting
 
 
 def product_diff(live: DataFrame, feed: DataFrame, settings: Settings) -> DataFrame:
+    """The match of store and feed; a feed merged with ``short`` brings the digest of its description along."""
     if settings.quarantine_description_only:
         feed = feed.where(~description_only())
     compare = ["products_name", "products_description"]
     if "text_digest" in live.columns:
         compare = list(_DIGESTS.values())
-        feed = feed.withColumns({d: _digest(c, settings.fold) for c, d in _DIGESTS.items()})
+        taken = {d: digest(F.col(c), settings.fold) for c, d in _DIGESTS.items() if d not in feed.columns}
+        feed = feed.withColumns(taken)
     return snapshot_diff(live, feed, "match_key", "match_key" if settings.fold else "products_model", compare)
 
 

@@ -227,6 +227,30 @@ def stage_store(store: Store) -> Store:
     return Store(**stage_all({t: getattr(store, t) for t in TABLES}))
 
 
+_TEXTS = ("products_description", "meta_tags_products_description")
+
+
+def stage_over(
+    start: Store, store: Store, texts: P.TextChanges, **more: DataFrame
+) -> tuple[Store, P.TextChanges, dict[str, DataFrame]]:
+    """Stage ``store`` without writing its text tables anew: they are read as those of ``start``, which must stay, with ``texts``.
+
+    Also the staged changes, and the tables of ``more``, which are staged side by side with these.
+    """
+    staged = stage_all({
+        **{t: getattr(store, t) for t in TABLES if t not in _TEXTS},
+        **{f"text_{f.name}": getattr(texts, f.name) for f in fields(texts)},
+        **more,
+    })
+    texts = P.TextChanges(**{f.name: staged[f"text_{f.name}"] for f in fields(texts)})
+    after = Store(
+        **{t: staged[t] for t in TABLES if t not in _TEXTS},
+        products_description=P.changed_description(start.products_description, texts),
+        meta_tags_products_description=P.changed_meta(start.meta_tags_products_description, texts),
+    )
+    return after, texts, {name: staged[name] for name in more}
+
+
 def feeds_as_of(
     spark: SparkSession, root: str, day: date, recorded: dict[str, list[date]] | None = None
 ) -> dict[str, DataFrame]:
@@ -256,7 +280,6 @@ def replay(
     stay, and what the days have changed in them.
     """
     spark, carried, start, texts = store.products.sparkSession, [], store, None
-    whole = [t for t in TABLES if t not in ("products_description", "meta_tags_products_description")]
     for day in days:
         before = staged_paths()
         feeds = feeds_for(day)
@@ -267,19 +290,10 @@ def replay(
         result = run(store, feeds, log, days_own, short=short)
         used = staged_paths() - before
         texts = P.later_changes(texts, result.texts) if texts else result.texts
-        staged = stage_all({
-            **{t: getattr(result.store, t) for t in whole},
-            **{f"log_{n}": getattr(result.issues, n) for n in LOGS},
-            **{f"text_{f.name}": getattr(texts, f.name) for f in fields(texts)},
-        })
+        logs = {f"log_{n}": getattr(result.issues, n) for n in LOGS}
+        store, texts, logs = stage_over(start, result.store, texts, **logs)
         made = staged_paths() - before - used
-        texts = P.TextChanges(**{f.name: staged[f"text_{f.name}"] for f in fields(texts)})
-        store = Store(
-            **{t: staged[t] for t in whole},
-            products_description=P.changed_description(start.products_description, texts),
-            meta_tags_products_description=P.changed_meta(start.meta_tags_products_description, texts),
-        )
-        log = Issues(**{n: staged[f"log_{n}"] for n in LOGS})
+        log = Issues(**{n: logs[f"log_{n}"] for n in LOGS})
         if keep:
             keep(day, replace(result, store=store, issues=log))
         release(spark, used.union(carried))

@@ -4,7 +4,9 @@ A range is a residue of the key's hash. The live side of the product diff is kep
 in a folder per range, with a digest of each; a feed is digested in its scan. A pair
 of contents, of feed and of store, that was compared before with nothing noteworthy
 is on record, and as long as both stay the same the range is left out: its feed rows
-are not shuffled and its live rows not read. The outcome is that of the whole diff.
+are not shuffled and its live rows not read. Open ranges are matched by digests of
+texts first, and texts of the feeds are only moved for keys that came to something
+in that. The outcome is that of the whole diff.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from catalogsync.sources.published import publish, read_entry, write_part
 from catalogsync.sources.store import Store
 
 RANGES = 1024
+# So many keys, 8 bytes each, are sent to every task that reads a feed.
+SENT_KEYS = 1_000_000
 # What no rule of the product diff reads; the placements phase may change it.
 _UNCOMPARED = ("master_categories_id", "products_date_added", "products_date_available")
 
@@ -71,10 +75,12 @@ def _rule(settings: Settings) -> str:
     return "rule:" + ",".join(f"{name}={getattr(settings, name)!r}" for name in used)
 
 
-def _ranged_live(products: DataFrame, description: DataFrame, settings: Settings, ranges: int) -> DataFrame:
+def _ranged_live(
+    products: DataFrame, description: DataFrame, settings: Settings, ranges: int, short: DataFrame | None = None
+) -> DataFrame:
     if settings.collation is not None:
         raise ValueError("ranges go by plain keys: set fold in place of a collation")
-    live = P.live_digests(products, description, settings).drop(*_UNCOMPARED)
+    live = P.live_digests(products, description, settings, short).drop(*_UNCOMPARED)
     return live.withColumn("key_range", key_range(F.col("match_key"), ranges))
 
 
@@ -130,9 +136,37 @@ def read_ranges(spark: SparkSession, root: str, entry: dict, wanted: list[int] |
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
+def _code(settings: Settings) -> Column:
+    return canonical_key(F.col("prod_code")) if settings.fold else F.col("prod_code")
+
+
+def _key(diff: DataFrame) -> Column:
+    return F.coalesce("live_match_key", "feed_match_key" if "feed_match_key" in diff.columns else "feed_products_model")
+
+
 def _feed_ranges(feeds: list[DataFrame], entry: dict, settings: Settings) -> list[DataFrame]:
-    code = canonical_key(F.col("prod_code")) if settings.fold else F.col("prod_code")
-    return [feed.withColumn("key_range", key_range(code, entry["ranges"])) for feed in feeds]
+    return [feed.withColumn("key_range", key_range(_code(settings), entry["ranges"])) for feed in feeds]
+
+
+def _loud_diff(live: DataFrame, feeds: list[DataFrame], settings: Settings) -> DataFrame:
+    """``P.noteworthy`` of the product diff, with texts shuffled of loud keys only.
+
+    A match by digests finds these: a description of which the merge could take
+    another is that of a repeated code, which is noteworthy in any case. Rows are
+    picked by hashes of keys; what a hash picks besides is found to be nothing
+    again. Beyond ``SENT_KEYS`` keys all rows are matched with their texts.
+    """
+    by_digest = merge_product_feeds(*feeds, fold=settings.fold, short=lambda text: P.digest(text, settings.fold))
+    found = P.noteworthy(P.product_diff(live, by_digest, settings))
+    keys = stage(found.select(F.xxhash64(_key(found)).alias("_key")), "loud_keys")
+    if keys.count() <= SENT_KEYS:
+
+        def loud(rows: DataFrame, key: Column) -> DataFrame:
+            return rows.join(F.broadcast(keys), F.xxhash64(key) == F.col("_key"), "left_semi")
+
+        feeds = [loud(feed, _code(settings)) for feed in feeds]
+        live = loud(live, F.col("match_key"))
+    return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds, fold=settings.fold), settings))
 
 
 def ranged_diff(
@@ -141,7 +175,7 @@ def ranged_diff(
     """``P.noteworthy`` of the product diff, taken only where something can come of it.
 
     Feeds are scanned once for their digests, a sum per range and task; only rows
-    of open ranges are merged and matched. Columns that no feed rule reads count
+    of open ranges are merged and matched, by digests first. Columns that no feed rule reads count
     as content too, so a range may be opened for nothing, never left out wrongly.
     Digests are two sums of 64-bit hashes; they tell changes, not forgeries.
     """
@@ -160,25 +194,30 @@ def ranged_diff(
     opened = sorted(r[0] for r in fresh.select("key_range").collect())  # at most one row a range
     few = [feed.where(F.col("key_range").isin(opened)).drop("key_range") for feed in feeds]
     live = read_ranges(spark, root, entry, opened).drop("key_range")
-    diff = P.noteworthy(P.product_diff(live, merge_product_feeds(*few, fold=settings.fold), settings))
-    return RangedDiff(stage(diff, "ranged_diff"), opened, pairs, entry)
+    return RangedDiff(stage(_loud_diff(live, few, settings), "ranged_diff"), opened, pairs, entry)
 
 
-def settle(found: RangedDiff, root: str, store: Store | None = None, settings: Settings | None = None) -> int:
+def settle(
+    found: RangedDiff,
+    root: str,
+    store: Store | None = None,
+    settings: Settings | None = None,
+    short: DataFrame | None = None,
+) -> int:
     """Record which pairs came to nothing, and lay out anew the ranges a run has changed in ``store``.
 
     A range of a noteworthy row is not recorded. Where a run followed, ``store``
     is its outcome: live rows of those ranges are replaced, others stay in their
     folders. Live rows elsewhere must be unchanged: what else changes them, such
     as edits by the store's owner, needs ``first_ranges`` under a new root.
+    ``short`` has digests of the texts of ``store``, if known.
     """
     spark, entry = found.pairs.sparkSession, found.entry
-    key = F.coalesce("live_match_key", "feed_match_key" if "feed_match_key" in found.diff.columns else "feed_products_model")
-    loud = sorted(r[0] for r in found.diff.select(key_range(key, entry["ranges"]).alias("r")).distinct().collect())
+    loud = sorted(r[0] for r in found.diff.select(key_range(_key(found.diff), entry["ranges"]).alias("r")).distinct().collect())
     quiet = found.pairs.where(~F.col("key_range").isin(loud)) if loud else found.pairs
     entry = entry | {"quiet": write_part(quiet.coalesce(1), root, "quiet")}
     held = {p["part"]: [r for r in p["held"] if store is None or r not in set(loud)] for p in entry["live"]}
     if store is None or not loud:
         return publish(spark, root, {k: v for k, v in entry.items() if k != "number"}, entry["number"])
-    live = _ranged_live(store.products, store.products_description, settings, entry["ranges"])
+    live = _ranged_live(store.products, store.products_description, settings, entry["ranges"], short)
     return _write(live.where(F.col("key_range").isin(loud)), root, entry, held)

@@ -20,7 +20,7 @@ from catalogsync.operators.validate import MISSING_DESCRIPTION, append_issues
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.plans.run import Issues, diff_products, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_store
+from catalogsync.plans.run import Issues, diff_products, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_over
 from catalogsync.schemas import FEEDS
 from catalogsync.session import stage, stage_all, work_dir
 from catalogsync.sources import intervals, issue_log as logs, versions
@@ -254,8 +254,9 @@ def products_vitals_ranged(v: Views) -> DataFrame:
     root, feeds = f"{work_dir(v.spark)}/ranges-{uuid.uuid4().hex}", (v.feed_complete, v.feed_stock, v.feed_descriptions)
     ranges.first_ranges(v.store, root, SETTINGS, 64)
     first = ranges.ranged_diff(v.spark, root, *feeds, SETTINGS)
-    store = products_phase(v.store, first.diff, SETTINGS).store
-    ranges.settle(first, root, stage_store(store), SETTINGS)
+    phase = products_phase(v.store, first.diff, SETTINGS)
+    store, texts, _ = stage_over(v.store, phase.store, phase.texts)
+    ranges.settle(first, root, store, SETTINGS, P.changed_digests(v.store.products_description, texts, SETTINGS.fold))
     # The same feeds once more come to nothing, which is put on record.
     ranges.settle(ranges.ranged_diff(v.spark, root, *feeds, SETTINGS), root)
     raised = F.when(F.substring("prod_code", 2, 10).cast("long") % 40 == 1, 1).otherwise(0)

@@ -134,3 +134,78 @@ def test_folded_codes_share_a_range(spark, tmp_path):
     found = ranges.ranged_diff(spark, root, complete, lower, text, settings)
     _same_as_whole(spark, found, after, (complete, lower, text), settings)
     assert found.diff.count() == 0
+
+
+def _odd_feeds(spark):
+    """Codes that come twice with other texts, a code that is unknown, empty and unknown texts and names."""
+    complete, stock, text = _feeds(spark, {50: 51})
+    codes = [f"M{k}" for k in range(30, 60)]
+    named = [dict(prod_code=c, prod_desc=f"name {c}" if c != "M31" else None, narrative=("", None, "own text")[k % 3], units_qty=1, price=k)
+             for k, c in enumerate([*codes, None, "ONLY", "EMPTY"])]
+    again = [dict(named[k], narrative=t) for k, t in ((3, "other text"), (4, ""), (5, "aaa"), (6, None))]
+    complete = complete.unionByName(feed(spark, "complete", *named, *again))
+    told = [dict(prod_code="M9", narrative="another text"), dict(prod_code=None, narrative="nobody's"), dict(prod_code="M12", narrative=None)]
+    return complete, stock.where("prod_code <> 'M30'"), text.where("prod_code not in ('M32', 'M33', 'M34', 'M35')").unionByName(
+        feed(spark, "descriptions", *told))
+
+
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+@pytest.mark.parametrize("fold", [False, True])
+def test_matching_by_digests_first_changes_nothing(spark, tmp_path, monkeypatch, sent, fold):
+    """All columns of the diff, texts too, with loud keys sent to the feeds and with too many of them for that."""
+    monkeypatch.setattr(ranges, "SENT_KEYS", sent)
+    root, settings = str(tmp_path / "r"), replace(SETTINGS, fold=fold)
+    _, after = _first_day(spark, root, settings)
+    feeds = _odd_feeds(spark)
+    found = ranges.ranged_diff(spark, root, *feeds, settings)
+    whole = R.diff_products(after, *feeds, settings)
+    shown = [c for c in whole.columns if c in found.diff.columns]
+    assert {"feed_products_description", "feed_products_title", "feed_complete_rows", "live_text_digest"} <= set(shown)
+    assert found.diff.count() > 10 and rows(found.diff, *shown) == rows(whole, *shown)
+
+
+def test_only_texts_of_loud_keys_are_merged(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "r")
+    _first_day(spark, root)
+    merged, merge = [], ranges.merge_product_feeds
+
+    def noted(*feeds, **how):
+        if not how.get("short"):
+            merged.append([f.count() for f in feeds])
+        return merge(*feeds, **how)
+
+    monkeypatch.setattr(ranges, "merge_product_feeds", noted)
+    again = ranges.ranged_diff(spark, root, *_feeds(spark), SETTINGS)
+    ranges.settle(again, root)
+    one = ranges.ranged_diff(spark, root, *_feeds(spark, {50: 51}), SETTINGS)
+    assert again.opened and again.diff.count() == 0 and one.diff.count() == 1
+    assert merged == [[0, 0, 0], [0, 1, 1]]
+
+
+def test_digests_of_a_feed_are_taken_before_it_is_shuffled(spark):
+    merged = ranges.merge_product_feeds(*_odd_feeds(spark), short=lambda text: P.digest(text, False))
+    whole = ranges.merge_product_feeds(*_odd_feeds(spark)).withColumn("text_digest", P.digest(F.col("products_description"), False))
+    shown = [c for c in merged.columns if c != "text_digest"]
+    assert rows(merged, *shown) == rows(whole, *shown)
+    once = "complete_rows < 2 and description_rows < 2"
+    assert rows(merged.where(once), "products_model", "text_digest") == rows(whole.where(once), "products_model", "text_digest")
+
+
+def test_a_store_is_settled_without_writing_its_texts(spark, tmp_path):
+    root, base = str(tmp_path / "r"), _store(spark)
+    extra = dict(prod_code="NEW", prod_desc="new", units_qty=3, price=9, cantsell=0)
+    complete, stock, text = _feeds(spark, {3: 4}, [extra])
+    text = text.withColumn("narrative", F.when(F.col("prod_code") == "M5", "told anew").otherwise(F.col("narrative")))
+    ranges.first_ranges(base, root, SETTINGS, N)
+    found = ranges.ranged_diff(spark, root, complete, stock, text, SETTINGS)
+    phase = R.run_products(base, found.diff, SETTINGS)
+    after, texts, _ = R.stage_over(base, phase.store, phase.texts)
+    # The second new product is M7, as the store's product 7 has no model.
+    assert texts.info.count() == 1 and texts.described.count() == texts.meta.count() == 2
+    ranges.settle(found, root, after, SETTINGS, P.changed_digests(base.products_description, texts, SETTINGS.fold))
+    for table in ("products", "products_description", "meta_tags_products_description"):
+        want = getattr(phase.store, table)
+        assert rows(getattr(after, table), *want.columns) == rows(want, *want.columns)
+    kept = ranges.read_ranges(spark, root, published.read_entry(spark, root))
+    fresh = ranges._ranged_live(phase.store.products, phase.store.products_description, SETTINGS, N)
+    assert rows(kept, *fresh.columns) == rows(fresh, *fresh.columns)
