@@ -28,8 +28,9 @@ from catalogsync.sources.published import publish, read_entry, write_part
 from catalogsync.sources.store import Store
 
 RANGES = 1024
-# So many keys, 8 bytes each, are sent to every task that reads a feed.
-SENT_KEYS = 1_000_000
+# What tells loud keys from others in the scan of a feed: 16 bits a key, in rows of as many as Spark's bitmaps have,
+# 8 MB at most.
+BITS, BITS_OF_A_KEY, MOST_ROWS = 32_768, 16, 2_048
 # What no rule of the product diff reads; the placements phase may change it.
 _UNCOMPARED = ("master_categories_id", "products_date_added", "products_date_available")
 
@@ -154,19 +155,28 @@ def _loud_diff(live: DataFrame, feeds: list[DataFrame], settings: Settings) -> D
     A match by digests finds these: a description of which the merge could take
     another is that of a repeated code, which is noteworthy in any case. Rows are
     picked by hashes of keys; what a hash picks besides is found to be nothing
-    again. Beyond ``SENT_KEYS`` keys all rows are matched with their texts.
+    again. The more keys there are for the bits, the more rows are picked in vain.
     """
     by_digest = merge_product_feeds(*feeds, fold=settings.fold, short=lambda text: P.digest(text, settings.fold))
     found = P.noteworthy(P.product_diff(live, by_digest, settings))
     keys = stage(found.select(F.xxhash64(_key(found)).alias("_key")), "loud_keys")
-    if keys.count() <= SENT_KEYS:
+    size = max(1, min(MOST_ROWS, -(-keys.count() * BITS_OF_A_KEY // BITS)))
 
-        def loud(rows: DataFrame, key: Column) -> DataFrame:
-            return rows.join(F.broadcast(keys), F.xxhash64(key) == F.col("_key"), "left_semi")
+    def place(key: Column) -> tuple[Column, Column]:
+        at = F.pmod(key, F.lit(size * BITS))
+        return F.floor(at / BITS), at % BITS
 
-        feeds = [loud(feed, _code(settings)) for feed in feeds]
-        live = loud(live, F.col("match_key"))
-    return P.noteworthy(P.product_diff(live, merge_product_feeds(*feeds, fold=settings.fold), settings))
+    row, bit = place(F.col("_key"))
+    marks = F.broadcast(keys.groupBy(row.alias("_row")).agg(F.bitmap_construct_agg(bit).alias("_bits")))
+
+    def loud(rows: DataFrame, key: Column) -> DataFrame:
+        row, bit = place(F.xxhash64(key))
+        byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+        return rows.join(marks, row == F.col("_row")).where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(rows.columns)
+
+    few = [loud(feed, _code(settings)) for feed in feeds]
+    merged = merge_product_feeds(*few, fold=settings.fold)
+    return P.noteworthy(P.product_diff(loud(live, F.col("match_key")), merged, settings))
 
 
 def ranged_diff(
