@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogsync.session import stage
+from catalogsync.session import spread_by_range, stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in these
 
 
-def allocate_ids(new: DataFrame, key: str, id_column: str, start: int, bound: int | None = None) -> DataFrame:
+def allocate_ids(
+    new: DataFrame, key: str, id_column: str, start: int, bound: int | None = None, rows: int = 0
+) -> DataFrame:
     """Number rows ``start + 1, start + 2, …`` in the order of their unique key; none may reach ``bound``.
 
     Rows are range-partitioned by key and staged with their place in their
     partition; only the row count of each partition goes through the driver.
     No task sees more than one range, and since the places are stored, the ids
-    do not depend on how a range is recomputed.
+    do not depend on how a range is recomputed. ``rows`` says how many there are,
+    where they may be very many.
     """
     placed = stage(
-        new.drop(id_column)
-        .repartitionByRange(F.col(key))
+        spread_by_range(new.drop(id_column), rows, key)
         .sortWithinPartitions(key)
         .withColumn("_place", F.monotonically_increasing_id()),
         "placed",

@@ -71,6 +71,14 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
+def spread_by_range(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Deal rows over tasks by ranges of ``key``; more than ROWS_OF_A_TASK of them over tasks that are not merged by their bytes."""
+    if rows <= ROWS_OF_A_TASK:
+        return df.repartitionByRange(key)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(max(-(-rows // ROWS_OF_A_TASK), parts), key)
+
+
 _staged: set[str] = set()
 
 

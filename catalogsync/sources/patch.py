@@ -47,9 +47,11 @@ def numbered_statements(patch: DataFrame) -> DataFrame:
     """``number`` (from 1) and ``statement`` of all statements in the order of a run; what ties goes by its text.
 
     Numbers come from ranges and their row counts, so no task sorts the whole patch.
+    Pass a staged patch: its rows are counted first.
     """
     order = F.struct("phase", "step", "sort_key", "statement").alias("place")
-    return allocate_ids(patch.select(order, "statement"), "place", "number", 0).select("number", "statement")
+    numbered = allocate_ids(patch.select(order, "statement"), "place", "number", 0, rows=patch.count())
+    return numbered.select("number", "statement")
 
 
 def publish_patch(patch: DataFrame, root: str, after: int, part_rows: int = PART_ROWS) -> int:

@@ -7,6 +7,7 @@ import pytest
 
 from catalogsync import session
 from catalogsync.plans import placements as L
+from catalogsync.sources.patch import numbered_statements
 from catalogsync.sources.versions import table_changes
 from checks.queries import registry
 
@@ -48,6 +49,15 @@ def test_dealt_rows_lie_in_no_fewer_partitions_than_shuffles_have(spark, small_t
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_many_statements_are_numbered_in_tasks_that_are_not_merged(spark, small_tasks):
+    few = spark.range(10)
+    assert _tasks(session.spread_by_range(few, 10, "id")) == 1
+    lines = spark.range(2000).selectExpr("3 as phase", "2 as step", "lpad(id, 6, '0') as sort_key", "concat('s', id) as statement")
+    numbered = numbered_statements(lines)
+    assert len(numbered.inputFiles()) >= 15
+    assert rows(numbered, "number", "statement") == [(k + 1, f"s{k}") for k in range(2000)]
+
+
 def test_links_of_the_views_are_dealt_by_rows(spark, sf_dir, small_tasks):
     plan = registry()["import_links"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(pk#\d+L?, s_suppkey#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
