@@ -9,7 +9,13 @@ from catalogsync.llm.common import stage
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``vertex`` and ``component`` (its smallest vertex) for every vertex of the links ``a``, ``b``.
+    """``vertex`` and ``component`` (its smallest vertex) for every vertex of the links ``a``, ``b``."""
+    found = hung(links)
+    return found.unionByName(found.select(F.col("component").alias("vertex"), "component").distinct())
+
+
+def hung(links: DataFrame) -> DataFrame:
+    """``components`` without the smallest vertex of each, which is its own.
 
     Each round hangs every vertex's larger neighbours, then all its smaller
     ones, on the smallest vertex it sees; the rounds needed grow with the
@@ -27,8 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "u")
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = stage(small.distinct(), "edges")
-    hung = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
-    return hung.unionByName(edges.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())
+    return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
 
 
 def _stars(edges: DataFrame) -> bool:

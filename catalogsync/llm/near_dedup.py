@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogsync.llm.common import map_batches, pick, stage
-from catalogsync.llm.components import components
+from catalogsync.llm.components import hung
 
 SHINGLE = 5
 THRESHOLD = (75, 100)  # as a fraction of whole numbers
@@ -48,6 +48,8 @@ DEEPEST = 10
 # Standard errors that a sketch may fall short of the threshold.
 SLACK = 4.5
 PAIRS_AT_ONCE = 32_768
+# Of so many hashes of a node's full sets numbers are made at once.
+HASHES_AT_ONCE = 2_000_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _ODD = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -191,6 +193,18 @@ def in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "rep")
 
 
+def _equal_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each row the number of its COORDINATES bytes that are equal: eight are added at once, as no sum exceeds a byte."""
+    words = (x == y).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return ((words * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
+
+
+def _tokens_needed() -> int:
+    """Tokens that sketches have in common, if their sets may reach the threshold."""
+    share = THRESHOLD[0] / THRESHOLD[1]
+    return int(np.ceil(COORDINATES * (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES))))
+
+
 def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray, c: np.ndarray, small_nodes: np.ndarray, short: np.ndarray) -> Iterator[tuple]:
     """Compare the documents of each node by their sketches: places of pairs of different components, tokens in common.
 
@@ -198,11 +212,10 @@ def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray
     of their sets. A pair that meets in several first branches is left to the
     first of these that is small enough to be compared, so it comes once.
     """
-    signs, tokens = short[:, :COORDINATES], np.ascontiguousarray(short[:, COORDINATES:]).view("<u4")
+    signs, tokens = np.ascontiguousarray(short[:, :COORDINATES]), np.ascontiguousarray(short[:, COORDINATES:]).view("<u4")
     places = np.arange(tokens.shape[1])
     earlier = ((small_nodes[:, None] >> places) & 1).astype(bool) & (places < c[:, None])
-    share = THRESHOLD[0] / THRESHOLD[1]
-    least = int(np.ceil(COORDINATES * (share - SLACK * np.sqrt(share * (1 - share) / COORDINATES))))
+    least = _tokens_needed()
     starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
     counts = np.diff(np.append(starts, len(node)))
     for n in np.unique(counts[counts > 1]):
@@ -215,7 +228,7 @@ def _pairs(node: np.ndarray, rep: np.ndarray, part: np.ndarray, size: np.ndarray
             x, y = x[open_], y[open_]
             for k in range(0, len(x), PAIRS_AT_ONCE):
                 p, q = x[k : k + PAIRS_AT_ONCE], y[k : k + PAIRS_AT_ONCE]
-                same = (signs[p] == signs[q]).sum(axis=1)
+                same = _equal_bytes(signs[p], signs[q])
                 ok = np.flatnonzero(same >= least)
                 ok = ok[~((tokens[p[ok]] == tokens[q[ok]]) & earlier[p[ok]]).any(axis=1)]
                 if len(ok):
@@ -251,7 +264,10 @@ COMPARED = ["node", "rep", "component", "n_shingles", "c", "small_nodes", "marks
 
 
 def most_alike(leaves: DataFrame) -> DataFrame:
-    """For each document of a node its most alike partner of another component: ``a``, ``b``, ``alike``."""
+    """For each document of a node its most alike partner of another component: ``a``, ``b``, ``alike``, and the node's columns.
+
+    A pair that is open after later links is open now, so these rows have both its documents.
+    """
 
     def best(*columns: np.ndarray) -> pa.RecordBatch | None:
         found = list(_pairs(*columns))
@@ -263,24 +279,28 @@ def most_alike(leaves: DataFrame) -> DataFrame:
         order = np.lexsort((rep[theirs], -same, mine))
         mine, theirs, same = mine[order], theirs[order], same[order]
         first = np.concatenate(([True], mine[1:] != mine[:-1]))
-        a, b = rep[mine[first]], rep[theirs[first]]
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(same[first].astype(np.int32))], names=["a", "b", "alike"])
+        mine, theirs, same = mine[first], theirs[first], same[first].astype(np.int32)
+        arrays = [rep[mine], rep[theirs], same, *(columns[k][mine] for k in (0, 4, 5))]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["a", "b", "alike", "node", "c", "small_nodes"])
 
-    return _by_node(leaves, COMPARED, best, "a long, b long, alike int")
+    return _by_node(leaves, COMPARED, best, "a long, b long, alike int, node long, c int, small_nodes int")
 
 
-def still_open(leaves: DataFrame) -> DataFrame:
-    """Documents of nodes that have an alike partner of another component: ``node``, ``rep``, ``c``, ``small_nodes``."""
+def alike(pairs: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components that may reach the threshold by their sketches.
 
-    def places(*columns: np.ndarray) -> pa.RecordBatch | None:
-        found = list(_pairs(*columns))
-        if not found:
-            return None
-        at = np.unique(np.concatenate([p for x, y, _ in found for p in (x, y)]))
-        kept = [pa.array(columns[k][at]) for k in (0, 1, 4, 5)]
-        return pa.RecordBatch.from_arrays(kept, names=["node", "rep", "c", "small_nodes"])
+    ``pairs`` has ``component``, ``n_shingles`` and ``marks`` of ``a``, and those of ``b`` as ``their_*``.
+    """
+    small, big = F.least("n_shingles", "their_n_shingles"), F.greatest("n_shingles", "their_n_shingles")
+    open_ = pairs.where((F.col("component") != F.col("their_component")) & (small * THRESHOLD[1] >= big * THRESHOLD[0]))
 
-    return _by_node(leaves, COMPARED, places, "node long, rep long, c int, small_nodes int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), -1) for c in ("marks", "their_marks"))
+            same = _equal_bytes(one[:, :COORDINATES], other[:, :COORDINATES])
+            yield batch.select(["a", "b"]).filter(pa.array(same >= _tokens_needed()))
+
+    return map_batches(open_.select("a", "b", "marks", "their_marks"), run, "a long, b long")
 
 
 def linked(members: DataFrame) -> DataFrame:
@@ -297,20 +317,21 @@ def linked(members: DataFrame) -> DataFrame:
             return None
         x, y, same = (np.concatenate(c) for c in zip(*found))
         order = np.argsort(-same, kind="stable")
-        above: dict[int, int] = {}
-
-        def root(p: int) -> int:
-            while (q := above.get(p, p)) != p:
-                p = q
-            return p
-
-        a, b = [], []
-        for i, j in zip(x[order].tolist(), y[order].tolist()):
-            p, q = root(int(part[i])), root(int(part[j]))
-            if p != q and reach(hashes[i], hashes[j]):
-                above[max(p, q)] = min(p, q)
-                a.append(min(rep[i], rep[j]))
-                b.append(max(rep[i], rep[j]))
+        x, y = x[order], y[order]
+        labels = np.unique(part, return_inverse=True)[1]
+        sets = [np.frombuffer(h, np.uint64) for h in hashes]
+        a, b, at, many = [], [], 0, len(rep)
+        while at < len(x):
+            p, q = x[at : at + many], y[at : at + many]
+            at, many = at + many, min(2 * many, 4 * PAIRS_AT_ONCE)
+            apart = labels[p] != labels[q]
+            p, q = p[apart], q[apart]
+            good = reached(sets, p, q)
+            for i, j in zip(p[good].tolist(), q[good].tolist()):
+                if labels[i] != labels[j]:
+                    labels[labels == labels[j]] = labels[i]
+                    a.append(min(rep[i], rep[j]))
+                    b.append(max(rep[i], rep[j]))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
 
     return _by_node(members, [*COMPARED, "hashes"], confirm, "a long, b long")
@@ -326,8 +347,41 @@ def reach(one: bytes, other: bytes) -> bool:
     return both * THRESHOLD[1] >= (len(p) + len(q) - both) * THRESHOLD[0]
 
 
+def reached(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs of sets, given by their places, reach the threshold.
+
+    What the sets hold is numbered, a range of hashes at a time, so that each set is
+    marked once and looked up by all that it is paired with.
+    """
+    if not len(x):
+        return np.zeros(0, bool)
+    used = np.unique(np.concatenate((x, y)))
+    size, both = np.array([len(s) for s in sets]), np.zeros(len(x), np.int64)
+    order = np.argsort(x, kind="stable")
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(x[order]) != 0)))
+    ranges = -(-int(size[used].sum()) // HASHES_AT_ONCE)
+    bounds = [(k << 64) // ranges for k in range(1, ranges)]
+    cuts = {k: [0, *np.searchsorted(sets[k], np.array(bounds, np.uint64)).tolist(), len(sets[k])] for k in used.tolist()}
+    for r in range(ranges):
+        parts = [sets[k][cuts[k][r] : cuts[k][r + 1]] for k in used.tolist()]
+        known, numbers = np.unique(np.concatenate(parts), return_inverse=True)
+        ends = np.cumsum([len(part) for part in parts])
+        of = dict(zip(used.tolist(), np.split(numbers.astype(np.int32), ends[:-1])))
+        marked = np.zeros(len(known), bool)
+        for own in np.split(order, starts[1:]):
+            mine = of[int(x[own[0]])]
+            marked[mine] = True
+            for k in range(0, len(own), some := max(1, HASHES_AT_ONCE // max(1, int(size[y[own]].max())))):
+                theirs = [of[j] for j in y[own[k : k + some]].tolist()]
+                hits = np.concatenate(([0], np.cumsum(marked[np.concatenate(theirs)])))
+                ends = np.cumsum([len(t) for t in theirs])
+                both[own[k : k + some]] += hits[ends] - hits[ends - [len(t) for t in theirs]]
+            marked[mine] = False
+    return both * THRESHOLD[1] >= (size[x] + size[y] - both) * THRESHOLD[0]
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that reach the threshold on their full sets."""
+    """Pairs that reach the threshold on their full sets; a pair comes again where an id has several sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,7 +390,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y"))
-    return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y"), run, "a long, b long").distinct()
+    return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def full_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -390,15 +444,22 @@ class _Join:
 
     def join(self, links: DataFrame) -> None:
         """Join what new links connect. Known components stand for the links in them."""
-        if links.take(1):
-            if self.connected is not None:
-                links = links.unionByName(self.connected.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
-            self.connected = stage(components(links), "components")
+        if self.connected is not None:
+            links = links.unionByName(self.connected.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
+        self.connected = hung(links)
 
     def connect(self, pairs: DataFrame) -> None:
         """Compare pairs on full sets and join what is linked."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        self.join(stage(verify(pairs, self.sets), "links"))
+        self.join(verify(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), self.sets))
+
+    def led(self, inside: DataFrame, large: DataFrame) -> DataFrame:
+        """Members of large nodes with their leaders, where these may be linked: ``a``, ``b``."""
+        lead = inside.join(large.select("node", "leader"), "node").where("rep <> leader").select("rep", "leader")
+        leaders = self.marked(self.labelled(large.select(F.col("leader").alias("rep")).distinct()))
+        # Few rows, each for very many members: staged, so that the join is a broadcast or is split.
+        leaders = stage(leaders.toDF("leader", *(f"their_{c}" for c in leaders.columns[1:])), "leaders")
+        pairs = self.marked(self.labelled(lead)).join(leaders, "leader")
+        return alike(pairs.withColumnsRenamed({"rep": "a", "leader": "b"}))
 
     def run(self) -> None:
         members, large, any_large = self.sized(roots(self.reps, self.trees))
@@ -420,9 +481,7 @@ class _Join:
             depth += 1
             inside = members.where(F.col("n") > NODE).select("node", "rep")
             # All against one: joins the bulk of a large group before it is branched.
-            lead = inside.join(large.select("node", "leader"), "node").where("rep <> leader")
-            ends = lead.select(F.xxhash64("rep", "leader").alias("node"), F.explode(F.array("rep", "leader")).alias("rep")).distinct()
-            self.connect(most_alike(self.marked(self.labelled(ends))))
+            self.connect(self.led(inside, large))
             inside = stage(self.labelled(inside), "inside")
             parts = inside.groupBy("node", "component").agg(F.count(F.lit(1)).alias("d"))
             parts = parts.groupBy("node").agg(F.sum("d").alias("n"), F.max("d").alias("d"), F.max_by("component", "d").alias("most"))
@@ -445,12 +504,15 @@ class _Join:
         for more in grown[1:]:
             leaves = leaves.unionByName(more.select("node", "rep", F.lit(0).alias("c"), F.lit(0).alias("small_nodes")))
         # The most alike pair of each document first: that joins nearly all there is to join.
-        pairs = first if len(grown) == 1 else first.unionByName(most_alike(self.mixed(leaves)))
-        self.connect(pairs.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b")))
+        pairs, left = first, first
+        if len(grown) > 1:
+            left = stage(most_alike(self.mixed(leaves)), "alike")
+            pairs = first.select("a", "b", "alike").unionByName(left.select("a", "b", "alike"))
+        best = pairs.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b"))
+        self.connect(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         # Then everything alike that still crosses components, on full sets, node by node.
-        left = stage(still_open(self.mixed(leaves)), "open")
-        if left.take(1):
-            self.join(stage(linked(self.marked(self.labelled(left)).join(self.sets, "rep")), "links"))
+        open_ = self.mixed(left.select("node", F.col("a").alias("rep"), "c", "small_nodes"))
+        self.join(linked(open_.join(self.sets, "rep")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES) -> DataFrame:
@@ -475,10 +537,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     over all sketches that such a pair may have).
     """
     every = stage(sketches(docs, doc_id, text, trees), "sketches")
-    classes = stage(every.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "classes")
-    with_sketch = every.select(F.col("doc_id").alias("rep"), "high", "low", "n_shingles", "sketch", "marks")
-    reps = with_sketch.join(classes, ["rep", "high", "low"]).groupBy("rep", "high", "low", "n_shingles", "sketch", "marks").agg(F.count(F.lit(1)).alias("rows"))
-    reps = stage(reps.select("rep", "n_shingles", "sketch", "marks"), "reps")
+    # All but the ids is the same in a class.
+    same = [F.first(c).alias(c) for c in ("n_shingles", "sketch", "marks")]
+    reps = every.where("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("rep"), *same).where("rep is not null")
+    reps = stage(reps, "reps")
+    classes = reps.select("high", "low", "rep")
     join = _Join(docs, doc_id, text, reps, trees)
     join.run()
     placed = every.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")

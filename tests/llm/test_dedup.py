@@ -125,6 +125,28 @@ def test_middling_nodes_are_compared_in_blocks(spark, monkeypatch):
     assert collected(N.near_duplicates(frame(spark, rows)), *NEAR) == want_near(rows)
 
 
+def test_alike_documents_are_looked_for_once(spark, monkeypatch):
+    """Without large nodes the nodes are compared once, and those with open pairs once more on full sets."""
+    passes, by_node = [], N._by_node
+    monkeypatch.setattr(N, "_by_node", lambda *given: passes.append(given) or by_node(*given))
+    rows = copies(seed=8)
+    assert collected(N.near_duplicates(frame(spark, rows)), *NEAR) == want_near(rows)
+    assert len(passes) == 2
+
+
+def test_pairs_of_sets_are_confirmed_many_at_once(monkeypatch):
+    draw = np.random.default_rng(3)
+    of = draw.integers(0, 1 << 64, 45, dtype=np.uint64)
+    sets = [np.sort(draw.choice(of, draw.integers(30, 45), replace=False)) for _ in range(30)] + [np.array([7], np.uint64)]
+    x, y = (c.ravel() for c in np.indices((31, 31)))
+    want = [N.reach(sets[i].tobytes(), sets[j].tobytes()) for i, j in zip(x, y)]
+    assert 31 < sum(want) < len(want)
+    for at_once in (5, 100, 2_000_000):
+        monkeypatch.setattr(N, "HASHES_AT_ONCE", at_once)
+        assert N.reached(sets, x, y).tolist() == want
+    assert len(N.reached(sets, x[:0], y[:0])) == 0
+
+
 def test_near_cases(spark):
     got = {r["doc_id"]: r for r in N.near_duplicates(frame(spark)).collect()}
     assert got[1]["component_id"] == got[2]["component_id"] == 1 and got[1]["kept"] and not got[2]["kept"]
