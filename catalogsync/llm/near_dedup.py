@@ -304,7 +304,7 @@ def alike(pairs: DataFrame) -> DataFrame:
 
 
 def linked(members: DataFrame) -> DataFrame:
-    """Compare all alike pairs of different components of each node on their full sets; links enough to join what is linked.
+    """Compare all alike pairs of different components of each node on their full sets; links of components enough to join what is linked.
 
     A pair whose documents the node's links have joined by then is left out, so
     a node of n documents gives fewer than n links.
@@ -330,8 +330,8 @@ def linked(members: DataFrame) -> DataFrame:
             for i, j in zip(p[good].tolist(), q[good].tolist()):
                 if labels[i] != labels[j]:
                     labels[labels == labels[j]] = labels[i]
-                    a.append(min(rep[i], rep[j]))
-                    b.append(max(rep[i], rep[j]))
+                    a.append(part[i])
+                    b.append(part[j])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
 
     return _by_node(members, [*COMPARED, "hashes"], confirm, "a long, b long")
@@ -450,7 +450,12 @@ class _Join:
 
     def connect(self, pairs: DataFrame) -> None:
         """Compare pairs on full sets and join what is linked."""
-        self.join(verify(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), self.sets))
+        links = verify(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), self.sets)
+        # Links of components make shorter paths, so fewer rounds, than links of documents in them.
+        for end in ("a", "b") if self.connected is not None else ():
+            known = self.connected.select(F.col("vertex").alias(end), "component")
+            links = links.join(known, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+        self.join(links)
 
     def led(self, inside: DataFrame, large: DataFrame) -> DataFrame:
         """Members of large nodes with their leaders, where these may be linked: ``a``, ``b``."""
