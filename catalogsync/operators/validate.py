@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from catalogsync.functions.compare import differs
 from catalogsync.operators.merge import first_wins
+from catalogsync.session import by_merge
 
 # Names of the issues.
 NAME_TOO_LONG = "Name too long"
@@ -56,6 +57,6 @@ def missing_text(text: Column, issue: str, applies: Column) -> Column:
 def append_issues(log: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Extend a log; for each key the entry written first stays. Keys may hold NULL, which equals itself."""
     fresh = first_wins(new.select(*log.columns), key)
-    known = log.select(*[F.col(k).alias(f"_{k}") for k in key])
+    known = by_merge(log.select(*[F.col(k).alias(f"_{k}") for k in key]))
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
     return log.unionByName(fresh.join(known, same, "left_anti"))

@@ -21,7 +21,7 @@ from catalogsync.operators.render import (
 )
 from catalogsync.operators.validate import NON_LEAF, UNASSIGNED, UNKNOWN_PRODUCT, issue_case, issue_rows
 from catalogsync.schemas import PLACEMENT_ISSUES
-from catalogsync.session import spread
+from catalogsync.session import by_merge, spread
 from catalogsync.settings import Settings
 
 PHASE = 3
@@ -93,7 +93,7 @@ def parent_ids(categories: DataFrame) -> DataFrame:
 def dropped_links(changed: DataFrame, log: DataFrame) -> DataFrame:
     """Links the feed no longer has, but for products the log lists as placed on a non-leaf category."""
     excused = log.where(F.col("issue") == NON_LEAF).select("products_id").distinct()
-    return changed.where(F.col("in_live") == 1).join(excused, "products_id", "left_anti").select(*LINK)
+    return changed.where(F.col("in_live") == 1).join(by_merge(excused), "products_id", "left_anti").select(*LINK)
 
 
 def added_links(changed: DataFrame, categories: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def apply_links(links: DataFrame, dropped: DataFrame, added: DataFrame, new: Dat
     """Links, about ``rows`` of them, without the dropped ones, which are never among the added or new ones, and with those."""
     links = spread(links, rows, *LINK)
     more = added.unionByName(new.select(*LINK))
-    return insert_ignore(delete(links, dropped, LINK), more, LINK, unique=True, before=links)
+    return insert_ignore(delete(links, by_merge(dropped), LINK), more, LINK, unique=True, before=by_merge(links))
 
 
 def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings, rows: int = 0) -> DataFrame:
@@ -115,7 +115,7 @@ def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings,
     """
     waiting = products.where(F.col("master_categories_id") == settings.import_category_id).select("products_id")
     best = assign_by_priority(
-        spread(links, rows, "products_id").join(waiting, "products_id", "left_semi"),
+        spread(links, rows, "products_id").join(by_merge(waiting), "products_id", "left_semi"),
         "products_id",
         "categories_id",
         settings.priority,
@@ -124,8 +124,9 @@ def assigned_masters(products: DataFrame, links: DataFrame, settings: Settings,
     return best.select("products_id", F.col("categories_id").alias("master_categories_id"))
 
 
-def apply_masters(products: DataFrame, masters: DataFrame) -> DataFrame:
-    return update(products, masters, ["products_id"], ["master_categories_id"])
+def apply_masters(products: DataFrame, masters: DataFrame, rows: int | None = None) -> DataFrame:
+    """Products with the masters assigned to them, of which there are ``rows``, if known."""
+    return update(products, by_merge(masters, rows), ["products_id"], ["master_categories_id"])
 
 
 def placement_issues(
@@ -138,7 +139,7 @@ def placement_issues(
 ) -> DataFrame:
     """Links to parents, products still in the import category, links of products nobody knows."""
     models = products.select("products_id", "products_model")
-    on_parent = links.join(parent_ids(categories), "categories_id", "left_semi").join(models, "products_id")
+    on_parent = links.join(parent_ids(categories), "categories_id", "left_semi").join(by_merge(models), "products_id")
     waiting = products.where(F.col("master_categories_id") == settings.import_category_id).select(
         "products_id", "products_model", F.col("master_categories_id").alias("categories_id")
     )

@@ -27,6 +27,7 @@ from catalogsync.operators.validate import (
 )
 from catalogsync.plans.categories import in_language
 from catalogsync.schemas import PRODUCT_ISSUES
+from catalogsync.session import by_merge
 from catalogsync.settings import STAGING_MASTER_CATEGORY, Settings
 from catalogsync.sources.store import Store
 
@@ -79,7 +80,7 @@ def live_products(products: DataFrame, description: DataFrame, settings: Setting
     own = products.where(F.col("products_id") < settings.product_id_bound)
     model = canonical_key(F.col("products_model")) if settings.fold else F.col("products_model")
     no_model = F.concat(F.lit("\x00"), F.col("products_id").cast("string"))
-    rows = in_language(own, description, "products_id", settings).select(
+    rows = in_language(own, by_merge(description), "products_id", settings).select(
         F.coalesce(model, no_model).alias("match_key"),
         "products_id",
         "products_model",
@@ -274,7 +275,7 @@ def apply_to_products(products: DataFrame, diff: DataFrame, new: DataFrame, sett
     changed = sparse_update(
         products, changes, ["products_id"], ["products_status", *_VITALS, "products_price_sorter"]
     )
-    return insert_ignore(changed, store_rows(new, settings), ["products_id"], unique=True, before=products)
+    return insert_ignore(changed, store_rows(new, settings), ["products_id"], unique=True, before=by_merge(products))
 
 
 def store_rows(new: DataFrame, settings: Settings) -> DataFrame:
@@ -335,8 +336,8 @@ def text_changes(store: Store, diff: DataFrame, new: DataFrame, settings: Settin
     told, meta, key = store.products_description, store.meta_tags_products_description, ["products_id", "language_id"]
     return TextChanges(
         info(diff),
-        missing_rows(told, _described(new, settings), key, unique=True),
-        missing_rows(meta, _meta(new, settings), key, unique=True),
+        missing_rows(by_merge(told), _described(new, settings), key, unique=True),
+        missing_rows(by_merge(meta), _meta(new, settings), key, unique=True),
     )
 
 
@@ -370,12 +371,13 @@ def changed_digests(table: DataFrame, changes: TextChanges, fold: bool = False)
 def apply_to_description(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     """Text changes reach all languages of a product; new rows get the feed's language."""
     changed = sparse_update(table, _info_text(info(diff)), ["products_id"], ["products_name", "products_description"])
-    return insert_ignore(changed, _described(new, settings), ["products_id", "language_id"], unique=True, before=table)
+    key = ["products_id", "language_id"]
+    return insert_ignore(changed, _described(new, settings), key, unique=True, before=by_merge(table))
 
 
 def apply_to_meta(table: DataFrame, diff: DataFrame, new: DataFrame, settings: Settings) -> DataFrame:
     changed = sparse_update(table, _info_meta(info(diff)), ["products_id"], _META_COLUMNS)
-    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True, before=table)
+    return insert_ignore(changed, _meta(new, settings), ["products_id", "language_id"], unique=True, before=by_merge(table))
 
 
 def apply_products(store: Store, diff: DataFrame, new: DataFrame, settings: Settings) -> Store:

@@ -16,7 +16,7 @@ from catalogsync.operators.validate import REJECTED_ROW, append_issues, issue_ca
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.session import release, stage, stage_all, staged_paths
+from catalogsync.session import by_merge, release, stage, stage_all, staged_paths
 from catalogsync.settings import REPLAY_BASE_DATE, Settings
 from catalogsync.sources.snapshots import read_snapshot, recorded_days, replay_time
 from catalogsync.sources.store import TABLES, Store
@@ -131,7 +131,7 @@ def run_placements(
     fresh = L.new_links(resolved, new, settings)
     after = stage(L.apply_links(links_before, dropped, added, fresh, rows), "links")
     masters = stage(L.assigned_masters(store.products, after, settings, rows), "masters")
-    products = L.apply_masters(store.products, masters)
+    products = L.apply_masters(store.products, masters, masters.count())
     issues = L.placement_issues(
         after, products, store.products_description, store.categories, resolved, settings
     )
@@ -183,7 +183,8 @@ def run(
         )
     diffs = {"product_diff": product_diff} | stage_all(diffs)
     with_categories, patch_1, issues_1 = run_categories(store, diffs["category_diff"], settings)
-    phase = run_products(with_categories, diffs["product_diff"], settings)
+    diff = by_merge(diffs["product_diff"], diffs["product_diff"].count())
+    phase = run_products(with_categories, diff, settings)
     # Both tables are read by several steps of the next phase.
     tables = stage_all({t: getattr(phase.store, t) for t in ("categories", "products")})
     with_products = phase.store.with_(**tables)
@@ -242,7 +243,8 @@ def stage_over(
         **{f"text_{f.name}": getattr(texts, f.name) for f in fields(texts)},
         **more,
     })
-    texts = P.TextChanges(**{f.name: staged[f"text_{f.name}"] for f in fields(texts)})
+    info = staged["text_info"]
+    texts = P.TextChanges(by_merge(info, info.count()), staged["text_described"], staged["text_meta"])
     after = Store(
         **{t: staged[t] for t in TABLES if t not in _TEXTS},
         products_description=P.changed_description(start.products_description, texts),

@@ -79,6 +79,19 @@ def spread_by_range(df: DataFrame, rows: int, key: str) -> DataFrame:
     return df.repartitionByRange(max(-(-rows // ROWS_OF_A_TASK), parts), key)
 
 
+# Rows of a table that may pass through the driver, which gathers and hashes what is broadcast.
+ROWS_OF_A_BROADCAST = 100_000
+
+
+def by_merge(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A side of a join that grows with the store: joined by sorting, unless it is known to have few ``rows``.
+
+    Before a join runs, Spark tells sizes by the bytes of compressed files, and 10 MB
+    of these hold millions of ids, or of issues, which are a few texts that repeat.
+    """
+    return df if rows is not None and rows <= ROWS_OF_A_BROADCAST else df.hint("merge")
+
+
 _staged: set[str] = set()
 
 

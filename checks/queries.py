@@ -22,7 +22,7 @@ from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
 from catalogsync.plans.run import Issues, diff_products, empty_issues, feeds_as_of, replay, run, run_products as products_phase, stage_over
 from catalogsync.schemas import FEEDS
-from catalogsync.session import stage, stage_all, work_dir
+from catalogsync.session import by_merge, stage, stage_all, work_dir
 from catalogsync.sources import intervals, issue_log as logs, versions
 from catalogsync.sources import layout, media_store, ranges
 from catalogsync.sources.digests import range_digests
@@ -786,7 +786,7 @@ def interval_day(v: Views) -> DataFrame:
 def replay_snapshots(v: Views) -> DataFrame:
     final = _replayed(v)
     names = final.products_description.select("products_id", "products_name")
-    return final.products.join(names, "products_id").select(
+    return final.products.join(by_merge(names), "products_id").select(
         "products_id", "products_model", "products_price", "products_quantity", "products_weight", "products_status",
         "products_name",
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogsync.schemas import FEEDS, MONEY
-from catalogsync.session import spread, stage
+from catalogsync.session import by_merge, spread, stage
 from catalogsync.settings import Settings
 from catalogsync.sources.store import Store
 
@@ -86,7 +86,7 @@ class Views:
     def told_parts(self) -> DataFrame:
         """Parts with the text of the document of the same number."""
         text = self.table("documents").select(_c("doc_id").alias("pk"), "text")
-        return self.parts.join(text, "pk", "left")
+        return self.parts.join(by_merge(text), "pk", "left")
 
     # categories ---------------------------------------------------------
 
@@ -261,7 +261,7 @@ class Views:
             .select("pk", "s_nationkey")
         )
         sold = spread(sold, rows, "pk").distinct()
-        by_supplier = self.parts.join(sold, "pk").select("pk", "code", _leaf((_c("bn") + _c("s_nationkey")) % 25 + 1))
+        by_supplier = by_merge(self.parts).join(sold, "pk").select("pk", "code", _leaf((_c("bn") + _c("s_nationkey")) % 25 + 1))
         upper = self.parts.where("pk % 20 = 0").select("pk", "code", F.lit(100) + _c("bn") % 25)
         return spread(own.union(by_supplier).union(upper), rows, "pk").distinct()
 
