@@ -16,7 +16,7 @@ from catalogsync.operators.validate import REJECTED_ROW, append_issues, issue_ca
 from catalogsync.plans import categories as C
 from catalogsync.plans import placements as L
 from catalogsync.plans import products as P
-from catalogsync.session import by_merge, release, stage, stage_all, staged_paths
+from catalogsync.session import by_merge, own_staging, release, stage, stage_all, staged_paths
 from catalogsync.settings import REPLAY_BASE_DATE, Settings
 from catalogsync.sources.snapshots import read_snapshot, recorded_days, replay_time
 from catalogsync.sources.store import TABLES, Store
@@ -265,6 +265,7 @@ def feeds_as_of(
     return feeds
 
 
+@own_staging()
 def replay(
     store: Store,
     days: Iterable[date],

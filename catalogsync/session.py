@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,21 +94,33 @@ def by_merge(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df if rows is not None and rows <= ROWS_OF_A_BROADCAST else df.hint("merge")
 
 
-_staged: set[str] = set()
+_staged: ContextVar[set[str]] = ContextVar("staged", default=set())
+
+
+@contextmanager
+def own_staging() -> Iterator[None]:
+    """Within it, ``staged_paths`` and ``release`` know only of what is staged there, not by callers or other threads."""
+    outer, token = _staged.get(), _staged.set(set())
+    try:
+        yield
+    finally:
+        outer.update(_staged.get())
+        _staged.reset(token)
 
 
 def staged_paths() -> set[str]:
     """Where the tables staged so far and not released are."""
-    return set(_staged)
+    return set(_staged.get())
 
 
 def release(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete staged tables that nothing reads any more."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    for path in _staged.intersection(paths):
+    staged = _staged.get()
+    for path in staged.intersection(paths):
         folder = hadoop.Path(path).getParent()
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        _staged.discard(path)
+        staged.discard(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -118,12 +132,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    _staged.add(path)
+    _staged.get().add(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage tables that do not depend on each other, as jobs that run side by side."""
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        staged = pool.map(lambda item: stage(item[1], item[0]), frames.items())
-        return dict(zip(frames, staged))
+        jobs = [pool.submit(copy_context().run, stage, df, name) for name, df in frames.items()]
+        return {name: job.result() for name, job in zip(frames, jobs)}

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogsync import session
 from catalogsync.schemas import FEEDS, MONEY
 from catalogsync.session import by_merge, spread, stage
 from catalogsync.settings import Settings
@@ -47,12 +48,13 @@ def _leaf(brand: Column) -> Column:
     return F.lit(1000) + brand * 10 + _c("p_size") % 6
 
 
-_views: dict[tuple[str, str], Views] = {}
+_views: dict[tuple, Views] = {}
 
 
 def views(spark: SparkSession, sf_dir: str) -> Views:
-    """The views of a folder, made once per application: listing files and reading footers takes time."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The views of a folder, made once per application, and anew for other sizes of tasks: listing files and reading footers takes time."""
+    sizes = (session.ROWS_OF_A_TASK, spark.conf.get("spark.sql.shuffle.partitions"))
+    key = (spark.sparkContext.applicationId, sf_dir, *sizes)
     if key not in _views:
         _views[key] = Views(spark, sf_dir)
     return _views[key]

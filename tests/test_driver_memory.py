@@ -1,5 +1,7 @@
 """What grows with the store does not pass through the driver as a broadcast table."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from catalogsync import session
@@ -107,3 +109,19 @@ def test_a_staged_diff_of_many_rows_is_merged(spark, monkeypatch):
         after, texts, _ = R.stage_over(given, given, texts)
         assert (_broadcasts(after.products_description) == 0) == merged
         assert rows(after.products_description, *expected) == [(1, "new")]
+
+
+def test_a_replay_knows_only_of_its_own_staged_tables(spark):
+    """What callers or other threads stage meanwhile is not deleted by it."""
+    outer = session.stage(spark.range(3), "outer")
+    before = session.staged_paths()
+    with session.own_staging():
+        assert session.staged_paths() == set()
+        session.stage_all({"a": spark.range(1), "b": spark.range(2)})
+        assert len(mine := session.staged_paths()) == 2
+        with ThreadPoolExecutor(1) as pool:
+            other = pool.submit(session.stage, spark.range(5), "other").result()
+        assert session.staged_paths() == mine
+        session.release(spark, before | {next(iter(mine))})
+    assert outer.count() == 3 and other.count() == 5
+    assert session.staged_paths() >= before and len(session.staged_paths() & mine) == 1
